@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.mathops import width_bin
-from cohortlens.operators._util import as_list, check_columns
+from cohortlens.operators._util import as_list, check_columns, join_null_safe
 
 
 def count_by(
@@ -116,7 +116,7 @@ def profile(
     )
     if method == "exact":
         quarts = exact_quantiles(df, by, measure, {"q1": 0.25, "q3": 0.75})
-        res = moments.join(quarts, on=by, how="left") if by else moments.crossJoin(quarts)
+        res = join_null_safe(moments, quarts, by, "left")
     elif method in ("builtin", "approx"):
         if method == "builtin":
             q1, q3 = F.percentile(m, 0.25), F.percentile(m, 0.75)

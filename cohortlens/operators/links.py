@@ -70,10 +70,14 @@ def range_lookup(
     n = bounds.count()
     if n <= max_bounds:
         arr = bounds.agg(
-            F.sort_array(F.collect_list(F.struct(F.col(bound_col).alias("b"), F.col(label_col).alias("l"))))
-        ).scalar()
-        hit = F.filter(arr, lambda s: s["b"] >= F.col(value))
-        return df.withColumn(out, F.get(hit, 0)["l"])
+            F.sort_array(F.collect_list(F.struct(F.col(bound_col).alias("b"), F.col(label_col).alias("l")))).alias(
+                "_cl_bounds"
+            )
+        )
+        # one-row side of checked size: broadcast, no shuffle of df
+        withb = df.crossJoin(F.broadcast(arr))
+        hit = F.filter("_cl_bounds", lambda s: s["b"] >= F.col(value))
+        return withb.withColumn(out, F.get(hit, 0)["l"]).drop("_cl_bounds")
     keyed = df.withColumn("_cl_row", F.monotonically_increasing_id())
     cand = keyed.join(bounds.select(F.col(bound_col).alias("_cl_b"), F.col(label_col).alias("_cl_l")),
                       F.col("_cl_b") >= F.col(value), "left")

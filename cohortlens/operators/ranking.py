@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.operators._util import join_null_safe
+
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
 _PID = "_cl_pid"
@@ -82,7 +84,7 @@ def ordered_index(
     if not group:
         # one row per range partition: bounded by the partition count
         offsets = F.broadcast(offsets)
-    joined = ranged.join(offsets, on=[_PID, *group], how="inner")
+    joined = join_null_safe(ranged, offsets, [_PID, *group])
 
     lw = Window.partitionBy(_PID, *group).orderBy(*_sort_exprs(order)).rowsBetween(
         Window.unboundedPreceding, -1
@@ -95,17 +97,6 @@ def ordered_index(
     return out.drop("_cl_off", "_cl_gtotal", "_cl_w", _PID)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cond = None
-    r = right
-    for k in keys:
-        r = r.withColumnRenamed(k, f"_cl_r_{k}")
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_cl_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*[f"_cl_r_{k}" for k in keys])
-
-
 def rank_rows(
     df: DataFrame,
     order: OrderSpec,
@@ -129,7 +120,7 @@ def rank_rows(
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cl_n"))
     idx = ordered_index(counts, order, group=partition, weight="_cl_n", total=None)
     idx = idx.select(*keys, (F.col("w_before") + 1).alias(out))
-    return _null_safe_join(df, idx, keys)
+    return join_null_safe(df, idx, keys)
 
 
 def cume_dist_rows(
@@ -151,7 +142,7 @@ def cume_dist_rows(
     idx = idx.select(
         *keys, ((F.col("w_before") + F.col("_cl_n")) / F.col("_cl_t")).cast("double").alias(out)
     )
-    return _null_safe_join(df, idx, keys)
+    return join_null_safe(df, idx, keys)
 
 
 def row_number_rows(

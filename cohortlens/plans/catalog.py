@@ -737,9 +737,9 @@ def gcd_lcm(t: tables) -> DataFrame:
     j = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(
         t.part.select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey")
     )
-    qty = F.col("l_quantity").cast("bigint")
-    return j.select("l_orderkey", "l_linenumber", "l_partkey", F.col("p_size").cast("bigint").alias("p_size"),
-                    qty.alias("qty"), fm.gcd("p_size", qty).alias("gcd_v"), fm.lcm("p_size", qty).alias("lcm_v"))
+    j = j.select("l_orderkey", "l_linenumber", "l_partkey", F.col("p_size").cast("bigint").alias("p_size"),
+                 F.col("l_quantity").cast("bigint").alias("qty"))
+    return fm.with_gcd_lcm(j, "p_size", "qty", gcd_out="gcd_v", lcm_out="lcm_v")
 
 
 @query("quotient_no_slash", "M9 M8", """
@@ -883,9 +883,9 @@ def lookup_or_report(t: tables) -> DataFrame:
 
 
 @query("delete_guard", "G2", """
-SELECT o_orderkey FROM orders EXCEPT SELECT o_orderkey FROM orders WHERE o_totalprice > 1000""")
+SELECT o_orderkey FROM orders EXCEPT SELECT o_orderkey FROM orders WHERE o_totalprice > 25000""")
 def delete_guard(t: tables) -> DataFrame:
-    nxt = t.orders.where(F.col("o_totalprice") > 1000)
+    nxt = t.orders.where(F.col("o_totalprice") > 25000)
     return guards.delete_guard(t.orders, nxt, "o_orderkey")
 
 
