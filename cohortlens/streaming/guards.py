@@ -73,6 +73,26 @@ def delete_guard(prev: DataFrame, nxt: DataFrame, keys: str | Sequence[str], *,
     return missing
 
 
+def tag_violations(df: DataFrame, rules: Mapping[str, Column], *, out: str = "reason") -> DataFrame:
+    """Add ``out`` = name of the first broken rule (NULL counts as broken),
+    NULL when every rule holds."""
+    reason = None
+    for name, rule in rules.items():
+        broken = F.coalesce(~rule, F.lit(True))
+        reason = F.when(broken, F.lit(name)) if reason is None else reason.when(broken, F.lit(name))
+    return df.withColumn(out, reason)
+
+
+def ingest_summary(df: DataFrame, rules: Mapping[str, Column], *, accepted: str = "accepted",
+                   out: str = "outcome", count_col: str = "n") -> DataFrame:
+    """G3 counts in one pass: rows per outcome (``accepted`` or the broken
+    rule's name)."""
+    tagged = tag_violations(df, rules, out="_cl_reason")
+    return tagged.groupBy(F.coalesce(F.col("_cl_reason"), F.lit(accepted)).alias(out)).agg(
+        F.count(F.lit(1)).cast("bigint").alias(count_col)
+    )
+
+
 def constrained_ingest(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Split incoming rows into (accepted, rejected + reason).
 
@@ -80,11 +100,7 @@ def constrained_ingest(df: DataFrame, rules: Mapping[str, Column]) -> tuple[Data
     option also refused NULL).  ``reason`` is the first broken rule's name.
     accepted + rejected = input.  Stateless, so it also splits a stream.
     """
-    reason = None
-    for name, rule in rules.items():
-        broken = F.coalesce(~rule, F.lit(True))
-        reason = F.when(broken, F.lit(name)) if reason is None else reason.when(broken, F.lit(name))
-    tagged = df.withColumn("_cl_reason", reason)
+    tagged = tag_violations(df, rules, out="_cl_reason")
     accepted = tagged.where(F.col("_cl_reason").isNull()).drop("_cl_reason")
     rejected = tagged.where(F.col("_cl_reason").isNotNull()).withColumnRenamed("_cl_reason", "reason")
     return accepted, rejected
@@ -104,9 +120,11 @@ def lookup_or_report(
     one row with ``status='not found'``.  ``strict=True`` raises when any id
     is missing."""
     id_col = id_col or key
+    from cohortlens.operators.joins import outer_join
+
     req = ids.select(F.col(id_col).alias(key)).distinct()
     found = df.select(key, *cols).withColumn("_cl_hit", F.lit(True))
-    res = req.join(found, on=key, how="left")
+    res = outer_join(req, found, key)
     res = res.withColumn(status, F.when(F.col("_cl_hit"), F.lit("found")).otherwise(F.lit("not found"))).drop("_cl_hit")
     if strict and not res.where(F.col(status) == "not found").isEmpty():
         raise KeyError("lookup: some ids were not found")

@@ -92,3 +92,15 @@ def test_top_k_ties_all_kept(skewed):
     low = ranking.top_k_with_ties(skewed, "v", 3, ascending=True)
     exp = skewed.where(F.col("v") <= skewed.orderBy("v").limit(3).agg(F.max("v")).first()[0]).count()
     assert low.count() == exp
+
+
+def test_outer_join_equals_left_join_with_hot_key(spark, skewed):
+    from cohortlens.operators.joins import outer_join
+
+    dim = spark.range(0, 40).select((F.col("id") - 5).alias("k2"), (F.col("id") * 10).alias("attr"))
+    dim = dim.unionByName(spark.createDataFrame([(None, 1)], "k2 long, attr long"))
+    fact = skewed.select(F.when(F.col("k") % 3 == 0, F.lit(1)).otherwise(F.col("k") % 17).cast("long").alias("k2"), "v")
+    a = outer_join(dim, fact, "k2")
+    b = dim.join(fact, on="k2", how="left")
+    assert a.count() == b.count()
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
