@@ -78,12 +78,46 @@ def range_lookup(
         withb = df.crossJoin(F.broadcast(arr))
         hit = F.filter("_cl_bounds", lambda s: s["b"] >= F.col(value))
         return withb.withColumn(out, F.get(hit, 0)["l"]).drop("_cl_bounds")
-    keyed = df.withColumn("_cl_row", F.monotonically_increasing_id())
-    cand = keyed.join(bounds.select(F.col(bound_col).alias("_cl_b"), F.col(label_col).alias("_cl_l")),
-                      F.col("_cl_b") >= F.col(value), "left")
-    w = Window.partitionBy("_cl_row").orderBy(F.col("_cl_b").asc_nulls_last())
-    first = cand.withColumn("_cl_rn", F.row_number().over(w)).where(F.col("_cl_rn") == 1)
-    return first.withColumnRenamed("_cl_l", out).drop("_cl_row", "_cl_b", "_cl_rn")
+    return _range_lookup_merge(df, value, bounds, bound_col, label_col, out)
+
+
+def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col: str, label_col: str,
+                        out: str, slices: int | None = None) -> DataFrame:
+    """Exact J9 for any number of bounds, without a nested-loop join.
+
+    Distinct values (tag 0) and bounds (tag 1) are merged into one order by
+    (x, tag), so a bound equal to a value sorts right after it.  After a
+    range partitioning (checkpointed, so partition ids are stable) each row
+    takes the first bound at or after it inside its partition; rows with
+    none there take the first bound of the later partitions, from a table
+    with one row per partition.  The answer per distinct value is joined
+    back to ``df`` on the value (an equi-join AQE can split when skewed).
+    """
+    from cohortlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    vt = df.schema[value].dataType
+    vals = df.select(F.col(value).alias("_cl_x")).where(F.col("_cl_x").isNotNull()).distinct().select(
+        "_cl_x", F.lit(0).alias("_cl_tag"), F.lit(None).cast(bounds.schema[label_col].dataType).alias("_cl_l"))
+    bnd = bounds.select(F.col(bound_col).cast(vt).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
+                        F.col(label_col).alias("_cl_l")).where(F.col("_cl_x").isNotNull())
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merged = vals.unionByName(bnd).repartitionByRange(n, "_cl_x", "_cl_tag").withColumn(
+        "_cl_pid", F.spark_partition_id()).checkpoint(eager=True)
+    # label of the bound at or after each row, inside the row's range partition
+    w = Window.partitionBy("_cl_pid").orderBy("_cl_x", "_cl_tag").rowsBetween(0, Window.unboundedFollowing)
+    local = merged.withColumn("_cl_next", F.first(F.when(F.col("_cl_tag") == 1, F.struct("_cl_x", "_cl_l")),
+                                                  ignorenulls=True).over(w))
+    # first bound of every partition, then for each partition the first bound
+    # of the nearest later partition that has one (tables of one row per partition)
+    heads = merged.where(F.col("_cl_tag") == 1).groupBy("_cl_pid").agg(
+        F.min(F.struct("_cl_x", "_cl_l")).alias("_cl_head"))
+    pids = merged.select("_cl_pid").distinct().join(heads, "_cl_pid", "left")
+    after = Window.orderBy("_cl_pid").rowsBetween(1, Window.unboundedFollowing)
+    carry = pids.select("_cl_pid", F.first("_cl_head", ignorenulls=True).over(after).alias("_cl_carry"))
+    res = local.where(F.col("_cl_tag") == 0).join(F.broadcast(carry.select("_cl_pid", "_cl_carry")), "_cl_pid", "left")
+    answer = res.select(F.col("_cl_x"), F.coalesce(F.col("_cl_next")["_cl_l"], F.col("_cl_carry")["_cl_l"]).alias(out))
+    return df.join(answer, F.col(value) == F.col("_cl_x"), "left").drop("_cl_x")
 
 
 def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None) -> DataFrame:

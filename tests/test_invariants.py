@@ -104,3 +104,17 @@ def test_outer_join_equals_left_join_with_hot_key(spark, skewed):
     b = dim.join(fact, on="k2", how="left")
     assert a.count() == b.count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_range_lookup_merge_equals_array_path(spark, t, parts):
+    from cohortlens.operators import links
+    from cohortlens.functions.random import stable_uniform
+
+    bounds = links.cumulative_bounds(t.customer, "c_nationkey", out_label="slice")
+    u = t.customer.select("c_custkey", stable_uniform("c_custkey", 7).alias("u"))
+    u = u.unionByName(spark.createDataFrame([(-1, 2.0), (-2, None), (-3, 0.0)], "c_custkey long, u double"))
+    a = links.range_lookup(u, "u", bounds, "upper", "slice")
+    b = links._range_lookup_merge(u, "u", bounds, "upper", "slice", "slice", slices=parts)
+    assert a.count() == b.count() == u.count()
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
