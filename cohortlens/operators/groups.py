@@ -19,13 +19,23 @@ def count_by(
     distinct: str | None = None,
     having: Column | None = None,
     out: str = "n",
+    approx_rsd: float | None = None,
 ) -> DataFrame:
     """``COUNT(*)`` or ``COUNT(DISTINCT distinct)`` per group (or
-    global when ``keys`` is empty), with an optional WHERE and HAVING."""
+    global when ``keys`` is empty), with an optional WHERE and HAVING.
+
+    Exact distinct counts are planned as a two-level aggregate (first by
+    group and value, so a hot group is spread by value).  ``approx_rsd``
+    switches to HyperLogLog++ (``approx_count_distinct``) with that relative
+    standard deviation: one pass, fixed memory per group.
+    """
     keys = as_list(keys) if keys else []
     check_columns(df, keys)
     src = df.where(where) if where is not None else df
-    agg = F.count_distinct(F.col(distinct)) if distinct else F.count(F.lit(1))
+    if distinct and approx_rsd is not None:
+        agg = F.approx_count_distinct(F.col(distinct), approx_rsd)
+    else:
+        agg = F.count_distinct(F.col(distinct)) if distinct else F.count(F.lit(1))
     res = src.groupBy(*keys).agg(agg.cast("bigint").alias(out))
     return res.where(having) if having is not None else res
 

@@ -541,6 +541,25 @@ def spread(t: tables) -> DataFrame:
     return stats.spread(t.events, "value")
 
 
+@query("variance_by_hand", "A11 J6 M4", """
+WITH m AS (SELECT AVG(value) AS mu FROM events)
+SELECT ROUND(AVG(power(e.value - m.mu, 2)), 4) AS var_pop_by_hand, ROUND(sqrt(AVG(power(e.value - m.mu, 2))), 4) AS std_pop
+FROM events e CROSS JOIN m""")
+def variance_by_hand(t: tables) -> DataFrame:
+    # the reference's form: cross join to a one-row mean (broadcast, one row)
+    mu = t.events.agg(F.avg("value").alias("mu"))
+    d = t.events.select("value").crossJoin(F.broadcast(mu)).select(F.pow(F.col("value") - F.col("mu"), 2).alias("sq"))
+    return d.agg(F.round(F.avg("sq"), 4).alias("var_pop_by_hand"), F.round(F.sqrt(F.avg("sq")), 4).alias("std_pop"))
+
+
+@query("between_range", "F6 F4 F5", """
+SELECT c_custkey, c_acctbal, c_acctbal BETWEEN 1000 AND 2000 AS in_band
+FROM customer WHERE NOT (c_acctbal BETWEEN 0 AND 500)""")
+def between_range(t: tables) -> DataFrame:
+    c = t.customer.where(~F.col("c_acctbal").between(0, 500))
+    return c.select("c_custkey", "c_acctbal", F.col("c_acctbal").between(1000, 2000).alias("in_band"))
+
+
 @query("min_max_avg", "A6 A7", """
 SELECT ROUND(MIN(l_extendedprice), 4) AS min_value, ROUND(MAX(l_extendedprice), 4) AS max_value,
        ROUND(AVG(l_extendedprice), 4) AS avg_value FROM lineitem WHERE l_returnflag = 'R'""")

@@ -1,5 +1,3 @@
-import datetime as dt
-
 import clinical
 from cohortlens.functions.sql import register_sql_functions, share_of_total_sql
 
@@ -15,4 +13,3 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT * FROM unique_patients_per_drug('%')").count() == 0  # escaped
     sh = {r["group_value"]: r["pct"] for r in share_of_total_sql(spark, "demo_fixture", "gender").collect()}
     assert sh["Male"] == 44.44
-    assert dt is not None
