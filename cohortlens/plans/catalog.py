@@ -523,6 +523,19 @@ def linked_rows(t: tables) -> DataFrame:
 
 # ------------------------------------------------------------ stats, profiles
 
+@query("guarded_ratio_mean", "A20 F22 M3 J1 S6 D15", """
+SELECT o.o_orderpriority, ROUND(AVG(l.l_discount / NULLIF(l.l_tax, 0)), 4) AS mean_ratio,
+       COUNT(*) FILTER (WHERE l.l_tax = 0) AS n_zero_tax
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1""")
+def guarded_ratio_mean(t: tables) -> DataFrame:
+    # Q34 intent: mean of a per-row ratio whose zero denominators give NULL
+    li = t.lineitem.select("l_orderkey", fm.safe_ratio("l_discount", "l_tax").alias("r"),
+                           (F.col("l_tax") == 0).alias("zero_tax"))
+    j = li.join(t.orders.select("o_orderkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.groupBy("o_orderpriority").agg(F.round(F.avg("r"), 4).alias("mean_ratio"),
+                                            F.count_if("zero_tax").cast("bigint").alias("n_zero_tax"))
+
+
 @query("profile_quantiles", "A12 A13 A10", """
 SELECT o_orderpriority, ROUND(AVG(o_totalprice), 4) AS mean, ROUND(STDDEV_SAMP(o_totalprice), 4) AS std,
        ROUND(QUANTILE_CONT(o_totalprice, 0.25), 4) AS q1, ROUND(QUANTILE_CONT(o_totalprice, 0.75), 4) AS q3,
@@ -789,7 +802,7 @@ def column_difference(t: tables) -> DataFrame:
 
 @query("records_per_entity", "A30 R2", """
 SELECT o_custkey AS c_custkey, CAST(0 AS BIGINT) AS part, COUNT(*) AS n,
-       to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} ORDER BY o_orderkey)) AS records_json
+       CAST(to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} ORDER BY o_orderkey)) AS VARCHAR) AS records_json
 FROM orders GROUP BY o_custkey""")
 def records_per_entity(t: tables) -> DataFrame:
     o = t.orders.withColumnRenamed("o_custkey", "c_custkey")
