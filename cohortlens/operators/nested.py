@@ -2,10 +2,11 @@
 (A28-A31, R1-R3, X4, J15).
 
 A per-entity array is one value, and one entity may own a third of all
-rows.  So every function here packs an entity's records into *parts* of
-at most ``max_per_part`` records: the entity's count is taken first
+rows.  So every function here packs an entity's records into
+``ceil(count / max_per_part)`` *parts*: the entity's count is taken first
 (partial aggregation), each record gets a part number from a hash of its
-content, and the final aggregate groups by (entity, part) after an
+content (so parts hold about ``max_per_part`` records or fewer, balanced by
+the hash), and the final aggregate groups by (entity, part) after an
 explicit shuffle on both.  Entities below the bound have exactly one part
 (part 0), the reference's shape; a hot entity is spread over many tasks.
 No record is dropped.

@@ -118,3 +118,21 @@ def test_range_lookup_merge_equals_array_path(spark, t, parts):
     b = links._range_lookup_merge(u, "u", bounds, "upper", "slice", "slice", slices=parts)
     assert a.count() == b.count() == u.count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_nested_parts_split_hot_entity(skewed):
+    from cohortlens.operators import nested
+
+    # group "hot" owns 15,000 rows, the others 3,000 each; parts of at most 4,000 records
+    res = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
+    rows = res.select("g", "part", "n", F.size("records").alias("sz")).collect()
+    hot = [r for r in rows if r["g"] == "hot"]
+    assert len(hot) == 4 and all(r["n"] == r["sz"] for r in rows)
+    assert sum(r["n"] for r in rows) == skewed.count()
+    assert all(r["part"] == 0 for r in rows if r["g"] != "hot")
+    # every record kept exactly once, and each part sorted
+    flat = res.select("g", F.explode("records").alias("r")).select("g", "r.k", "r.v")
+    assert flat.exceptAll(skewed.select("g", "k", "v")).count() == 0
+    first = res.where(F.col("g") == "hot").select(F.col("records")[0]["k"].alias("k0"), F.array_min(
+        F.transform("records", lambda x: x["k"])).alias("kmin")).collect()
+    assert all(r["k0"] == r["kmin"] for r in first)
