@@ -3,11 +3,11 @@
 
 A per-entity array is one value, and one entity may own a third of all
 rows.  So every function here packs an entity's records into
-``ceil(count / max_per_part)`` *parts*: the entity's count is taken first
-(partial aggregation), each record gets a part number from a hash of its
-content (so parts hold about ``max_per_part`` records or fewer, balanced by
-the hash), and the final aggregate groups by (entity, part) after an
-explicit shuffle on both.  Entities below the bound have exactly one part
+``ceil(count / max_per_part)`` *parts*: entity counts are taken first
+(partial aggregation), each record of an entity above the bound gets a part
+number from a hash of its content (so parts hold about ``max_per_part``
+records or fewer, balanced by the hash), and the final aggregate groups by
+(entity, part) after an explicit shuffle on both.  Entities below the bound have exactly one part
 (part 0), the reference's shape; a hot entity is spread over many tasks.
 No record is dropped.
 """
@@ -24,14 +24,34 @@ from cohortlens.operators._util import as_list
 DEFAULT_MAX_PER_PART = 50_000
 
 
+# Entities above the part bound are looked up from a broadcast table when
+# there are at most this many of them (checked); beyond it, a join.
+HOT_KEYS_BROADCAST_LIMIT = 100_000
+
+
 def _with_parts(df: DataFrame, key: list[str], content: list[str], max_per_part: int) -> DataFrame:
+    """Add ``part`` and shuffle on (key..., part).
+
+    Only entities with more than ``max_per_part`` records get more than one
+    part.  Their number is at most rows / max_per_part; it is counted, and
+    when it is small (the usual case: a few hot entities) the part counts are
+    broadcast, so the raw rows are shuffled once, straight to their
+    (entity, part) task.
+    """
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_cl_cnt"))
-    parts = F.ceil(F.col("_cl_cnt") / F.lit(max_per_part)).cast("bigint")
+    hot = counts.where(F.col("_cl_cnt") > max_per_part).select(
+        *key, F.ceil(F.col("_cl_cnt") / F.lit(max_per_part)).cast("bigint").alias("_cl_parts"))
+    n_hot = hot.count()
     h = F.xxhash64(*[F.col(c) for c in content])
-    with_n = df.join(counts, on=key, how="inner")
-    return with_n.withColumn("part", F.when(parts <= 1, F.lit(0).cast("bigint")).otherwise(F.pmod(h, parts))).drop(
-        "_cl_cnt"
-    ).repartition(*[F.col(k) for k in key], F.col("part"))
+    if n_hot == 0:
+        tagged = df.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot
+        joined = df.join(side, on=key, how="left")
+        tagged = joined.withColumn(
+            "part", F.when(F.col("_cl_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(h, F.col("_cl_parts")))
+        ).drop("_cl_parts")
+    return tagged.repartition(*[F.col(k) for k in key], F.col("part"))
 
 
 def collect_sorted(

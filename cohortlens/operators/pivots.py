@@ -20,21 +20,24 @@ def pivot_counts(
     prefix: str = "n_",
 ) -> DataFrame:
     """Rows x declared categories, counts aligned by *value* (a
-    missing category is a zero column, never a shift), zero-filled.
+    missing category is a zero column, never a shift).
 
-    Declaring the values avoids Spark's extra distinct-values job and keeps
-    the output schema fixed.
+    One conditional aggregate per declared value: a single partial + final
+    aggregation (Spark's ``pivot()`` plans two), no distinct-values job, and
+    a fixed output schema.  ``fill=None`` gives NULL instead of 0 for a
+    category absent from a row group.
     """
     row = as_list(row)
     check_columns(df, [*row, col])
-    p = df.groupBy(*row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    ren = {str(v): f"{prefix}{v}" for v in values}
-    p = p.withColumnsRenamed(ren)
-    out_cols = [f"{prefix}{v}" for v in values]
-    p = p.withColumns({c: F.col(c).cast("bigint") for c in out_cols})
-    if fill is not None:
-        p = p.fillna(fill, subset=out_cols)
-    return p
+    aggs = []
+    for v in values:
+        c = F.count_if(F.col(col) == F.lit(v)).cast("bigint")
+        if fill is None:
+            c = F.nullif(c, F.lit(0))
+        elif fill != 0:
+            c = F.when(c == 0, F.lit(fill).cast("bigint")).otherwise(c)
+        aggs.append(c.alias(f"{prefix}{v}"))
+    return df.groupBy(*row).agg(*aggs)
 
 
 def flag_counts(

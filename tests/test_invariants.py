@@ -136,3 +136,12 @@ def test_nested_parts_split_hot_entity(skewed):
     first = res.where(F.col("g") == "hot").select(F.col("records")[0]["k"].alias("k0"), F.array_min(
         F.transform("records", lambda x: x["k"])).alias("kmin")).collect()
     assert all(r["k0"] == r["kmin"] for r in first)
+
+
+def test_nested_parts_join_fallback_same_result(skewed, monkeypatch):
+    from cohortlens.operators import nested
+
+    a = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
+    monkeypatch.setattr(nested, "HOT_KEYS_BROADCAST_LIMIT", 0)
+    b = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
