@@ -5,7 +5,13 @@ from cohortlens.streaming.guards import (
     alerts,
     constrained_ingest,
     delete_guard,
+    ingest_stream,
+    ingest_summary,
+    tag_violations,
     lookup_or_report,
 )
 
-__all__ = ["alert_stream", "alerts", "constrained_ingest", "delete_guard", "lookup_or_report"]
+__all__ = [
+    "alert_stream", "alerts", "constrained_ingest", "delete_guard", "ingest_stream", "ingest_summary",
+    "lookup_or_report", "tag_violations",
+]

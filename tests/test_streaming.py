@@ -46,3 +46,17 @@ def test_constrained_ingest_on_stream(spark, scratch):
         outs[name] = spark.read.parquet(path).count()
     total = spark.read.parquet(f"{SF_TINY}/events.parquet").count()
     assert outs["acc"] + outs["rej"] == total and outs["rej"] > 0
+
+
+def test_ingest_stream_two_sinks_exactly_once(spark, scratch):
+    acc_dir, rej_dir = os.path.join(scratch, "acc"), os.path.join(scratch, "rej")
+    ckpt = os.path.join(scratch, "ck")
+    rules = {"value_gt_8": F.col("value") > 8}
+    for _ in range(2):  # the second run finds nothing new
+        guards.ingest_stream(spark, SF_TINY, DRIVER_SCHEMAS["events"], rules, acc_dir, rej_dir,
+                             glob="events.parquet", checkpoint_dir=ckpt)
+    acc, rej = spark.read.parquet(acc_dir), spark.read.parquet(rej_dir)
+    src = spark.read.parquet(f"{SF_TINY}/events.parquet")
+    assert acc.count() + rej.count() == src.count()
+    assert rej.where(F.col("reason") != "value_gt_8").count() == 0
+    assert acc.drop("batch_id").exceptAll(src.where(F.col("value") > 8)).count() == 0
