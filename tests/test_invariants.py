@@ -145,3 +145,21 @@ def test_nested_parts_join_fallback_same_result(skewed, monkeypatch):
     monkeypatch.setattr(nested, "HOT_KEYS_BROADCAST_LIMIT", 0)
     b = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("order", [
+    [("v", False), ("k", True)], [("v", True), ("k", True)], [("s", True), ("k", False)], [("s", False), ("k", True)],
+    [("s", False), ("t", False)],
+])
+def test_first_value_by_equals_window(spark, order):
+    from pyspark.sql import Window
+
+    from cohortlens.operators.ranking import _sort_exprs, first_value_by
+
+    rows = [(g, k, v, s, t) for g in range(3) for k, v, s, t in
+            [(1, 5.0, "b", "x"), (2, None, "a", "y"), (3, 5.0, None, "z"), (4, -1.0, "c", None), (5, 7.0, "a", "y")]]
+    df = spark.createDataFrame(rows, "g int, k int, v double, s string, t string")
+    a = first_value_by(df, ["g"], "k", order, out="x")
+    w = Window.partitionBy("g").orderBy(*_sort_exprs(order))
+    b = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("g", F.col("k").alias("x"))
+    assert sorted(a.collect()) == sorted(b.collect())
