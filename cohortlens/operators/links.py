@@ -100,10 +100,12 @@ def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col:
     bnd = bounds.select(F.col(bound_col).cast(vt).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
                         F.col(label_col).alias("_cl_l")).where(F.col("_cl_x").isNotNull())
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = vals.unionByName(bnd).repartitionByRange(n, "_cl_x", "_cl_tag").withColumn(
+    merged = vals.unionByName(bnd).repartitionByRange(n, "_cl_x", "_cl_tag", "_cl_l").withColumn(
         "_cl_pid", F.spark_partition_id()).checkpoint(eager=True)
     # label of the bound at or after each row, inside the row's range partition
-    w = Window.partitionBy("_cl_pid").orderBy("_cl_x", "_cl_tag").rowsBetween(0, Window.unboundedFollowing)
+    # ties between equal bounds resolve to the smallest label, as in the array path
+    w = Window.partitionBy("_cl_pid").orderBy("_cl_x", "_cl_tag", F.col("_cl_l").asc_nulls_first()).rowsBetween(
+        0, Window.unboundedFollowing)
     local = merged.withColumn("_cl_next", F.first(F.when(F.col("_cl_tag") == 1, F.struct("_cl_x", "_cl_l")),
                                                   ignorenulls=True).over(w))
     # first bound of every partition, then for each partition the first bound
