@@ -7,6 +7,7 @@ from cohortlens.sources.tables import (
     tables,
     write_snapshot,
 )
+from cohortlens.sources.layout import write_clustered_snapshot
 from cohortlens.sources.schemas import CLINICAL_SCHEMAS, DRIVER_SCHEMAS, clean_sentinels
 
 __all__ = [
@@ -17,5 +18,6 @@ __all__ = [
     "inline_rows",
     "read_table",
     "tables",
+    "write_clustered_snapshot",
     "write_snapshot",
 ]

@@ -386,3 +386,16 @@ def test_snapshot_roundtrip_prunes_partitions(db, scratch):  # S8 + F7 partition
 def test_flag_coercion_in_schema(db):  # '1' and 1 compare the same on an int column
     h = db["history"]
     assert h.where(F.col("diabetes") == "1").count() == h.where(F.col("diabetes") == 1).count() == 4
+
+
+def test_clustered_snapshot_ranges_do_not_overlap(spark, scratch):
+    import os
+
+    from cohortlens.sources import tables, write_clustered_snapshot
+
+    o = tables(spark, "/root/testdata/sf0.01").orders
+    back = write_clustered_snapshot(o, os.path.join(scratch, "orders_by_date"), ["o_orderdate"], files=4)
+    spans = sorted(tuple(r[1:]) for r in back.groupBy(F.input_file_name()).agg(
+        F.min("o_orderdate"), F.max("o_orderdate")).collect())
+    assert len(spans) == 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert back.count() == o.count()
