@@ -61,9 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if current:
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder"
