@@ -4,6 +4,7 @@ text of ``explain`` output only."""
 from __future__ import annotations
 
 import io
+import re
 from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame
@@ -32,3 +33,35 @@ def check_plan(df: DataFrame) -> list[str]:
             if "HashAggregate(keys=[]" not in window and "ObjectHashAggregate(keys=[]" not in window:
                 problems.append(line.strip()[:200])
     return problems
+
+
+_BOUNDED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject", "GlobalLimit",
+            "CollectLimit", "_cl_pid")
+
+
+def unbounded_single_partition(df: DataFrame) -> list[str]:
+    """Single-partition exchanges fed by raw rows: for each ``Exchange
+    SinglePartition`` in the physical plan, walk its subtree and report it
+    when a scan is reached before any aggregate, limit or per-partition
+    offset table (which bound the rows that reach the one task)."""
+    txt = plan_text(df, "extended")
+    lines = txt[txt.index("== Physical Plan =="):].splitlines()[1:]
+
+    def depth(line: str) -> int:
+        m = re.search(r"[+:]- |\*\(|[A-Z]", line)
+        return m.start() if m else len(line)
+
+    problems = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        d0 = depth(line)
+        for child in lines[i + 1:]:
+            if child.strip() and depth(child) <= d0:
+                break
+            if any(b in child for b in _BOUNDED):
+                break
+            if "FileScan" in child or "Scan ExistingRDD" in child or "LocalTableScan" in child:
+                problems.append(line.strip()[:160])
+                break
+    return problems

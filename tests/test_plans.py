@@ -5,7 +5,7 @@ rows in the ranking keys, filters and column pruning reach the scan."""
 import pytest
 
 from cohortlens.plans.catalog import REGISTRY, build
-from cohortlens.plans.inspect import check_plan, plan_text
+from cohortlens.plans.inspect import check_plan, plan_text, unbounded_single_partition
 
 from conftest import SF_SMALL
 
@@ -31,3 +31,22 @@ def test_raw_row_ranking_not_single_partition(spark, key):
         if "Exchange SinglePartition" in line:
             below = "\n".join(lines[i + 1: i + 4])
             assert "_cl_pid" in below, f"single-partition exchange over raw rows in {key}: {line.strip()}"
+
+
+@pytest.mark.parametrize("key", sorted(REGISTRY))
+def test_single_partition_only_over_bounded_input(spark, key):
+    problems = unbounded_single_partition(build(spark, key, SF_SMALL))
+    assert not problems, problems
+
+
+def test_checker_flags_global_window_over_raw_rows(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from cohortlens.sources import tables
+
+    c = tables(spark, SF_SMALL).customer
+    bad = c.withColumn("r", F.rank().over(Window.orderBy("c_acctbal")))
+    assert unbounded_single_partition(bad)
+    ok = c.groupBy("c_mktsegment").count().withColumn("r", F.rank().over(Window.orderBy("count")))
+    assert not unbounded_single_partition(ok)
