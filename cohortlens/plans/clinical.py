@@ -129,9 +129,15 @@ def birth_year(c: ClinicalTables, seed: int = 0) -> DataFrame:
 
 
 @question("Q3", "present_age")
-def present_age(c: ClinicalTables, as_of: str = "2024-01-01", seed: int = 0) -> DataFrame:
+def present_age(c: ClinicalTables, as_of: str | None = None, seed: int = 0) -> DataFrame:
+    """``as_of=None`` means today (the reference's CURRENT_DATE); pass a date
+    for reproducible results."""
     d = birth_year(c, seed)
-    return d.select(fd.age_as_of("birth_year", as_of).alias("present_age"), *d.columns)
+    if as_of is None:
+        age = (F.year(F.current_date()) - F.col("birth_year")).cast("bigint")
+    else:
+        age = fd.age_as_of("birth_year", as_of)
+    return d.select(age.alias("present_age"), *d.columns)
 
 
 @question("Q4", "gender_share")
@@ -549,8 +555,9 @@ def occupation_bits(c: ClinicalTables) -> DataFrame:
 
 
 @question("Q70", "add_todays_date")
-def add_todays_date(c: ClinicalTables, as_of: str = "2024-01-01") -> DataFrame:
-    return enrich.add_if_missing(c.cardiaccomplications, "todaysdate", F.lit(as_of).cast("date"))
+def add_todays_date(c: ClinicalTables, as_of: str | None = None) -> DataFrame:
+    day = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    return enrich.add_if_missing(c.cardiaccomplications, "todaysdate", day)
 
 
 @question("Q71", "second_bmi_of_top_myoglobin")

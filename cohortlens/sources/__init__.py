@@ -4,6 +4,7 @@ from cohortlens.sources.tables import (
     DRIVER_TABLES,
     inline_rows,
     read_table,
+    register_views,
     tables,
     write_snapshot,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "clean_sentinels",
     "inline_rows",
     "read_table",
+    "register_views",
     "tables",
     "write_clustered_snapshot",
     "write_snapshot",

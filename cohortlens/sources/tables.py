@@ -58,3 +58,14 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def register_views(spark: SparkSession, base_dir: str, names: tuple[str, ...] = DRIVER_TABLES) -> list[str]:
+    """Register each table under ``base_dir`` as a temporary view of the same
+    name, for users who work in ``spark.sql``.  Returns the registered names."""
+    done = []
+    for n in names:
+        if os.path.exists(os.path.join(base_dir, f"{n}.parquet")):
+            read_table(spark, base_dir, n).createOrReplaceTempView(n)
+            done.append(n)
+    return done

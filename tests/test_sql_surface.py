@@ -13,3 +13,12 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT * FROM unique_patients_per_drug('%')").count() == 0  # escaped
     sh = {r["group_value"]: r["pct"] for r in share_of_total_sql(spark, "demo_fixture", "gender").collect()}
     assert sh["Male"] == 44.44
+
+
+def test_register_views_runs_sql(spark):
+    from cohortlens.sources import register_views
+
+    names = register_views(spark, "/root/testdata/sf0.001")
+    assert "orders" in names
+    n = spark.sql("SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F'").first()["n"]
+    assert n > 0
