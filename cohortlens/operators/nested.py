@@ -7,7 +7,9 @@ rows.  So every function here packs an entity's records into
 (partial aggregation), each record of an entity above the bound gets a part
 number from a hash of its content (so parts hold about ``max_per_part``
 records or fewer, balanced by the hash), and the final aggregate groups by
-(entity, part) after an explicit shuffle on both.  Entities below the bound have exactly one part
+(entity, part) after an explicit shuffle on both.  Identical records hash to
+the same part, so records should carry a unique field (a record id in
+``fields`` or ``order_by``), as every caller here does.  Entities below the bound have exactly one part
 (part 0), the reference's shape; a hot entity is spread over many tasks.
 No record is dropped.
 """
