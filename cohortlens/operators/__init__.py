@@ -1,5 +1,17 @@
 """Cohort-analytics operators: DataFrame(s) in, lazy DataFrame out."""
 
-from cohortlens.operators import enrich, groups, joins, links, nested, pivots, ranking, rates, stats, timeseries
+from cohortlens.operators import (
+    enrich,
+    groups,
+    joins,
+    links,
+    nested,
+    pivots,
+    ranking,
+    rates,
+    stats,
+    textops,
+    timeseries,
+)
 
-__all__ = ["enrich", "groups", "joins", "links", "nested", "pivots", "ranking", "rates", "stats", "timeseries"]
+__all__ = ["enrich", "groups", "joins", "links", "nested", "pivots", "ranking", "rates", "stats", "textops", "timeseries"]

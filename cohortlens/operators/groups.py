@@ -100,6 +100,13 @@ def band(col: str | Column, cuts: Sequence[float], labels: Sequence[str], *, nul
     return expr
 
 
+def band_by(df: DataFrame, col: str, cuts: Sequence[float], labels: Sequence[str], *,
+            null_label: str | None = "unknown", out: str = "band", right_closed: bool = True) -> DataFrame:
+    """Add ``out`` with the band label of ``col`` (see :func:`band`)."""
+    check_columns(df, [col])
+    return df.withColumn(out, band(col, cuts, labels, null_label=null_label, right_closed=right_closed))
+
+
 def profile(
     df: DataFrame,
     by: str | Sequence[str],

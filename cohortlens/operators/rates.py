@@ -65,6 +65,7 @@ def conditional_rate(
     by: str | Sequence[str],
     flag: Column,
     *,
+    within: Column | None = None,
     scale: int | None = 4,
     count_col: str = "n",
     flag_col: str = "n_flag",
@@ -73,9 +74,12 @@ def conditional_rate(
 ) -> DataFrame:
     """Per group, rows, rows where ``flag`` holds, and the rate in
     percent.  One partial + final aggregate (the reference's self-join to its
-    own aggregate, J10, becomes this single pass)."""
+    own aggregate, J10, becomes this single pass).  ``within`` restricts the
+    population first (e.g. only patients in a coma)."""
     by = as_list(by)
     check_columns(df, by)
+    if within is not None:
+        df = df.where(within)
     g = df.groupBy(*by).agg(
         F.count(F.lit(1)).cast("bigint").alias(count_col),
         F.count_if(flag).cast("bigint").alias(flag_col),

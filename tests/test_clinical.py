@@ -399,3 +399,21 @@ def test_clustered_snapshot_ranges_do_not_overlap(spark, scratch):
         F.min("o_orderdate"), F.max("o_orderdate")).collect())
     assert len(spans) == 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert back.count() == o.count()
+
+
+def test_text_operators_and_band_by(db):
+    from cohortlens.operators import textops
+
+    p = db["prescriptions"]
+    assert textops.matching(p, "drug_name", prefix="FURO").count() == 2
+    assert textops.matching(p, "drug_name", like="E%x%").count() == 1
+    assert textops.matching(p, "drug_name", regex="(?i)digoxin|furosemide").count() == 3
+    assert textops.matching(p, "drug_name", ilike="%tablet", longer_than=20).count() == 1
+    f = textops.text_features(db["demography"], "occupation", prefix="o_")
+    r = {x["occupation"]: (x["o_chars"], x["o_bits"]) for x in f.collect()}
+    assert r["Ärztin"] == (6, 56)
+    b = groups.band_by(db["demography"], "bmi", [30], ["low", "high"], out="b")
+    assert dict(rows(b, "inpatient_number", "b"))[106] == "unknown"
+    r2 = rates.conditional_rate(db["responses"].join(db["history"], "inpatient_number", "left"), [],
+                                F.col("diabetes") == 1, within=F.col("gcs") <= 8).first()
+    assert r2["n"] == 2
