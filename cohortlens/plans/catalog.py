@@ -460,6 +460,51 @@ def using_join(t: tables) -> DataFrame:
     return o.join(c, on=["custkey"]).select("custkey", "o_orderkey", "c_name")
 
 
+@query("max_over_join", "J3 W11 W18 A7", """
+SELECT o.o_orderpriority, c.c_mktsegment, MAX(l.l_extendedprice) AS max_price
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+GROUP BY 1, 2""")
+def max_over_join(t: tables) -> DataFrame:
+    # Q47 shape: DISTINCT + MAX() OVER (PARTITION BY a, b) over a three-way
+    # join is a grouped max; lineitem is reduced to one max per order first
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.max("l_extendedprice").alias("m"))
+    j = per_order.join(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"),
+                       F.col("l_orderkey") == F.col("o_orderkey"))
+    per_cust = j.groupBy("o_custkey", "o_orderpriority").agg(F.max("m").alias("m"))
+    jc = per_cust.join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    return jc.groupBy("o_orderpriority", "c_mktsegment").agg(F.max("m").alias("max_price"))
+
+
+@query("join_or_filter", "J3 F5 F4", """
+SELECT c.c_custkey, o.o_orderkey, l.l_linenumber, l.l_quantity, l.l_discount
+FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+WHERE (l.l_quantity > 45 OR l.l_discount > 0.09) AND c.c_acctbal < 0""")
+def join_or_filter(t: tables) -> DataFrame:
+    # B23 shape: each side filtered before the joins (the OR stays on lineitem)
+    li = t.lineitem.where((F.col("l_quantity") > 45) | (F.col("l_discount") > 0.09)).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    c = t.customer.where(F.col("c_acctbal") < 0).select("c_custkey")
+    o = t.orders.select("o_orderkey", "o_custkey").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "c_custkey", "o_orderkey", "l_linenumber", "l_quantity", "l_discount")
+
+
+@query("outer_made_inner", "J5 J4 A2 D3", """
+SELECT l.l_returnflag, COUNT(c.c_custkey) AS n_customer_lines
+FROM customer c RIGHT JOIN orders o ON o.o_custkey = c.c_custkey LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+WHERE c.c_acctbal > 5000 AND o.o_orderstatus = 'F'
+GROUP BY 1""")
+def outer_made_inner(t: tables) -> DataFrame:
+    # B8 shape: the WHERE on the customer side makes the RIGHT JOIN inner, so
+    # it is written as an inner join; the lineitem side stays outer
+    c = t.customer.where(F.col("c_acctbal") > 5000).select("c_custkey")
+    o = t.orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
+    co = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    li = t.lineitem.select("l_orderkey", "l_returnflag")
+    j = co.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return j.groupBy("l_returnflag").agg(F.count("c_custkey").cast("bigint").alias("n_customer_lines"))
+
+
 @query("correlation", "A8 J1", """
 SELECT ROUND(CORR(c.c_acctbal, o.o_totalprice), 4) AS corr
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""")
