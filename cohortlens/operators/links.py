@@ -99,8 +99,9 @@ def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col:
         "_cl_x", F.lit(0).alias("_cl_tag"), F.lit(None).cast(bounds.schema[label_col].dataType).alias("_cl_l"))
     bnd = bounds.select(F.col(bound_col).cast(vt).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
                         F.col(label_col).alias("_cl_l")).where(F.col("_cl_x").isNotNull())
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = vals.unionByName(bnd).repartitionByRange(n, "_cl_x", "_cl_tag", "_cl_l").withColumn(
+    from cohortlens.operators.ranking import _range_partition
+
+    merged = _range_partition(vals.unionByName(bnd), slices, F.col("_cl_x"), F.col("_cl_tag"), F.col("_cl_l")).withColumn(
         "_cl_pid", F.spark_partition_id()).checkpoint(eager=True)
     # label of the bound at or after each row, inside the row's range partition
     # ties between equal bounds resolve to the smallest label, as in the array path

@@ -35,10 +35,12 @@ def _sort_exprs(order: OrderSpec) -> list[Column]:
     return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in order]
 
 
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range_partition(df: DataFrame, slices: int | None, *cols: Column) -> DataFrame:
+    """Range-partition on ``cols``.  Without an explicit count the shuffle
+    uses ``spark.sql.shuffle.partitions`` and AQE may merge *adjacent* small
+    partitions at run time, which keeps every partition a contiguous key
+    range in order, so partition ids stay valid positions in the order."""
+    return df.repartitionByRange(slices, *cols) if slices else df.repartitionByRange(*cols)
 
 
 def ordered_index(
@@ -65,8 +67,8 @@ def ordered_index(
     group = list(group)
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
     keyed = df.withColumn("_cl_w", w.cast("bigint"))
-    ranged = keyed.repartitionByRange(
-        _slices(df, slices), *[F.col(g).asc_nulls_last() for g in group], *_sort_exprs(order)
+    ranged = _range_partition(
+        keyed, slices, *[F.col(g).asc_nulls_last() for g in group], *_sort_exprs(order)
     ).withColumn(_PID, F.spark_partition_id())
     # Reliable checkpoint: fixes the partition ids and cuts the lineage.
     ranged = ranged.checkpoint(eager=True)
