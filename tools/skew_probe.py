@@ -60,6 +60,11 @@ def run(scratch: str, rows: int) -> dict:
                                                                             .otherwise(F.col("g"))), "hg", "v"),
         "nested_parts_hot_entity": lambda: nested.collect_sorted(data, "e", ["k", "v"], ["k"], max_per_part=20000),
         "outer_join_hot_key": lambda: joins.outer_join(dims, data.select("e", "k"), "e"),
+        "count_distinct_hot_group": lambda: groups.count_by(data.withColumn("hg", F.when(F.col("e") == 1, 0)
+                                                                            .otherwise(F.col("g"))), "hg", distinct="k"),
+        "first_value_hot_group": lambda: ranking.first_value_by(data, ["e"], "k", [("v", False), ("k", True)]),
+        "top_k_ties_hot_top": lambda: ranking.top_k_with_ties(data.withColumn("v", F.when(F.col("v") == 7.0, 1e9)
+                                                                                .otherwise(F.col("v"))), "v", 5),
     }
     for name, build in probes.items():
         spark.sparkContext.setJobGroup(name, name)
