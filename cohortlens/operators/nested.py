@@ -32,7 +32,7 @@ HOT_KEYS_BROADCAST_LIMIT = 100_000
 
 
 def _with_parts(df: DataFrame, key: list[str], content: list[str], max_per_part: int) -> DataFrame:
-    """Add ``part`` and shuffle on (key..., part).
+    """Add ``part``; when some entity has several parts, shuffle on (key..., part).
 
     Only entities with more than ``max_per_part`` records get more than one
     part.  Their number is at most rows / max_per_part; it is counted, and
@@ -46,7 +46,9 @@ def _with_parts(df: DataFrame, key: list[str], content: list[str], max_per_part:
     n_hot = hot.count()
     h = F.xxhash64(*[F.col(c) for c in content])
     if n_hot == 0:
-        tagged = df.withColumn("part", F.lit(0).cast("bigint"))
+        # one part per entity: the (entity, part) aggregate needs no extra
+        # shuffle when the input is already partitioned by the entity
+        return df.withColumn("part", F.lit(0).cast("bigint"))
     else:
         side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot
         joined = df.join(side, on=key, how="left")
