@@ -13,7 +13,8 @@ from cohortlens.operators._util import as_list, check_columns
 def _pct(num: Column, den: Column, scale: int | None, truncate: bool) -> Column:
     if truncate:
         # The reference's integer percentage, (100 * a) div b
-        return F.when(den != 0, F.call_function("div", num.cast("bigint") * 100, den.cast("bigint"))).cast("bigint")
+        # NULL for a zero total; the total appears once (one scalar subquery)
+        return F.call_function("div", num.cast("bigint") * 100, F.nullif(den.cast("bigint"), F.lit(0))).cast("bigint")
     val = F.try_divide(num.cast("double") * 100.0, den.cast("double"))
     return F.round(val, scale) if scale is not None else val
 
