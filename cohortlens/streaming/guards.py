@@ -106,8 +106,12 @@ def delete_guard(prev: DataFrame, nxt: DataFrame, keys: str | Sequence[str], *,
     """Keys present in the previous snapshot but missing in the next
     (deleted rows).  ``strict=True`` raises when any exists, like the
     reference's BEFORE DELETE trigger."""
+    from cohortlens.operators._util import join_null_safe
+
     keys = as_list(keys)
-    missing = prev.select(*keys).join(nxt.select(*keys), on=keys, how="left_anti").distinct()
+    # NULL keys compare equal here: a row with a NULL key that is still
+    # present is not a deletion
+    missing = join_null_safe(prev.select(*keys), nxt.select(*keys).distinct(), keys, "left_anti").distinct()
     if strict and not missing.isEmpty():
         raise ValueError("delete guard: rows were removed between snapshots")
     return missing

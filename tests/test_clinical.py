@@ -417,3 +417,9 @@ def test_text_operators_and_band_by(db):
     r2 = rates.conditional_rate(db["responses"].join(db["history"], "inpatient_number", "left"), [],
                                 F.col("diabetes") == 1, within=F.col("gcs") <= 8).first()
     assert r2["n"] == 2
+
+
+def test_delete_guard_null_keys(spark):
+    prev = spark.createDataFrame([(1,), (None,), (3,)], "k long")
+    nxt = spark.createDataFrame([(None,), (3,)], "k long")
+    assert [r["k"] for r in guards.delete_guard(prev, nxt, "k").collect()] == [1]
