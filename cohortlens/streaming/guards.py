@@ -173,3 +173,44 @@ def lookup_or_report(
     if strict and not res.where(F.col(status) == "not found").isEmpty():
         raise KeyError("lookup: some ids were not found")
     return res
+
+
+def publish_snapshot(
+    prev: DataFrame | None,
+    new: DataFrame,
+    path: str,
+    keys: str | Sequence[str],
+    *,
+    rules: Mapping[str, Column] | None = None,
+    forbid_deletes: bool = True,
+) -> dict:
+    """The change path: check a new version of a table and publish it as an
+    immutable snapshot (the reference changed tables in place behind
+    triggers).
+
+    1. G2: keys of ``prev`` missing from ``new`` are deletions; with
+       ``forbid_deletes`` any deletion aborts before anything is written.
+    2. G3: rows breaking a rule are split off with the rule's name.
+    3. One pass writes all rows partitioned by ``_outcome``
+       (``accepted`` or the broken rule), so the input is read once; the
+       published snapshot is the ``_outcome=accepted`` folder.
+
+    Returns ``{"path", "accepted", "rejected", "deleted"}`` (counts from the
+    written files).
+    """
+    import os
+
+    deleted = 0
+    if prev is not None:
+        gone = delete_guard(prev, new, keys)
+        deleted = gone.count()
+        if forbid_deletes and deleted:
+            raise ValueError(f"publish refused: {deleted} key(s) deleted since the previous snapshot")
+    tagged = tag_violations(new, rules or {}, out="_outcome") if rules else new.withColumn("_outcome", F.lit(None))
+    tagged = tagged.withColumn("_outcome", F.coalesce(F.col("_outcome").cast("string"), F.lit("accepted")))
+    tagged.write.mode("overwrite").partitionBy("_outcome").parquet(path)
+    written = new.sparkSession.read.parquet(path)
+    counts = {r["_outcome"]: r["n"] for r in written.groupBy("_outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
+    accepted = counts.pop("accepted", 0)
+    return {"path": os.path.join(path, "_outcome=accepted"), "accepted": accepted,
+            "rejected": sum(counts.values()), "deleted": deleted}

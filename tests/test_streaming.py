@@ -60,3 +60,18 @@ def test_ingest_stream_two_sinks_exactly_once(spark, scratch):
     assert acc.count() + rej.count() == src.count()
     assert rej.where(F.col("reason") != "value_gt_8").count() == 0
     assert acc.drop("batch_id").exceptAll(src.where(F.col("value") > 8)).count() == 0
+
+
+def test_publish_snapshot_change_path(spark, scratch):
+    import pytest
+
+    events = spark.read.parquet(f"{SF_TINY}/events.parquet")
+    rules = {"value_gt_8": F.col("value") > 8}
+    rep = guards.publish_snapshot(None, events, os.path.join(scratch, "v1"), "event_id", rules=rules)
+    assert rep["accepted"] + rep["rejected"] == events.count() and rep["deleted"] == 0
+    published = spark.read.parquet(rep["path"])
+    assert published.count() == rep["accepted"] and published.where(F.col("value") <= 8).count() == 0
+    # a new version that drops rows is refused and writes nothing
+    with pytest.raises(ValueError):
+        guards.publish_snapshot(events, events.where(F.col("event_id") % 10 != 0), os.path.join(scratch, "v2"), "event_id")
+    assert not os.path.exists(os.path.join(scratch, "v2"))
