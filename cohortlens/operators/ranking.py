@@ -219,6 +219,29 @@ def nth_highest(df: DataFrame, col: str, n: int, *, out: str | None = None, dist
     return picked
 
 
+def nth_value_rows(df: DataFrame, col: str, n: int, *, ascending: bool = False, frame: str = "unbounded",
+                   out: str | None = None) -> DataFrame:
+    """``NTH_VALUE(col, n) OVER (ORDER BY col)`` on every row, NULLs
+    last, without moving the rows into one task.
+
+    ``frame='unbounded'``: every row gets the n-th value (the intent).
+    ``frame='default'`` (``RANGE UNBOUNDED PRECEDING .. CURRENT ROW``, peers
+    included): a row gets it only once its frame, all rows ahead plus its
+    peers, holds at least n rows, otherwise NULL.  The frame size comes
+    from :func:`ordered_index` on the counted distinct values.
+    """
+    out = out or f"nth_{col}"
+    v_n = nth_highest(df, col, n, out="_cl_vn", ascending=ascending).scalar()
+    if frame == "unbounded":
+        return df.withColumn(out, v_n)
+    if frame != "default":
+        raise ValueError("frame must be 'unbounded' or 'default'")
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_cl_n"))
+    idx = ordered_index(counts, [(col, ascending)], weight="_cl_n", total=None)
+    idx = idx.select(col, F.when(F.col("w_before") + F.col("_cl_n") >= n, v_n).alias(out))
+    return join_null_safe(df, idx, [col])
+
+
 def top_k_with_ties(df: DataFrame, col: str, k: int, *, ascending: bool = False) -> DataFrame:
     """Rows with ``RANK() OVER (ORDER BY col) <= k``, NULLs excluded.
 

@@ -163,3 +163,20 @@ def test_first_value_by_equals_window(spark, order):
     w = Window.partitionBy("g").orderBy(*_sort_exprs(order))
     b = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("g", F.col("k").alias("x"))
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+@pytest.mark.parametrize("frame", ["unbounded", "default"])
+@pytest.mark.parametrize("asc", [False, True])
+def test_nth_value_rows_equals_window(skewed, frame, asc):
+    from pyspark.sql import Window
+
+    from cohortlens.operators.ranking import nth_value_rows
+
+    df = skewed.select("k", F.when(F.col("k") % 11 == 0, None).otherwise(F.col("v")).alias("v"))
+    a = nth_value_rows(df, "v", 5, ascending=asc, frame=frame, out="x").select("k", "x")
+    o = F.col("v").asc_nulls_last() if asc else F.col("v").desc_nulls_last()
+    w = Window.orderBy(o)
+    if frame == "unbounded":
+        w = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    b = df.select("k", F.nth_value("v", 5).over(w).alias("x"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
