@@ -88,12 +88,26 @@ def ordered_index(
         offsets = F.broadcast(offsets)
     joined = join_null_safe(ranged, offsets, [_PID, *group])
 
-    lw = Window.partitionBy(_PID, *group).orderBy(*_sort_exprs(order)).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    out = joined.withColumn(
-        before, (F.col("_cl_off") + F.coalesce(F.sum("_cl_w").over(lw), F.lit(0))).cast("bigint")
-    )
+    if weight is None and not group:
+        # One row each and no groups: a row's position inside its range
+        # partition is its index after a local sort, read from
+        # monotonically_increasing_id (partition id in the high bits) in the
+        # same task, so no exchange is needed after the checkpoint.
+        local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+        out = (
+            ranged.sortWithinPartitions(*_sort_exprs(order))
+            .withColumn("_cl_local", local)
+            .join(offsets, on=_PID, how="inner")
+            .withColumn(before, (F.col("_cl_off") + F.col("_cl_local")).cast("bigint"))
+            .drop("_cl_local")
+        )
+    else:
+        lw = Window.partitionBy(_PID, *group).orderBy(*_sort_exprs(order)).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        out = joined.withColumn(
+            before, (F.col("_cl_off") + F.coalesce(F.sum("_cl_w").over(lw), F.lit(0))).cast("bigint")
+        )
     if total:
         out = out.withColumn(total, F.col("_cl_gtotal").cast("bigint"))
     return out.drop("_cl_off", "_cl_gtotal", "_cl_w", _PID)
