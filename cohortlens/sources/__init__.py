@@ -8,7 +8,7 @@ from cohortlens.sources.tables import (
     tables,
     write_snapshot,
 )
-from cohortlens.sources.layout import write_clustered_snapshot
+from cohortlens.sources.layout import write_bucketed_table, write_clustered_snapshot
 from cohortlens.sources.schemas import CLINICAL_SCHEMAS, DRIVER_SCHEMAS, clean_sentinels
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "read_table",
     "register_views",
     "tables",
+    "write_bucketed_table",
     "write_clustered_snapshot",
     "write_snapshot",
 ]

@@ -37,3 +37,25 @@ def write_clustered_snapshot(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def write_bucketed_table(
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    buckets: int,
+    *,
+    sort: bool = True,
+    mode: str = "overwrite",
+) -> DataFrame:
+    """Save ``df`` as a catalog table bucketed (and sorted) by ``keys``.
+
+    Two tables bucketed on their join keys with the same bucket count join
+    without any shuffle (and, sorted, without a sort): the layout pays the
+    shuffle once at write time instead of in every later join.
+    """
+    writer = df.write.mode(mode).bucketBy(buckets, *keys)
+    if sort:
+        writer = writer.sortBy(*keys)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -17,7 +17,9 @@ def spark():
 
     # tests set their own checkpoint folder (the session has none)
     ckpt = tempfile.mkdtemp(prefix="cohortlens-test-ckpt-")
-    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    warehouse = tempfile.mkdtemp(prefix="cohortlens-test-warehouse-")
+    s = build_session(master="local[*]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -50,3 +50,23 @@ def test_checker_flags_global_window_over_raw_rows(spark):
     assert unbounded_single_partition(bad)
     ok = c.groupBy("c_mktsegment").count().withColumn("r", F.rank().over(Window.orderBy("count")))
     assert not unbounded_single_partition(ok)
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlens.sources import tables, write_bucketed_table
+
+    t = tables(spark, SF_SMALL)
+    o = write_bucketed_table(t.orders.select("o_orderkey", "o_custkey"), "orders_by_key", ["o_orderkey"], 8)
+    li = write_bucketed_table(t.lineitem.select("l_orderkey", "l_quantity"), "lineitem_by_key", ["l_orderkey"], 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(F.sum("l_quantity"))
+        txt = plan_text(j, "extended")
+        join_part = txt[txt.index("SortMergeJoin"):]
+        assert "Exchange" not in join_part.split("HashAggregate")[0]  # no shuffle below the join
+        assert j.count() == t.orders.select("o_custkey").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
