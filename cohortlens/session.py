@@ -59,7 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting is always used when present.  Only a local-mode
     session without one (tests, the bench) gets a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
