@@ -51,3 +51,43 @@ def test_selected_answers(c):
     assert 89 <= ages <= 110
     assert answer(c, "second_bmi_of_top_myoglobin").first()["inpatient_number"] in (102, 103)
     assert answer(c, "lowest_death_rate_ward").first()["rate"] == 0.0
+
+
+def test_more_answers_by_hand(c):
+    # Q9: rates 21-29 2/3, 69-79 0/2, 79-89 1/2, 89-110 0/1 -> lowest rate, ties by band
+    assert answer(c, "least_readmitted_band").first()["agecat"] == "69-79"
+    # Q14: women 1.60, 1.65, 1.62, 1.58 -> 161.25 cm -> rounded
+    assert answer(c, "mean_height_women_cm").first()["avg_height"] == "161 cm"
+    # Q23: 2017-02-10 10:00 to 2018-10-06 12:00
+    assert answer(c, "admission_span_days").first()["total_days"] == 603
+    # Q49: white blood cells below 4
+    assert sorted(r[0] for r in answer(c, "leukopenia").collect()) == [102, 105]
+    # Q53: ICU has no death
+    assert answer(c, "lowest_death_rate_ward").first()["admission_ward"] == "ICU"
+    # Q54: patients in a coma (gcs <= 8) are 102 and 105, neither diabetic
+    r = answer(c, "coma_diabetes_pct").first()
+    assert (r["in_coma"], r["with_diabetes"], r["percentage"]) == (2, 0, 0.0)
+    # Q58: visit counts 1 and 2 tie at two readmitted rows each
+    r = answer(c, "common_visits_readmitted").first()
+    assert (r["visit_times"], r["frequency"]) == (1, 2)
+    # Q76: BMI >= 30 -> (69-79, Female) twice
+    r = answer(c, "most_obese_band_gender").first()
+    assert (r["agecat"], r["gender"], r["obese_patient_count"]) == ("69-79", "Female", 2)
+    # One death each in 69-79, 79-89 and NULL band -> first band in order
+    assert answer(c, "common_band_death_6m").first()["agecat"] == "69-79"
+    # October 2018 admissions 105 and 107, every drug once -> first name
+    assert answer(c, "top_drug_in_month").first()["drug_name"] == "Drug0 tablet"
+    # NYHA 4 patients 103, 105, 108, one died within 28 days
+    assert answer(c, "mortality_28d_high_nyha").first()["mortality_rate"] == 33.3333
+    # 6 of 9 admissions readmitted within 6 months, 3 died
+    r = answer(c, "readmission_vs_death_pct").first()
+    assert (r["pct_re_admission"], r["pct_death"]) == (66.6667, 33.3333)
+    # Admissions per quarter
+    assert {r["quarter"]: r["admissions_count"] for r in answer(c, "admissions_by_quarter").collect()} == {
+        1: 3, 2: 2, 3: 2, 4: 2}
+    # Q34: mean of monocyte / wbc per band, wbc 0 ignored (NULL ratio)
+    m = {r["agecat"]: r["average_monocyte_percentage"] for r in answer(c, "monocyte_pct_by_band").collect()}
+    assert m["21-29"] == round(0.5 / 6.0 * 100, 2) and m["89-110"] is None
+    # Q41 with its age: patient 108 (16 drugs) is in 79-89
+    r = answer(c, "many_drug_patients").first()
+    assert r["drugs"] == 16 and 79 <= r["age"] <= 89 and r["outcome_during_hospitalization"] == "Dead"
