@@ -2,7 +2,10 @@
 
 Each entry pairs a Spark query built from cohortlens operators with an
 independent SQL statement for DuckDB.  Column names match on both sides;
-floating results are rounded on both sides (D4), integers are bigint (D12).
+floating results are rounded on both sides (D4), integers are bigint (D12);
+integer columns that can hold NULL (lag ends, outer-join misses, inherited
+columns) are reported as double on both sides, so either engine's pandas
+conversion gives the same dtype.
 
 Role map: customer = patients (band ``c_mktsegment``, measure
 ``c_acctbal``), orders = admissions (date ``o_orderdate``, ward
@@ -63,10 +66,14 @@ def moving_avg_monthly(t: tables) -> DataFrame:
 @query("month_neighbours", "S1 W7 W8", """
 WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n
            FROM orders GROUP BY 1)
-SELECT month, n, LAG(n) OVER (ORDER BY month) AS prev_n, LEAD(n) OVER (ORDER BY month) AS next_n FROM m""")
+SELECT month, n, CAST(LAG(n) OVER (ORDER BY month) AS DOUBLE) AS prev_n,
+       CAST(LEAD(n) OVER (ORDER BY month) AS DOUBLE) AS next_n FROM m""")
 def month_neighbours(t: tables) -> DataFrame:
     m = ts.counts_by_period(t.orders, "o_orderdate", "month", out_period="month")
-    return ts.neighbours(m, "month", "n", prev="prev_n", next_="next_n")
+    res = ts.neighbours(m, "month", "n", prev="prev_n", next_="next_n")
+    # integer columns holding NULL are reported as double on both sides (same
+    # pandas dtype from either engine)
+    return res.withColumns({"prev_n": F.col("prev_n").cast("double"), "next_n": F.col("next_n").cast("double")})
 
 
 @query("cumulative_daily", "W16 DT3", """
@@ -101,10 +108,11 @@ WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders
            WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01' GROUP BY 1)
 SELECT day, n, LAG(day) OVER (ORDER BY day) AS prev_day,
        COUNT(*) OVER () AS active_days, CAST(SUM(n) OVER () AS BIGINT) AS range_total,
-       CAST(day - LAG(day) OVER (ORDER BY day) AS BIGINT) AS gap_days
+       CAST(day - LAG(day) OVER (ORDER BY day) AS DOUBLE) AS gap_days
 FROM d""")
 def day_gap(t: tables) -> DataFrame:
-    return ts.day_gap(t.orders, "o_orderdate", "1997-03-01", "1997-04-01")
+    res = ts.day_gap(t.orders, "o_orderdate", "1997-03-01", "1997-04-01")
+    return res.withColumn("gap_days", F.col("gap_days").cast("double"))  # NULL on the first day
 
 
 @query("date_span", "A32 D10", """
@@ -927,9 +935,9 @@ def update_from_join(t: tables) -> DataFrame:
 
 
 @query("stack_child", "S9 S3 C8 S8", """
-SELECT c_custkey, c_mktsegment, NULL::BIGINT AS n_orders FROM customer WHERE c_mktsegment = 'BUILDING'
+SELECT c_custkey, c_mktsegment, NULL::DOUBLE AS n_orders FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL BY NAME
-SELECT c.c_custkey, c.c_mktsegment, COUNT(*) AS n_orders
+SELECT c.c_custkey, c.c_mktsegment, CAST(COUNT(*) AS DOUBLE) AS n_orders
 FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey WHERE c.c_mktsegment = 'MACHINERY' GROUP BY 1, 2""")
 def stack_child(t: tables) -> DataFrame:
     parent = t.customer.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_mktsegment")
@@ -937,7 +945,8 @@ def stack_child(t: tables) -> DataFrame:
     child = child_src.join(t.orders.select(F.col("o_custkey").alias("c_custkey")), on="c_custkey").groupBy(
         "c_custkey", "c_mktsegment"
     ).agg(F.count(F.lit(1)).cast("bigint").alias("n_orders"))
-    return enrich.stack_child(parent, child)
+    # the child-only column is NULL on parent rows: reported as double
+    return enrich.stack_child(parent, child).withColumn("n_orders", F.col("n_orders").cast("double"))
 
 
 # ------------------------------------------------------- lookups and guards
@@ -956,13 +965,15 @@ def range_lookup(t: tables) -> DataFrame:
 
 
 @query("lookup_or_report", "G4 J14 F18", """
-SELECT c.c_custkey, o.o_orderkey, o.o_totalprice, CASE WHEN o.o_orderkey IS NULL THEN 'not found' ELSE 'found' END AS status
+SELECT c.c_custkey, CAST(o.o_orderkey AS DOUBLE) AS o_orderkey, o.o_totalprice,
+       CASE WHEN o.o_orderkey IS NULL THEN 'not found' ELSE 'found' END AS status
 FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON o.o_custkey = c.c_custkey""")
 def lookup_or_report(t: tables) -> DataFrame:
     pending = t.orders.where(F.col("o_orderstatus") == "P").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"
     )
-    return guards.lookup_or_report(pending, "c_custkey", t.customer, ["o_orderkey", "o_totalprice"])
+    res = guards.lookup_or_report(pending, "c_custkey", t.customer, ["o_orderkey", "o_totalprice"])
+    return res.withColumn("o_orderkey", F.col("o_orderkey").cast("double"))  # NULL when not found
 
 
 @query("delete_guard", "G2", """
