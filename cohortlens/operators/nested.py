@@ -25,6 +25,13 @@ from cohortlens.operators._util import as_list
 
 DEFAULT_MAX_PER_PART = 50_000
 
+# whole-value JSON: keep NULL fields and full timestamp precision
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 
 # Entities above the part bound are looked up from a broadcast table when
 # there are at most this many of them (checked); beyond it, a join.
@@ -92,9 +99,10 @@ def records_per_entity(df: DataFrame, key, fields, order_by, *, max_per_part: in
 def json_per_entity(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str], *,
                     max_per_part: int | None = DEFAULT_MAX_PER_PART, out: str = "rows_json") -> DataFrame:
     """``json_agg(whole row)`` per entity; NULL fields are kept
-    (D17), rows sorted by ``order_by``."""
+    (D17), timestamps keep their microseconds (Spark's default JSON format
+    would cut them to milliseconds), rows sorted by ``order_by``."""
     res = collect_sorted(df, key, list(df.columns), order_by, out="_cl_rows", max_per_part=max_per_part)
-    return res.withColumn(out, F.to_json("_cl_rows", {"ignoreNullFields": "false"})).drop("_cl_rows")
+    return res.withColumn(out, F.to_json("_cl_rows", JSON_OPTIONS)).drop("_cl_rows")
 
 
 def joined_text(

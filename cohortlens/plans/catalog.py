@@ -863,7 +863,15 @@ def records_per_entity(t: tables) -> DataFrame:
     return res.select("c_custkey", "part", "n", F.col("records_json").cast("string").alias("records_json"))
 
 
-@query("json_per_entity", "A31 R3 D17", None)
+@query("json_per_entity", "A31 R3 D17", """
+SELECT user_id, CAST(0 AS BIGINT) AS part, COUNT(*) AS n,
+       '[' || string_agg('{"event_id":' || CAST(event_id AS VARCHAR)
+                         || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+                         || '","user_id":' || CAST(user_id AS VARCHAR)
+                         || ',"event_type":"' || event_type
+                         || '","value":' || CAST(value AS VARCHAR)
+                         || ',"props":"' || replace(props, '"', '\\"') || '"}', ',' ORDER BY event_id) || ']' AS rows_json
+FROM events GROUP BY user_id""")
 def json_per_entity(t: tables) -> DataFrame:
     return nested.json_per_entity(t.events, "user_id", ["event_id"])
 
