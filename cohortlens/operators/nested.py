@@ -93,7 +93,7 @@ def collect_sorted(
 def records_per_entity(df: DataFrame, key, fields, order_by, *, max_per_part: int | None = DEFAULT_MAX_PER_PART) -> DataFrame:
     """Sorted array of records per entity, plus its JSON text."""
     res = collect_sorted(df, key, fields, order_by, max_per_part=max_per_part)
-    return res.withColumn("records_json", F.to_json("records"))
+    return res.withColumn("records_json", F.to_json("records", JSON_OPTIONS))
 
 
 def json_per_entity(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str], *,
