@@ -18,9 +18,10 @@ def test_matches_oracle(spark, duck, key):
     assert res["ok"], res
 
 
-@pytest.mark.parametrize("key", ROWS_ONLY)
-def test_rows_only(spark, key):
-    assert build(spark, key, SF_SMALL).count() > 0
+def test_rows_only_keys(spark):
+    """Keys without oracle SQL (none at present) must at least return rows."""
+    for key in ROWS_ONLY:
+        assert build(spark, key, SF_SMALL).count() > 0, key
 
 
 def test_entry_smoke(spark):
