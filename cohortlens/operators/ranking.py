@@ -13,7 +13,12 @@ counts with range partitioning:
    group.  That window holds at most one row per partition for any group,
    so a hot group split over many partitions stays small.
 3. A window partitioned by (partition id, group) adds the local running
-   sum.  No task ever holds more than one range partition.
+   sum.  No task ever holds more than one range partition.  For plain row
+   numbers (one row each, no groups) a local sort after the checkpoint gives
+   each row's position directly, with no exchange at all.
+
+Range partitioning without an explicit count lets AQE merge adjacent small
+partitions, which keeps every partition a contiguous key range in order.
 """
 
 from __future__ import annotations
