@@ -39,8 +39,10 @@ def band_value(
     come from ``bands`` or are parsed from 'lo-hi' labels."""
     u = stable_uniform(key, seed)
     if bands is None:
-        lo = F.split_part(F.col(band_col), F.lit("-"), F.lit(1)).cast("bigint")
-        hi = F.split_part(F.col(band_col), F.lit("-"), F.lit(2)).cast("bigint")
+        # same rule as parse_band: 'lo-hi' with optional signs, e.g. '-5-5'
+        pat = r"^\s*(-?\d+)\s*-\s*(-?\d+)\s*$"
+        lo = F.nullif(F.regexp_extract(F.col(band_col), pat, 1), F.lit("")).cast("bigint")
+        hi = F.nullif(F.regexp_extract(F.col(band_col), pat, 2), F.lit("")).cast("bigint")
     else:
         lo_e = hi_e = None
         for label, (a, b) in bands.items():
@@ -88,11 +90,12 @@ def update_from(df: DataFrame, source: DataFrame, key: str | Sequence[str], colu
     left join, keep the old value where the source has no row.  ``source``
     must hold one row per key (aggregate first)."""
     key = as_list(key)
-    src = source.select(*key, *[F.col(c).alias(f"_cl_new_{c}") for c in columns])
+    src = source.select(*key, *[F.col(c).alias(f"_cl_new_{c}") for c in columns], F.lit(True).alias("_cl_hit"))
     joined = df.join(src, on=key, how="left")
-    return joined.withColumns({c: F.coalesce(F.col(f"_cl_new_{c}"), F.col(c)) for c in columns}).drop(
-        *[f"_cl_new_{c}" for c in columns]
-    )
+    # a matched source row sets the value even when it is NULL
+    return joined.withColumns(
+        {c: F.when(F.col("_cl_hit"), F.col(f"_cl_new_{c}")).otherwise(F.col(c)) for c in columns}
+    ).drop(*[f"_cl_new_{c}" for c in columns], "_cl_hit")
 
 
 def first_event_year(entities: DataFrame, events: DataFrame, key: str, event_key: str, ts: str, *,

@@ -94,7 +94,8 @@ def band(col: str | Column, cuts: Sequence[float], labels: Sequence[str], *, nul
     for cut, label in zip(cuts, labels):
         cond = c <= cut if right_closed else c < cut
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    expr = expr.when(c.isNotNull(), F.lit(labels[-1])) if expr is not None else F.lit(labels[-1])
+    last = c.isNotNull()
+    expr = expr.when(last, F.lit(labels[-1])) if expr is not None else F.when(last, F.lit(labels[-1]))
     if null_label is not None:
         expr = expr.otherwise(F.lit(null_label))
     return expr

@@ -94,8 +94,13 @@ def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col:
     from cohortlens.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
+    from pyspark.sql import types as T
+
+    fractional = (T.FloatType, T.DoubleType, T.DecimalType)
     vt = df.schema[value].dataType
-    vals = df.select(F.col(value).alias("_cl_x")).where(F.col("_cl_x").isNotNull()).distinct().select(
+    if isinstance(vt, fractional) or isinstance(bounds.schema[bound_col].dataType, fractional):
+        vt = T.DoubleType()  # compare in a common type, as the array path does
+    vals = df.select(F.col(value).cast(vt).alias("_cl_x")).where(F.col("_cl_x").isNotNull()).distinct().select(
         "_cl_x", F.lit(0).alias("_cl_tag"), F.lit(None).cast(bounds.schema[label_col].dataType).alias("_cl_l"))
     bnd = bounds.select(F.col(bound_col).cast(vt).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
                         F.col(label_col).alias("_cl_l")).where(F.col("_cl_x").isNotNull())
@@ -118,7 +123,7 @@ def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col:
     carry = pids.select("_cl_pid", F.first("_cl_head", ignorenulls=True).over(after).alias("_cl_carry"))
     res = local.where(F.col("_cl_tag") == 0).join(F.broadcast(carry.select("_cl_pid", "_cl_carry")), "_cl_pid", "left")
     answer = res.select(F.col("_cl_x"), F.coalesce(F.col("_cl_next")["_cl_l"], F.col("_cl_carry")["_cl_l"]).alias(out))
-    return df.join(answer, F.col(value) == F.col("_cl_x"), "left").drop("_cl_x")
+    return df.join(answer, F.col(value).cast(vt) == F.col("_cl_x"), "left").drop("_cl_x")
 
 
 def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None) -> DataFrame:

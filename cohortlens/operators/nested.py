@@ -84,7 +84,11 @@ def collect_sorted(
     if max_per_part:
         src = _with_parts(df, key, sort_fields, max_per_part)
         grp = [*key, "part"]
-    rec = F.struct(*[F.col(c) for c in sort_fields])
+    # NULL sort keys last (D3): each order_by field is preceded by its NULL flag
+    rec = F.struct(
+        *[e for i, c in enumerate(order_by) for e in (F.col(c).isNull().alias(f"_cl_null{i}"), F.col(c))],
+        *[F.col(c) for c in sort_fields if c not in order_by],
+    )
     agg = src.groupBy(*grp).agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.sort_array(F.collect_list(rec)).alias("_cl_arr"))
     shaped = F.transform("_cl_arr", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
     return agg.withColumn(out, shaped).drop("_cl_arr")

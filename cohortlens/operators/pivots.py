@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from cohortlens.operators._util import as_list, check_columns
 
 
+def _named(name: str):
+    """A column by its exact name (dots and backticks are not syntax)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def pivot_counts(
     df: DataFrame,
     row: str | Sequence[str],
@@ -54,8 +59,11 @@ def flag_counts(
     one aggregate counts every flag per group (map-side partial counts) and
     only the aggregated rows are unpivoted."""
     by = as_list(by)
-    wide = df.groupBy(*by).agg(*[F.count_if(c).cast("bigint").alias(f"_cl_f_{k}") for k, c in flags.items()])
-    # stack(): one output row per flag, the flag name as a literal tag
-    pairs = ", ".join(f"'{k}', `_cl_f_{k}`" for k in flags)
-    long = wide.selectExpr(*[f"`{b}`" for b in by], f"stack({len(flags)}, {pairs}) AS (`{flag_col}`, `{out}`)")
+    clash = set(flags) & set(by)
+    if clash:
+        raise ValueError(f"flag names {sorted(clash)} collide with group columns")
+    wide = df.groupBy(*by).agg(*[F.count_if(c).cast("bigint").alias(k) for k, c in flags.items()])
+    # one output row per flag, the flag name as its tag (F15); names are passed
+    # as columns, never spliced into SQL text
+    long = wide.unpivot([_named(b) for b in by], [_named(k) for k in flags], flag_col, out)
     return long if keep_zero else long.where(F.col(out) > 0)

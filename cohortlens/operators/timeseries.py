@@ -34,7 +34,9 @@ def counts_by_period(
     if not spine:
         return counts
     cal = calendar_spine(counts.where(F.col(out_period).isNotNull()), out_period, period, out=out_period)
-    return cal.join(counts, on=out_period, how="left").fillna(0, subset=[out])
+    filled = cal.join(counts, on=out_period, how="left").fillna(0, subset=[out])
+    # rows without a timestamp keep their own NULL-period row, as without the spine
+    return filled.unionByName(counts.where(F.col(out_period).isNull()))
 
 
 def calendar_spine(df: DataFrame, date_col: str, period: str = "day", *, out: str = "day") -> DataFrame:

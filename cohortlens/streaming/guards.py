@@ -17,6 +17,19 @@ from pyspark.sql import types as T
 from cohortlens.operators._util import as_list
 
 
+def _stream_checkpoint(spark: SparkSession, kind: str, *parts: str) -> str:
+    """Default progress folder of a stream: under ``spark.checkpoint.dir``,
+    one folder per (kind, source, sinks), so two pipelines never share
+    progress."""
+    import hashlib
+
+    from cohortlens.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
+    tag = hashlib.sha1("\x00".join(parts).encode()).hexdigest()[:16]
+    return os.path.join(base, f"{kind}-{tag}")
+
+
 def alerts(df: DataFrame, predicate: Column, message: Column, *, keep: Sequence[str] = (),
            out: str = "message") -> DataFrame:
     """G1: rows breaking a threshold, with a warning text (AFTER INSERT
@@ -48,7 +61,7 @@ def alert_stream(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.parquet(source_dir)
-    ckpt = checkpoint_dir or os.path.join(spark.conf.get("spark.checkpoint.dir"), "alert_stream")
+    ckpt = checkpoint_dir or _stream_checkpoint(spark, "alert_stream", source_dir, glob or "", sink_dir)
     q = (
         alerts(stream, predicate, message, keep=keep)
         .writeStream.format("parquet")
@@ -85,7 +98,7 @@ def ingest_stream(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = tag_violations(reader.parquet(source_dir), rules, out="reason")
-    ckpt = checkpoint_dir or os.path.join(spark.conf.get("spark.checkpoint.dir"), "ingest_stream")
+    ckpt = checkpoint_dir or _stream_checkpoint(spark, "ingest_stream", source_dir, glob or "", accepted_dir, rejected_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -124,7 +137,7 @@ def tag_violations(df: DataFrame, rules: Mapping[str, Column], *, out: str = "re
     for name, rule in rules.items():
         broken = F.coalesce(~rule, F.lit(True))
         reason = F.when(broken, F.lit(name)) if reason is None else reason.when(broken, F.lit(name))
-    return df.withColumn(out, reason)
+    return df.withColumn(out, reason if reason is not None else F.lit(None).cast("string"))
 
 
 def ingest_summary(df: DataFrame, rules: Mapping[str, Column], *, accepted: str = "accepted",
@@ -206,8 +219,8 @@ def publish_snapshot(
         deleted = gone.count()
         if forbid_deletes and deleted:
             raise ValueError(f"publish refused: {deleted} key(s) deleted since the previous snapshot")
-    tagged = tag_violations(new, rules or {}, out="_outcome") if rules else new.withColumn("_outcome", F.lit(None))
-    tagged = tagged.withColumn("_outcome", F.coalesce(F.col("_outcome").cast("string"), F.lit("accepted")))
+    tagged = tag_violations(new, rules or {}, out="_outcome")
+    tagged = tagged.withColumn("_outcome", F.coalesce(F.col("_outcome"), F.lit("accepted")))
     tagged.write.mode("overwrite").partitionBy("_outcome").parquet(path)
     written = new.sparkSession.read.parquet(path)
     counts = {r["_outcome"]: r["n"] for r in written.groupBy("_outcome").agg(F.count(F.lit(1)).alias("n")).collect()}

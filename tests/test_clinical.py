@@ -423,3 +423,36 @@ def test_delete_guard_null_keys(spark):
     prev = spark.createDataFrame([(1,), (None,), (3,)], "k long")
     nxt = spark.createDataFrame([(None,), (3,)], "k long")
     assert [r["k"] for r in guards.delete_guard(prev, nxt, "k").collect()] == [1]
+
+
+def test_review_fixes(spark):
+    from cohortlens.operators import nested, pivots
+    from cohortlens.operators import timeseries as ts2
+
+    # update_from: a matched NULL overwrites
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
+    src = spark.createDataFrame([(1, None), (2, "B")], "k long, v string")
+    got = dict((r["k"], r["v"]) for r in enrich.update_from(base, src, "k", ["v"]).collect())
+    assert got == {1: None, 2: "B", 3: "c"}
+    # band with no cuts
+    df = spark.createDataFrame([(1.0,), (None,)], "x double")
+    assert sorted(str(r[0]) for r in df.select(groups.band("x", [], ["all"])).collect()) == ["all", "unknown"]
+    # band labels with negative bounds
+    neg = spark.createDataFrame([(i, "-5-5") for i in range(200)], "k long, b string")
+    vals = [r["value"] for r in enrich.band_value(neg, "b", "k").collect()]
+    assert min(vals) >= -5 and max(vals) <= 5 and None not in vals
+    # spine keeps the NULL-period row
+    ev = spark.createDataFrame([(dt.datetime(2020, 1, 5),), (dt.datetime(2020, 3, 1),), (None,)], "t timestamp_ntz")
+    sp = {r["period"]: r["n"] for r in ts2.counts_by_period(ev, "t", "month", spine=True).collect()}
+    assert sp[None] == 1 and sp[dt.date(2020, 2, 1)] == 0 and sum(sp.values()) == 3
+    # nested: NULL sort keys last
+    rec = spark.createDataFrame([(1, None, "x"), (1, 2, "y"), (1, 1, "z")], "e long, o long, v string")
+    arr = nested.collect_sorted(rec, "e", ["v"], ["o"]).first()["records"]
+    assert [r["v"] for r in arr] == ["z", "y", "x"]
+    # flag names are not SQL text
+    fl = pivots.flag_counts(rec, "e", {"o'neil": F.col("o") > 0, "a.b`c": F.col("o").isNull()})
+    assert sorted((r["flag"], r["n"]) for r in fl.collect()) == [("a.b`c", 1), ("o'neil", 2)]
+    # empty rule sets
+    acc, rej = guards.constrained_ingest(rec, {})
+    assert acc.count() == 3 and rej.count() == 0
+    assert [r["outcome"] for r in guards.ingest_summary(rec, {}).collect()] == ["accepted"]

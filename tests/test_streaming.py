@@ -75,3 +75,11 @@ def test_publish_snapshot_change_path(spark, scratch):
     with pytest.raises(ValueError):
         guards.publish_snapshot(events, events.where(F.col("event_id") % 10 != 0), os.path.join(scratch, "v2"), "event_id")
     assert not os.path.exists(os.path.join(scratch, "v2"))
+
+
+def test_default_stream_checkpoints_are_per_pipeline(spark, scratch):
+    a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    for sink in (a, b):  # no explicit checkpoint: each sink gets its own progress
+        guards.alert_stream(spark, SF_TINY, DRIVER_SCHEMAS["events"], F.col("value") > 100, _msg(), sink,
+                            keep=["event_id"], glob="events.parquet")
+    assert spark.read.parquet(a).count() == spark.read.parquet(b).count() > 0
