@@ -26,7 +26,7 @@ from cohortlens.plans.catalog import REGISTRY, build  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = build_session(master=f"local[{cpus}]", app="cohortlens-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "16g"})

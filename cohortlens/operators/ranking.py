@@ -295,32 +295,21 @@ def first_value_by(df: DataFrame, group: Sequence[str], value: str, order: Order
     """``FIRST_VALUE(value) OVER (PARTITION BY group ORDER BY order)`` as
     one row per group, NULL order keys last.
 
-    Runs as ``min_by`` over a struct of (is-null flag, key) pairs: an
-    ordinary partial + final aggregate, so a hot group is combined map-side.
-    Descending numeric keys are negated to fit the one direction; a
-    descending non-numeric key in a mixed order falls back to a window with
-    a per-group row limit.
+    All keys in one direction: ``min_by``/``max_by`` over a struct of
+    (NULL flag, key) pairs, an ordinary partial + final aggregate (Spark's
+    value ordering puts NaN where a sort does).  Mixed directions:
+    ``row_number() = 1`` per group, which Spark plans with a partial
+    per-group limit before the shuffle.  Either way a hot group is reduced
+    map-side.
     """
-    from pyspark.sql import types as T
-
     out = out or f"first_{value}"
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-    parts = []
-    for i, (c, asc) in enumerate(order):
-        col = F.col(c)
-        if not asc:
-            if not isinstance(df.schema[c].dataType, numeric):
-                if all(not a for _, a in order):
-                    parts = None  # all descending: use max_by below
-                    break
-                w = Window.partitionBy(*group).orderBy(*_sort_exprs(order))
-                ranked = df.withColumn("_cl_rn", F.row_number().over(w)).where(F.col("_cl_rn") == 1)
-                return ranked.select(*group, F.col(value).alias(out))
-            col = -col
-        parts += [F.col(c).isNull().alias(f"_n{i}"), col.alias(f"_k{i}")]
-    if parts is None:
-        desc_parts = []
-        for i, (c, _) in enumerate(order):
-            desc_parts += [F.col(c).isNotNull().alias(f"_n{i}"), F.col(c).alias(f"_k{i}")]
-        return df.groupBy(*group).agg(F.max_by(F.col(value), F.struct(*desc_parts)).alias(out))
-    return df.groupBy(*group).agg(F.min_by(F.col(value), F.struct(*parts)).alias(out))
+    if all(asc for _, asc in order):
+        parts = [e for i, (c, _) in enumerate(order) for e in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_k{i}"))]
+        return df.groupBy(*group).agg(F.min_by(F.col(value), F.struct(*parts)).alias(out))
+    if not any(asc for _, asc in order):
+        parts = [e for i, (c, _) in enumerate(order)
+                 for e in (F.col(c).isNotNull().alias(f"_n{i}"), F.col(c).alias(f"_k{i}"))]
+        return df.groupBy(*group).agg(F.max_by(F.col(value), F.struct(*parts)).alias(out))
+    w = Window.partitionBy(*group).orderBy(*_sort_exprs(order))
+    ranked = df.withColumn("_cl_rn", F.row_number().over(w)).where(F.col("_cl_rn") == 1)
+    return ranked.select(*group, F.col(value).alias(out))

@@ -303,6 +303,8 @@ def hydro_drugs(c: ClinicalTables) -> DataFrame:
 
 @question("Q29", "cancer_patients")
 def cancer_patients(c: ClinicalTables, flags: Sequence[str] = CANCER_FLAGS) -> DataFrame:
+    if not flags:
+        raise ValueError("name at least one diagnosis flag")
     cond = None
     for f in flags:
         cond = (F.col(f) == 1) if cond is None else cond | (F.col(f) == 1)
@@ -540,6 +542,8 @@ def month_number_name(c: ClinicalTables, pad_name: bool = False) -> DataFrame:
 
 @question("Q68", "both_failure_kidney_or_cancer")
 def both_failure_kidney_or_cancer(c: ClinicalTables, flags: Sequence[str] = KIDNEY_OR_CANCER_FLAGS) -> DataFrame:
+    if not flags:
+        raise ValueError("name at least one diagnosis flag")
     cond = None
     for f in flags:
         cond = (F.col(f) == 1) if cond is None else cond | (F.col(f) == 1)

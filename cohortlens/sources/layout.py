@@ -36,7 +36,7 @@ def write_clustered_snapshot(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def write_bucketed_table(

@@ -57,15 +57,21 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # read back with the written schema: partition columns keep their types
+    # and position instead of being inferred from folder names
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def register_views(spark: SparkSession, base_dir: str, names: tuple[str, ...] = DRIVER_TABLES) -> list[str]:
     """Register each table under ``base_dir`` as a temporary view of the same
     name, for users who work in ``spark.sql``.  Returns the registered names."""
+    from pyspark.errors import AnalysisException
+
     done = []
     for n in names:
-        if os.path.exists(os.path.join(base_dir, f"{n}.parquet")):
+        try:  # existence is checked by Spark itself, so remote file systems work
             read_table(spark, base_dir, n).createOrReplaceTempView(n)
-            done.append(n)
+        except AnalysisException:
+            continue
+        done.append(n)
     return done

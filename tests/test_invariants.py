@@ -180,3 +180,17 @@ def test_nth_value_rows_equals_window(skewed, frame, asc):
         w = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     b = df.select("k", F.nth_value("v", 5).over(w).alias("x"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_first_value_by_nan_and_extreme_longs(spark):
+    from pyspark.sql import Window
+
+    from cohortlens.operators.ranking import _sort_exprs, first_value_by
+
+    rows = [(1, 1, 3.0, -9223372036854775808), (1, 2, float("nan"), 5), (1, 3, None, 7), (2, 4, 1.0, 1), (2, 5, 1.0, 2)]
+    df = spark.createDataFrame(rows, "g int, id int, v double, big long")
+    for order in ([("v", False), ("id", True)], [("v", True), ("id", True)], [("big", False)], [("big", True), ("v", False)]):
+        a = first_value_by(df, ["g"], "id", order, out="x")
+        b = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*_sort_exprs(order)))).where(
+            "rn = 1").select("g", F.col("id").alias("x"))
+        assert sorted(a.collect()) == sorted(b.collect()), order
