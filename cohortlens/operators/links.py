@@ -55,15 +55,17 @@ def range_lookup(
     label_col: str,
     *,
     out: str = "slice",
-    max_bounds: int = 10_000,
+    max_bounds: int = 64,
 ) -> DataFrame:
     """For each row, the label of the first bound (in ascending bound
     order) that is >= ``value``; NULL when every bound is smaller.
 
-    The bounds are checked to number at most ``max_bounds``; then they are
-    packed into one sorted array and broadcast as a scalar, and each row
-    scans that array, with no shuffle of ``df``.  Above the limit the lookup
-    is a range join followed by a per-row minimum.
+    The bounds are counted first.  Up to ``max_bounds`` of them are packed
+    into one sorted array on a one-row broadcast side, and each row scans
+    that array (cost linear in the bound count, so the limit is kept small),
+    with no shuffle of ``df``.  Above the limit the lookup merges distinct
+    values and bounds in one range-partitioned order (exact, no nested-loop
+    join).
     """
     n = bounds.count()
     if n <= max_bounds:
