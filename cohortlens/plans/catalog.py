@@ -5,7 +5,8 @@ independent SQL statement for DuckDB.  Column names match on both sides;
 floating results are rounded on both sides (D4), integers are bigint (D12);
 integer columns that can hold NULL (lag ends, outer-join misses, inherited
 columns) are reported as double on both sides, so either engine's pandas
-conversion gives the same dtype.
+conversion gives the same dtype; calendar periods are midnight timestamps
+(as PostgreSQL's ``date_trunc`` returns).
 
 Role map: customer = patients (band ``c_mktsegment``, measure
 ``c_acctbal``), orders = admissions (date ``o_orderdate``, ward
@@ -43,6 +44,13 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _as_timestamps(df: DataFrame, *cols: str) -> DataFrame:
+    """Report calendar periods as midnight timestamps (``timestamp_ntz``):
+    PostgreSQL's ``date_trunc`` returns a timestamp, and both engines hand a
+    timestamp to pandas as the same datetime type."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
 def query(key: str, ops: str, sql: str | None):
     def deco(fn: Callable[[tables], DataFrame]):
         REGISTRY[key] = Query(key, fn, sql, ops)
@@ -54,17 +62,17 @@ def query(key: str, ops: str, sql: str | None):
 # --------------------------------------------------------------- time series
 
 @query("moving_avg_monthly", "A34 W14 DT2", """
-WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n
+WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month, COUNT(*) AS n
            FROM orders GROUP BY 1)
 SELECT month, n, ROUND(AVG(n) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS ma3
 FROM m""")
 def moving_avg_monthly(t: tables) -> DataFrame:
     m = ts.counts_by_period(t.orders, "o_orderdate", "month", out_period="month")
-    return ts.moving_average(m, "month", "n", 2, out="ma3")
+    return _as_timestamps(ts.moving_average(m, "month", "n", 2, out="ma3"), "month")
 
 
 @query("month_neighbours", "S1 W7 W8", """
-WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n
+WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month, COUNT(*) AS n
            FROM orders GROUP BY 1)
 SELECT month, n, CAST(LAG(n) OVER (ORDER BY month) AS DOUBLE) AS prev_n,
        CAST(LEAD(n) OVER (ORDER BY month) AS DOUBLE) AS next_n FROM m""")
@@ -73,15 +81,16 @@ def month_neighbours(t: tables) -> DataFrame:
     res = ts.neighbours(m, "month", "n", prev="prev_n", next_="next_n")
     # integer columns holding NULL are reported as double on both sides (same
     # pandas dtype from either engine)
-    return res.withColumns({"prev_n": F.col("prev_n").cast("double"), "next_n": F.col("next_n").cast("double")})
+    res = res.withColumns({"prev_n": F.col("prev_n").cast("double"), "next_n": F.col("next_n").cast("double")})
+    return _as_timestamps(res, "month")
 
 
 @query("cumulative_daily", "W16 DT3", """
-WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1)
+WITH d AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, COUNT(*) AS n FROM orders GROUP BY 1)
 SELECT day, n, CAST(SUM(n) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM d""")
 def cumulative_daily(t: tables) -> DataFrame:
     d = ts.counts_by_period(t.orders, "o_orderdate", "day", out_period="day")
-    return ts.cumulative(d, "day", "n", out="running")
+    return _as_timestamps(ts.cumulative(d, "day", "n", out="running"), "day")
 
 
 @query("quarter_counts", "A34 DT1", """
@@ -106,13 +115,14 @@ def weekday_mode(t: tables) -> DataFrame:
 @query("day_gap", "W7 W17 W15 F7 DT6 F6", """
 WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders
            WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01' GROUP BY 1)
-SELECT day, n, LAG(day) OVER (ORDER BY day) AS prev_day,
+SELECT CAST(day AS TIMESTAMP) AS day, n, CAST(LAG(day) OVER (ORDER BY day) AS TIMESTAMP) AS prev_day,
        COUNT(*) OVER () AS active_days, CAST(SUM(n) OVER () AS BIGINT) AS range_total,
        CAST(day - LAG(day) OVER (ORDER BY day) AS DOUBLE) AS gap_days
 FROM d""")
 def day_gap(t: tables) -> DataFrame:
     res = ts.day_gap(t.orders, "o_orderdate", "1997-03-01", "1997-04-01")
-    return res.withColumn("gap_days", F.col("gap_days").cast("double"))  # NULL on the first day
+    res = res.withColumn("gap_days", F.col("gap_days").cast("double"))  # NULL on the first day
+    return _as_timestamps(res, "day", "prev_day")
 
 
 @query("date_span", "A32 D10", """
@@ -127,9 +137,9 @@ def date_span(t: tables) -> DataFrame:
 WITH b AS (SELECT CAST(MIN(o_orderdate) AS DATE) AS lo, CAST(MAX(o_orderdate) AS DATE) AS hi FROM orders),
      cal AS (SELECT CAST(g AS DATE) AS day FROM b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) AS s(g)),
      d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1)
-SELECT cal.day, COALESCE(d.n, 0) AS n FROM cal LEFT JOIN d ON cal.day = d.day""")
+SELECT CAST(cal.day AS TIMESTAMP) AS day, COALESCE(d.n, 0) AS n FROM cal LEFT JOIN d ON cal.day = d.day""")
 def spine_fill(t: tables) -> DataFrame:
-    return ts.counts_by_period(t.orders, "o_orderdate", "day", spine=True, out_period="day")
+    return _as_timestamps(ts.counts_by_period(t.orders, "o_orderdate", "day", spine=True, out_period="day"), "day")
 
 
 @query("month_labels", "DT4 D18", """
@@ -923,10 +933,10 @@ def code_labels(t: tables) -> DataFrame:
 
 
 @query("add_drop_column", "C6 C7 S10 S2 X6 X7 DT5", """
-SELECT c_custkey, c_name, c_nationkey, c_mktsegment, DATE '2005-01-01' AS as_of FROM customer""")
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '2005-01-01 00:00:00' AS as_of FROM customer""")
 def add_drop_column(t: tables) -> DataFrame:
-    c = enrich.add_if_missing(t.customer, "as_of", F.lit("2005-01-01").cast("date"))
-    c = enrich.add_if_missing(c, "as_of", F.lit("1900-01-01").cast("date"))  # already there: unchanged
+    c = enrich.add_if_missing(t.customer, "as_of", F.lit("2005-01-01").cast("timestamp_ntz"))
+    c = enrich.add_if_missing(c, "as_of", F.lit("1900-01-01").cast("timestamp_ntz"))  # already there: unchanged
     return enrich.drop_if_present(c, "c_acctbal")
 
 
