@@ -128,12 +128,28 @@ def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col:
     return df.join(answer, F.col(value).cast(vt) == F.col("_cl_x"), "left").drop("_cl_x")
 
 
-def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None) -> DataFrame:
-    """Shares per label as cumulative upper bounds in (0, 1], label order."""
+def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None,
+                      max_window_labels: int = 10_000) -> DataFrame:
+    """Shares per label as cumulative upper bounds in (0, 1], label order.
+
+    The labels are counted first: up to ``max_window_labels`` the running
+    share is one small window over the counted labels; beyond it the running
+    sums come from :func:`cohortlens.operators.ranking.ordered_index`, so no
+    task ever holds all labels.
+    """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cl_n"))
-    w = Window.orderBy(F.col(label).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    total = counts.agg(F.sum("_cl_n")).scalar()
-    return counts.select(
-        F.col(label).alias(out_label or label),
-        (F.sum("_cl_n").over(w) / total).cast("double").alias(out_bound),
+    out_label = out_label or label
+    if counts.count() <= max_window_labels:
+        w = Window.orderBy(F.col(label).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+        total = counts.agg(F.sum("_cl_n")).scalar()
+        return counts.select(
+            F.col(label).alias(out_label),
+            (F.sum("_cl_n").over(w) / total).cast("double").alias(out_bound),
+        )
+    from cohortlens.operators.ranking import ordered_index
+
+    idx = ordered_index(counts, [(label, True)], weight="_cl_n", before="_cl_b", total="_cl_t")
+    return idx.select(
+        F.col(label).alias(out_label),
+        ((F.col("_cl_b") + F.col("_cl_n")) / F.col("_cl_t")).cast("double").alias(out_bound),
     )

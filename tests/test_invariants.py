@@ -194,3 +194,13 @@ def test_first_value_by_nan_and_extreme_longs(spark):
         b = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*_sort_exprs(order)))).where(
             "rn = 1").select("g", F.col("id").alias("x"))
         assert sorted(a.collect()) == sorted(b.collect()), order
+
+
+def test_cumulative_bounds_scalable_path_equals_window(t):
+    from cohortlens.operators import links
+
+    a = links.cumulative_bounds(t.customer, "c_nationkey")
+    b = links.cumulative_bounds(t.customer, "c_nationkey", max_window_labels=0)
+    ra = {r["c_nationkey"]: r["upper"] for r in a.collect()}
+    rb = {r["c_nationkey"]: r["upper"] for r in b.collect()}
+    assert ra.keys() == rb.keys() and all(abs(ra[k] - rb[k]) < 1e-12 for k in ra) and max(ra.values()) == 1.0
