@@ -48,21 +48,25 @@ def calendar_spine(df: DataFrame, date_col: str, period: str = "day", *, out: st
 
 
 def neighbours(df: DataFrame, order: str, value: str, *, prev: str = "prev", next_: str = "next") -> DataFrame:
-    """Previous and next value along ``order``."""
+    """Previous and next value along ``order``; ``df`` holds one row
+    per period (e.g. from :func:`counts_by_period`)."""
     w = Window.orderBy(F.col(order).asc())
     return df.withColumns({prev: F.lag(value).over(w), next_: F.lead(value).over(w)})
 
 
 def moving_average(df: DataFrame, order: str, value: str, preceding: int, *, out: str = "moving_avg",
                    scale: int | None = 4) -> DataFrame:
-    """Mean over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``."""
+    """Mean over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``;
+    ``df`` holds one row per period."""
     w = Window.orderBy(F.col(order).asc()).rowsBetween(-preceding, 0)
     v = F.avg(value).over(w)
     return df.withColumn(out, F.round(v, scale) if scale is not None else v)
 
 
 def cumulative(df: DataFrame, order: str, value: str, *, out: str = "running") -> DataFrame:
-    """Running sum ``ROWS UNBOUNDED PRECEDING``."""
+    """Running sum ``ROWS UNBOUNDED PRECEDING``; ``df`` holds one
+    row per period (for running sums over raw rows use
+    :func:`cohortlens.operators.ranking.ordered_index`)."""
     w = Window.orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(out, F.sum(value).over(w))
 
