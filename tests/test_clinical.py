@@ -456,3 +456,18 @@ def test_review_fixes(spark):
     acc, rej = guards.constrained_ingest(rec, {})
     assert acc.count() == 3 and rej.count() == 0
     assert [r["outcome"] for r in guards.ingest_summary(rec, {}).collect()] == ["accepted"]
+
+
+@pytest.mark.parametrize("period,expected", [
+    ("week", [(dt.date(2020, 1, 6), 1), (dt.date(2020, 1, 13), 0), (dt.date(2020, 1, 20), 2)]),
+    ("quarter", [(dt.date(2020, 1, 1), 3), (dt.date(2020, 4, 1), 0), (dt.date(2020, 7, 1), 1)]),
+    ("year", [(dt.date(2020, 1, 1), 4)]),
+])
+def test_period_spines(spark, period, expected):
+    rows = [(dt.datetime(2020, 1, 8, 10),), (dt.datetime(2020, 1, 20),), (dt.datetime(2020, 1, 26, 23, 59),),
+            (dt.datetime(2020, 7, 1),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    got = sorted((r["period"], r["n"]) for r in ts.counts_by_period(df, "t", period, spine=True).collect())
+    assert got[:len(expected)] == expected and sum(n for _, n in got) == 4
+    if period == "week":  # every Monday from 2020-01-06 to 2020-06-29
+        assert len(got) == 26 and got[-1] == (dt.date(2020, 6, 29), 1)
