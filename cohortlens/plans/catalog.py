@@ -1018,6 +1018,44 @@ def alerts(t: tables) -> DataFrame:
     return guards.alerts(t.events, F.col("value") > 100, msg, keep=["event_id", "user_id"])
 
 
+# ------------------------------------------------------------ plain filters
+
+@query("oxygen_style_filter", "F3 F7 F11", """
+SELECT o_orderkey, o_orderpriority FROM orders
+WHERE o_orderstatus = 'F' AND NULLIF(o_orderpriority, 'null') IS NOT NULL
+  AND o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1997-03-01'""")
+def oxygen_style_filter(t: tables) -> DataFrame:
+    # Q31 shape: equality, a text sentinel cleaned to NULL (F11), and a
+    # half-open month on the raw timestamp so the range reaches the scan
+    from cohortlens.sources import clean_sentinels
+
+    o = clean_sentinels(t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"),
+                        ["o_orderpriority"])
+    return o.where(
+        (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isNotNull()
+        & (F.col("o_orderdate") >= F.lit("1997-02-01").cast("timestamp_ntz"))
+        & (F.col("o_orderdate") < F.lit("1997-03-01").cast("timestamp_ntz"))
+    ).select("o_orderkey", "o_orderpriority")
+
+
+@query("threshold_list", "F4", "SELECT c_custkey FROM customer WHERE c_acctbal < 0")
+def threshold_list(t: tables) -> DataFrame:
+    # Q49 shape: the ids below a threshold
+    return t.customer.where(F.col("c_acctbal") < 0).select("c_custkey")
+
+
+@query("flagged_count_two_keys", "J1 A2 A14 L1", """
+SELECT o.o_orderpriority, o.o_orderstatus, COUNT(*) AS n_returned
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_returnflag = 'R' GROUP BY 1, 2""")
+def flagged_count_two_keys(t: tables) -> DataFrame:
+    # B16 shape: flagged rows counted per two categories of the joined side;
+    # the flag filter and a per-order count run before the join
+    per_order = t.lineitem.where(F.col("l_returnflag") == "R").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("r"))
+    j = per_order.join(t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus"),
+                       F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.groupBy("o_orderpriority", "o_orderstatus").agg(F.sum("r").cast("bigint").alias("n_returned"))
+
+
 # ------------------------------------------------------------------ registry
 
 def build(spark: SparkSession, key: str, sf_dir: str) -> DataFrame:
@@ -1030,3 +1068,33 @@ def query_functions() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_statements() -> dict[str, str]:
     return {k: q.sql.strip() for k, q in REGISTRY.items() if q.sql}
+
+
+# Which reference questions each
+# key restates on the driver tables.
+RESTATES: dict[str, str] = {
+    "moving_avg_monthly": "Q30", "month_neighbours": "Q39", "cumulative_daily": "B20", "quarter_counts": "B25",
+    "weekday_mode": "Q50", "day_gap": "Q16", "date_span": "Q23", "spine_fill": "Q36", "month_labels": "Q67",
+    "age_from_year": "Q2 Q3", "share_by_group": "Q4 Q37", "pct_truncated": "Q4 Q8", "share_slices": "Q6",
+    "share_filtered": "Q8", "rate_by_group": "B19 Q54", "rate_lowest": "Q9 Q53", "multi_rate": "B24",
+    "rate_halves": "Q61", "branch_rate_join": "B22", "category_ratio": "Q46", "count_filtered": "Q5 B10",
+    "count_distinct_prefix": "Q18", "histogram_width_bucket": "Q7", "top_group": "Q76 Q58 B9",
+    "top_group_in_month": "B13", "top_per_group": "Q12", "first_letter": "Q25", "text_bar": "Q51",
+    "having_many": "Q41", "entity_extremes": "Q32", "max_over_groups": "Q47", "band_avg": "Q74",
+    "two_level_agg": "Q34 B21", "or_predicate_distinct": "Q68 Q29", "inner_join_avg": "Q11 Q14 B11 B12",
+    "right_join_view": "Q17", "left_join_stats": "Q52", "three_way_join_count": "B15 B14", "using_join": "Q40",
+    "max_over_join": "Q47", "join_or_filter": "B23", "outer_made_inner": "B8", "correlation": "Q15",
+    "first_value_group": "B2", "youngest_items": "Q55", "extreme_rows": "Q48", "linked_rows": "Q80",
+    "guarded_ratio_mean": "Q34", "profile_quantiles": "B6", "spread": "Q72 Q65", "variance_by_hand": "Q65",
+    "between_range": "Q16 Q7", "min_max_avg": "B18", "pivot_fixed": "Q21", "pivot_year_outcome": "B1",
+    "flag_counts_pivot": "Q21", "union_distinct": "Q21", "union_all": "Q6", "rank_desc": "Q45",
+    "topk_then_nth": "Q71", "nth_value_5": "B3", "ntile_quartiles": "B4", "cume_dist": "B5",
+    "serial_number": "Q10", "stable_sample": "Q43", "like_two_part": "Q20", "ilike_contains": "Q27",
+    "regex_any": "Q79", "second_word": "Q19", "name_length": "Q44", "bits_chars": "Q69",
+    "reverse_palindrome": "Q57 Q64", "concat_null_safe": "Q63 B7", "update_returning": "Q78", "even_odd": "Q38",
+    "gcd_lcm": "Q60", "quotient_no_slash": "Q24", "column_difference": "B17", "records_per_entity": "Q26",
+    "json_per_entity": "Q77", "entity_digest": "Q40", "array_text": "Q6", "band_value": "Q1",
+    "code_labels": "Q13 Q12", "add_drop_column": "Q70 Q73", "update_from_join": "Q2 Q13", "stack_child": "Q35",
+    "range_lookup": "Q6", "lookup_or_report": "Q42", "delete_guard": "Q22", "constrained_ingest": "Q56",
+    "alerts": "Q75", "oxygen_style_filter": "Q31", "threshold_list": "Q49", "flagged_count_two_keys": "B16",
+}

@@ -28,3 +28,13 @@ def test_entry_contract_shapes():
     q, s = entry.queries(), entry.oracle_sql()
     assert len(q) >= 90 and set(s) <= set(q)
     assert all(callable(f) for f in q.values()) and all(isinstance(v, str) and v for v in s.values())
+
+
+def test_every_key_names_the_questions_it_restates():
+    sys.path.insert(0, ROOT)
+    from cohortlens.plans.catalog import REGISTRY, RESTATES
+    from cohortlens.plans.clinical import QUESTIONS
+
+    assert set(RESTATES) == set(REGISTRY)
+    numbers = {q.number for q in QUESTIONS.values()}
+    assert all(tok in numbers for v in RESTATES.values() for tok in v.split())

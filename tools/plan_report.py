@@ -16,7 +16,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cohortlens.plans.catalog import REGISTRY, build  # noqa: E402
+from cohortlens.plans.catalog import REGISTRY, RESTATES, build  # noqa: E402
 from cohortlens.plans.inspect import plan_text  # noqa: E402
 from cohortlens.session import build_session  # noqa: E402
 
@@ -55,11 +55,11 @@ def main() -> None:
     print("plans: broadcasts shown here were chosen from file sizes below `spark.sql.autoBroadcastJoinThreshold`; on large")
     print("inputs the same joins plan as sort-merge joins. `checkpointed` counts reads of reliable checkpoints")
     print("(ordered-index path). Scans list the only columns read from each table.\n")
-    print("| key | operators | shuffles | joins | windows | checkpointed | columns read |")
-    print("|---|---|---|---|---|---|---|")
+    print("| key | restates | operators | shuffles | joins | windows | checkpointed | columns read |")
+    print("|---|---|---|---|---|---|---|---|")
     for k, q in REGISTRY.items():
         s = summarize(plan_text(build(spark, k, sf_dir), "extended"))
-        print(f"| {k} | {q.ops} | {s['shuffles']} | {s['joins']} | {s['windows']} | {s['checkpointed']} | {s['scans']} |")
+        print(f"| {k} | {RESTATES.get(k, '')} | {q.ops} | {s['shuffles']} | {s['joins']} | {s['windows']} | {s['checkpointed']} | {s['scans']} |")
 
 
 if __name__ == "__main__":
