@@ -31,7 +31,10 @@ def survey_ids_and_questions(path: str):
         if section and section.startswith("## 2.") and cells and ID_RE.match(cells[0]):
             if cells[0] not in names:
                 ids.append(cells[0])
-                names[cells[0]] = cells[1][:70]
+                # operator wording only: drop file citations
+                text = re.sub(r"\s*\((?:[^()]*?)\b\w+\.sql:[^)]*\)", "", cells[1])
+                text = re.sub(r"\b\w+\.sql:\S*", "", text).strip()
+                names[cells[0]] = text[:70]
         if cells and re.fullmatch(r"(\d+|B\d+)", cells[0]) and len(cells) >= 4:
             qmap["Q" + cells[0] if cells[0].isdigit() else cells[0]] = set(cells[3].replace("→", " ").split())
     return ids, names, qmap
