@@ -1,5 +1,5 @@
-"""SURVEY 1.5, one test per defect of the reference: the clinical answers
-compute the intent, not the letter."""
+"""SURVEY 1.5, one test per defect of the reference queries: the clinical
+answers compute the intent, not the letter."""
 
 import datetime as dt
 
@@ -22,20 +22,20 @@ def c(spark):
 
 
 def test_tautological_join_is_an_equi_join(c):
-    """:130, :163 - ON h.k = h.k crossed every admission with every patient."""
+    """ON h.k = h.k crossed every admission with every patient."""
     r = answer(c, "mean_readmission_days_men").first()
     assert r["avg_readmission_days"] == "20 days"  # only patient 101's own readmission
 
 
 def test_random_age_stays_inside_its_band(spark):
-    """:9 - 21 + floor(r * 10) can reach 30, outside '21-29'."""
+    """21 + floor(r * 10) can reach 30, outside '21-29'."""
     df = spark.range(5000).select(F.col("id").alias("inpatient_number"), F.lit("21-29").alias("agecat"))
     ages = enrich.band_value(df, "agecat", "inpatient_number", seed=9).agg(F.min("value"), F.max("value")).first()
     assert (ages[0], ages[1]) == (21, 29)
 
 
 def test_birth_year_uses_the_earliest_admission(spark):
-    """:31-40 - a patient with several admissions got an arbitrary year."""
+    """a patient with several admissions got an arbitrary year."""
     demo = spark.createDataFrame([(1, "21-29")], "inpatient_number long, agecat string")
     adm = spark.createDataFrame([(1, dt.datetime(2019, 5, 1)), (1, dt.datetime(2017, 1, 2)), (1, dt.datetime(2018, 3, 3))],
                                 "inpatient_number long, admission_date timestamp_ntz")
@@ -44,19 +44,19 @@ def test_birth_year_uses_the_earliest_admission(spark):
 
 
 def test_rates_are_exact_not_integer_division(c):
-    """:65, :123, :546, :833 - integer division before rounding lost all decimals."""
+    """integer division before rounding lost all decimals."""
     got = {r["gender"]: r["pct"] for r in answer(c, "gender_share").collect()}
     assert got["Male"] == 44.44
 
 
 def test_least_likely_is_a_rate_not_a_count(c):
-    """:129-134 - 'least likely' was computed as a raw count."""
+    """'least likely' was computed as a raw count."""
     r = answer(c, "least_readmitted_band").first()
     assert "rate" in r.asDict() and r["rate"] == 0.0
 
 
 def test_nyha_labels_are_not_shifted(c):
-    """:178-181 - class 2 was labelled 'Class I' and class 1 had no label."""
+    """class 2 was labelled 'Class I' and class 1 had no label."""
     lab = {r["nyha_cardiac_function_classification"]: r["nyha_class"] for r in
            enrich.code_labels(c.cardiaccomplications, "nyha_cardiac_function_classification",
                               {1: "I", 2: "II", 3: "III", 4: "IV"}, out="nyha_class").collect()}
@@ -65,37 +65,37 @@ def test_nyha_labels_are_not_shifted(c):
 
 
 def test_day_range_is_half_open(c):
-    """:221-224 - BETWEEN ... '2017-03-31' lost that day after midnight."""
+    """BETWEEN ... '2017-03-31' lost that day after midnight."""
     days = [r["day"] for r in answer(c, "march_daily_gaps").collect()]
     assert dt.date(2017, 3, 31) in days
 
 
 def test_second_word_filter_drops_empty(c):
-    """:263 / D7 - split_part past the end is '', so IS NOT NULL filtered nothing."""
+    """split_part past the end is '', so IS NOT NULL filtered nothing."""
     assert answer(c, "drug_second_word").where(F.col("second_word") == "").count() == 0
 
 
 def test_divide_without_slash_is_a_quotient(c):
-    """:353-359 - the query subtracted min(x, y) instead of dividing."""
+    """the query subtracted min(x, y) instead of dividing."""
     got = {(r["dischargeday"], r["visit_times"]): r["discharge_per_visit"] for r in answer(c, "discharge_per_visit").collect()}
     assert got[(7, 2)] == 3 and got[(3, 0)] is None
 
 
 def test_monocyte_share_is_a_per_patient_ratio(c):
-    """:481-488 - monocyte_count / count(wbc) grouped by the value itself."""
+    """monocyte_count / count(wbc) grouped by the value itself."""
     m = {r["agecat"]: r["average_monocyte_percentage"] for r in answer(c, "monocyte_pct_by_band").collect()}
     assert m["69-79"] == round((0.3 / 3.5 + 0.4 / 5.0) / 2 * 100, 2)
 
 
 def test_child_rows_carry_their_keys(c):
-    """:516-525 - the child table was filled with NULL keys."""
+    """the child table was filled with NULL keys."""
     s = answer(c, "patient_history_with_labs")
     assert s.where(F.col("inpatient_number").isNull()).count() == 0
     assert s.where(F.col("systolic_blood_pressure").isNotNull()).count() == c.labs.count()
 
 
 def test_drug_count_has_no_admission_fan_out(c):
-    """:629-633 - joining admissions multiplied the drug count."""
+    """joining admissions multiplied the drug count."""
     from cohortlens.operators import groups
 
     counts = dict((r["inpatient_number"], r["n"]) for r in groups.count_by(c.patient_precriptions, "inpatient_number").collect())
@@ -103,13 +103,13 @@ def test_drug_count_has_no_admission_fan_out(c):
 
 
 def test_round_happens_last(c):
-    """:757 - rounding before x100 gave whole percents only."""
+    """rounding before x100 gave whole percents only."""
     r = answer(c, "readmission_vs_death_pct").first()
     assert r["pct_re_admission"] == 66.6667
 
 
 def test_groups_with_zero_events_are_kept(spark):
-    """:837-838 - an inner join to the readmitted counts dropped groups without any."""
+    """an inner join to the readmitted counts dropped groups without any."""
     from cohortlens.operators import rates
 
     df = spark.createDataFrame([("Home", 1), ("Home", 0), ("Transfer", 0)], "destinationdischarge string, re int")
@@ -119,19 +119,19 @@ def test_groups_with_zero_events_are_kept(spark):
 
 
 def test_cancer_includes_solid_tumors(c):
-    """:917-921 - 'cancer' omitted solid_tumor."""
+    """'cancer' omitted solid_tumor."""
     assert answer(c, "both_failure_kidney_or_cancer").first()["patient_count"] == 3
     assert answer(c, "cancer_patients").first()["unique_cancer_patients"] == 3
 
 
 def test_bits_are_real_utf8_bits(c):
-    """:930 - chars x 8 is wrong for multibyte text."""
+    """chars x 8 is wrong for multibyte text."""
     r = {x["occupation"]: x["num_of_bits"] for x in answer(c, "occupation_bits").collect()}
     assert r["Ärztin"] == 56
 
 
 def test_null_bmi_is_not_in_the_low_band(c):
-    """:1007 - NULL BMI landed in '<= 30'."""
+    """NULL BMI landed in '<= 30'."""
     from cohortlens.operators import groups
 
     b = groups.band_by(c.demography, "bmi", [30], ["<= 30", "> 30"], out="bmi_category")
@@ -140,29 +140,29 @@ def test_null_bmi_is_not_in_the_low_band(c):
 
 
 def test_recursion_is_bounded_and_complete(c):
-    """:1076-1081 - the recursion only stopped because of LIMIT 10."""
+    """the recursion only stopped because of LIMIT 10."""
     rows = answer(c, "patients_linked_to_drug", hops=3).collect()
     assert len(rows) == 4  # all rows of the linked patients, each once
 
 
 def test_crosstab_aligns_by_value(c):
-    """:1089-1097 - a missing category shifted values left."""
+    """a missing category shifted values left."""
     r = {x["admission_year"]: x for x in answer(c, "yearly_outcomes").collect()}
     assert (r[2018]["Alive"], r[2018]["Dead"], r[2018]["DischargeAgainstOrder"]) == (2, 0, 0)
 
 
 def test_profile_reports_two_sigma_and_quartiles(c):
-    """:1135-1138 - quartiles were labelled '2 std above/below mean'."""
+    """quartiles were labelled '2 std above/below mean'."""
     cols = set(answer(c, "systolic_profile").columns)
     assert {"q1", "q3", "iqr", "lower_2sd", "upper_2sd"} <= cols
 
 
 def test_outer_join_made_inner_is_said_plainly(c):
-    """:1155-1157 - WHERE age > 50 on the nullable side turned the outer joins inner."""
+    """WHERE age > 50 on the nullable side turned the outer joins inner."""
     assert answer(c, "diabetic_over_50_drugs").where(F.col("drug_name").isNull()).count() == 0
 
 
 def test_global_rates_in_one_aggregate(c):
-    """:1358-1371 - the statement did not parse; one conditional aggregate instead."""
+    """the statement did not parse; one conditional aggregate instead."""
     r = answer(c, "readmission_vs_death_pct").first()
     assert (r["n_re_admission"], r["n_death"], r["n"]) == (6, 3, 9)
