@@ -32,23 +32,31 @@ def main() -> None:
                           extra={"spark.driver.memory": "16g"})
     keys = only or list(REGISTRY)
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for k in keys:
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            build(spark, k, sf_dir).write.format("noop").mode("overwrite").save()
-            el = time.perf_counter() - t0
-            if i > 0:  # first run warms the JVM and the file cache
-                samples.append(el)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                build(spark, k, sf_dir).write.format("noop").mode("overwrite").save()
+                el = time.perf_counter() - t0
+                if i > 0:  # first run warms the JVM and the file cache
+                    samples.append(el)
+        except Exception as exc:  # report the failure, keep timing the rest
+            failed[k] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            continue
         times[k] = round(statistics.median(samples), 4)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    result = {
         "metric": "total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if failed:
+        result["failed"] = failed
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":
