@@ -24,3 +24,16 @@ def test_key_independent_of_partitioning(spark, duck, key, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("key", SENSITIVE)
+def test_key_without_adaptive_execution(spark, duck, key):
+    """Some clusters run with AQE off: the range partitioning, checkpoints
+    and part splitting must not depend on it."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        res = compare(build(spark, key, SF_SMALL), duck, REGISTRY[key].sql)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert res["ok"], res
