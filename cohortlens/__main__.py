@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from cohortlens.plans.catalog import REGISTRY, build
+from cohortlens.plans.catalog import REGISTRY, RESTATES, build
 from cohortlens.session import build_session
 
 
@@ -19,7 +19,7 @@ def main() -> None:
     a = ap.parse_args()
     if a.list or not a.key:
         for k, q in REGISTRY.items():
-            print(f"{k:24s} {q.ops}")
+            print(f"{k:24s} {RESTATES.get(k, ''):14s} {q.ops}")
         return
     if a.sql:
         print(REGISTRY[a.key].sql or "(no SQL oracle: rows-only check)")
