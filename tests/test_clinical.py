@@ -471,3 +471,17 @@ def test_period_spines(spark, period, expected):
     assert got[:len(expected)] == expected and sum(n for _, n in got) == 4
     if period == "week":  # every Monday from 2020-01-06 to 2020-06-29
         assert len(got) == 26 and got[-1] == (dt.date(2020, 6, 29), 1)
+
+
+def test_snapshot_read_back_keeps_schema(spark, scratch):
+    import os
+
+    from cohortlens.sources import write_clustered_snapshot, write_snapshot
+
+    df = spark.createDataFrame([("01", 1, dt.date(2020, 1, 1)), ("02", 2, dt.date(2020, 2, 1))],
+                               "code string, n int, d date")
+    a = write_snapshot(df, os.path.join(scratch, "snap"), partition_by=["code"])
+    b = write_clustered_snapshot(df, os.path.join(scratch, "clus"), ["n"], partition_by=["code"], files=2)
+    for back in (a, b):
+        assert back.schema == df.schema  # '01' stays a string, columns keep their order
+        assert sorted(back.collect()) == sorted(df.collect())
