@@ -91,3 +91,10 @@ def test_more_answers_by_hand(c):
     # Q41 with its age: patient 108 (16 drugs) is in 79-89
     r = answer(c, "many_drug_patients").first()
     assert r["drugs"] == 16 and 79 <= r["age"] <= 89 and r["outcome_during_hospitalization"] == "Dead"
+
+
+def test_empty_flag_lists_are_refused(c):
+    with pytest.raises(ValueError):
+        answer(c, "cancer_patients", flags=[])
+    with pytest.raises(ValueError):
+        answer(c, "both_failure_kidney_or_cancer", flags=[])

@@ -204,3 +204,13 @@ def test_cumulative_bounds_scalable_path_equals_window(t):
     ra = {r["c_nationkey"]: r["upper"] for r in a.collect()}
     rb = {r["c_nationkey"]: r["upper"] for r in b.collect()}
     assert ra.keys() == rb.keys() and all(abs(ra[k] - rb[k]) < 1e-12 for k in ra) and max(ra.values()) == 1.0
+
+
+def test_range_lookup_paths_agree_on_mixed_types(spark):
+    from cohortlens.operators import links
+
+    vals = spark.createDataFrame([(1, -3), (2, -2), (3, 0), (4, 5)], "id long, x long")
+    bounds = spark.createDataFrame([(-2.5, "a"), (1.0, "b")], "upper double, slice string")
+    a = {r["id"]: r["slice"] for r in links.range_lookup(vals, "x", bounds, "upper", "slice").collect()}
+    b = {r["id"]: r["slice"] for r in links._range_lookup_merge(vals, "x", bounds, "upper", "slice", "slice").collect()}
+    assert a == b == {1: "a", 2: "b", 3: "b", 4: None}

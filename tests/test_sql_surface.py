@@ -22,3 +22,9 @@ def test_register_views_runs_sql(spark):
     assert "orders" in names
     n = spark.sql("SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F'").first()["n"]
     assert n > 0
+
+
+def test_register_views_skips_missing_tables(spark):
+    from cohortlens.sources import register_views
+
+    assert register_views(spark, "/root/testdata/sf0.001", ("orders", "no_such_table")) == ["orders"]
