@@ -39,11 +39,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ticket(seed: int | str, *cols: Column | str) -> Column:
+    """A repeatable 52-bit draw per row: the leading hex digits of an md5 of the
+    seed and the columns as text (null: empty), so DuckDB can state the same."""
+    own = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *own).cast("binary")), 1, 13), 16, 10).cast("long")
+
+
 def seeded(seed: int | str, *cols: Column | str) -> Column:
-    """A repeatable draw from [0, 1) per row: the leading 52 bits of an md5 of
-    the seed and the columns as text, so DuckDB can state the same order."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
+    """The ticket as a number in [0, 1)."""
+    return ticket(seed, *cols) / F.lit(float(2**52))
 
 
 def n_words(text: Column) -> Column:

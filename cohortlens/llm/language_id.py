@@ -193,11 +193,11 @@ def _remainder(id_col: str):
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, seed: int = 10) -> Model:
     """Learn the trees from about ``sample_docs`` documents a language: a
     seeded draw over all rows with a language and a crc32 remainder other
-    than 0.  Byte grams are counted and summed by Spark; the driver gets the
+    than 0, by a share per language (one broadcast row each).  Byte grams are counted and summed by Spark; the driver gets the
     sums, bounded by the sample."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(_remainder("id"), F.lit(0)) != 0))
     share = known.groupBy("lang").agg((F.lit(float(sample_docs)) / F.count("*")).alias("share"))
-    sample = known.withColumn("u", seeded(seed, "id")).join(share, "lang").where("u < share").select("lang", "text")
+    sample = known.withColumn("u", seeded(seed, "id")).join(F.broadcast(share), "lang").where("u < share").select("lang", "text")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import language_id
+from cohortlens.llm import language_id, mixing, quality
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+@query("op4_source_mixing", mixing.SQL)
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
