@@ -58,7 +58,7 @@ def n_words(text: Column) -> Column:
     return F.when(F.size(pieces) == 1, 1 - edge(1)).otherwise(F.size(pieces) - edge(1) - edge(-1)).cast("long")
 
 
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 
 
 def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[str, str], make: Callable[..., list]) -> DataFrame:
@@ -91,16 +91,29 @@ def by_group(frames: Iterator[pd.DataFrame], key: list[str], do: Callable[[pd.Da
         keys = df[key].to_numpy()
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
         if held and (held[-1][key].to_numpy()[-1] != keys[0]).any():
-            yield from do(pd.concat(held) if len(held) > 1 else held[0]) or ()
+            yield from do(pd.concat(held, ignore_index=True)) or ()
             held = []
         parts = np.split(np.arange(len(df)), cuts)
         for i, part in enumerate(parts):
             held.append(df.iloc[part])
             if i < len(parts) - 1:
-                yield from do(pd.concat(held) if len(held) > 1 else held[0]) or ()
+                yield from do(pd.concat(held, ignore_index=True)) or ()
                 held = []
     if held:
-        yield from do(pd.concat(held) if len(held) > 1 else held[0]) or ()
+        yield from do(pd.concat(held, ignore_index=True)) or ()
+
+
+def in_blocks(rows: DataFrame, group: list[str], node: str, counts: DataFrame, size: int) -> DataFrame:
+    """Spread the all-against-all work of each group over tasks of bounded
+    size: a group is dealt into blocks of about ``size`` rows by a hash of
+    ``node``, and each pair of blocks ``(bi, bj)``, ``bi <= bj``, becomes a
+    unit of work.  Adds ``blk`` (the row's block), ``bi`` and ``bj``; a row
+    appears once for each unit that its block is part of.  ``counts`` has
+    ``group`` and its number of rows, ``m``."""
+    blocks = F.ceil(F.col("m") / F.lit(size)).cast("int")
+    dealt = rows.join(counts, group).withColumn("nb", blocks).drop("m").withColumn("blk", F.pmod(F.hash(node), F.col("nb")))
+    units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
+    return units.withColumns({"bi": F.least("blk", "other"), "bj": F.greatest("blk", "other")}).drop("other")
 
 
 class UnionFind:
@@ -122,7 +135,8 @@ class UnionFind:
             self.parent[max(a, b)] = min(a, b)
 
     def join_all(self, rows: np.ndarray, cols: np.ndarray) -> None:
-        """Join every listed pair by repeated smallest-label passes."""
+        """Join all listed pairs, the only ones of this structure, by repeated
+        smallest-label passes."""
         p = self.parent
         while len(rows):
             low = np.minimum(p[rows], p[cols])

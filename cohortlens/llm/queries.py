@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import language_id, mixing, quality
+from cohortlens.llm import embedding_dedup, language_id, mixing, packing, quality
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,11 +27,21 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
+@query("op3_embedding_dedup", embedding_dedup.SQL)
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 @query("op4_source_mixing", mixing.SQL)
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
