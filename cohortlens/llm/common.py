@@ -58,7 +58,7 @@ def n_words(text: Column) -> Column:
     return F.when(F.size(pieces) == 1, 1 - edge(1)).otherwise(F.size(pieces) - edge(1) - edge(-1)).cast("long")
 
 
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
 
 def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[str, str], make: Callable[..., list]) -> DataFrame:
