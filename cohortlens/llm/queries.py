@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, embedding_dedup, language_id, mixing, ngram_join, packing, pii, quality, secrets_scan
+from cohortlens.llm import chat, embedding_dedup, language_id, mixing, ngram_join, packing, pii, quality, secrets_scan, token_files
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,12 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_files.read(token_files.write(docs, public_tokenizers.path(token_files.TOKENIZER)))
+
+
 @query("op6_ngram_jaccard_join", ngram_join.SQL)
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
