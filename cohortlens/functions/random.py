@@ -2,9 +2,9 @@
 
 ``rand(seed)`` depends on partitioning, so a retried or re-planned task
 would draw different numbers.  These values are a pure function of the key
-and the seed: two rounds of the Park-Miller "minimal standard" generator on
-``1 + (key + seed) mod (2^31 - 2)``.  All products stay below 2^47, so there is
-no overflow under ANSI mode, and the same arithmetic runs in any SQL engine.
+and the seed: the leading 52 bits of ``md5(seed:key)``, a hash that any SQL
+engine has, so neighbouring keys and seeds draw unrelated numbers.  Keys of
+any type that casts to text work; a NULL key draws NULL.
 """
 
 from __future__ import annotations
@@ -12,24 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Modulus 2^31 - 1 and multiplier 48271 (Park-Miller, 1993).
-MODULUS = 2147483647
-MULTIPLIER = 48271
+# 13 hexadecimal digits are the 52 bits that a double holds.
+DIGITS = 13
+RANGE = 2**52
 
 
 def stable_uniform(key: Column | str, seed: int = 0) -> Column:
     """A double in [0, 1) fixed by ``(key, seed)``."""
     k = F.col(key) if isinstance(key, str) else key
-    x = F.pmod(k.cast("bigint") + F.lit(seed), F.lit(MODULUS - 1)) + 1
-    x = F.pmod(x * MULTIPLIER, F.lit(MODULUS))
-    x = F.pmod(x * MULTIPLIER, F.lit(MODULUS))
-    return (x - 1).cast("double") / F.lit(float(MODULUS - 1))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("bigint") / F.lit(float(RANGE))
 
 
 def stable_uniform_sql(key_sql: str, seed: int = 0) -> str:
     """The same value as SQL text (used by the DuckDB oracle)."""
-    m = MODULUS
-    x = f"(((({key_sql}) + {seed}) % {m - 1} + {m - 1}) % {m - 1} + 1)"
-    x = f"(({x} * {MULTIPLIER}) % {m})"
-    x = f"(({x} * {MULTIPLIER}) % {m})"
-    return f"(CAST({x} - 1 AS DOUBLE) / {float(m - 1)})"
+    return f"(CAST(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, {DIGITS})) AS BIGINT) / {float(RANGE)})"
