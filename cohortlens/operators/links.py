@@ -18,32 +18,24 @@ def linked_rows(
     items: DataFrame,
     entity: str,
     item: str,
-    match: Column,
+    match: Column | None = None,
     *,
+    seeds: DataFrame | None = None,
     hops: int = 1,
 ) -> DataFrame:
     """All rows of entities linked to a matching item.
 
-    hops=1: entities that hold an item satisfying ``match`` (a semi-join, the
-    intent of the reference's recursion, which only re-joined the same
-    key).  hops>1 follows entity -> item -> entity links, deduplicating the
-    entity set every round and checkpointing it so the lineage stays short;
-    the loop stops early at a fixpoint.
+    The first entities are those of rows that satisfy ``match``, or the column
+    ``entity`` of ``seeds`` where the caller finds them at less cost.
+    hops=1: the rows of these entities (a semi-join, the intent of the
+    reference's recursion, which only re-joined the same key).  hops>1 follows
+    entity -> item -> entity links, the entity set distinct after every round.
+    Nothing runs before the result is asked for.
     """
-    seeds = items.where(match).select(entity).distinct()
-    if hops > 1:
-        from cohortlens.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(items.sparkSession)
-    frontier = seeds
+    frontier = (seeds if seeds is not None else items.where(match)).select(entity).distinct()
     for _ in range(hops - 1):
         linked_items = items.join(frontier, on=entity, how="left_semi").select(item).distinct()
-        nxt = items.join(linked_items, on=item, how="left_semi").select(entity).union(frontier).distinct()
-        nxt = nxt.checkpoint(eager=True)
-        if nxt.count() == frontier.count():
-            frontier = nxt
-            break
-        frontier = nxt
+        frontier = items.join(linked_items, on=item, how="left_semi").select(entity).union(frontier).distinct()
     return items.join(frontier, on=entity, how="left_semi")
 
 
@@ -55,101 +47,54 @@ def range_lookup(
     label_col: str,
     *,
     out: str = "slice",
-    max_bounds: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """For each row, the label of the first bound (in ascending bound
-    order) that is >= ``value``; NULL when every bound is smaller.
-
-    The bounds are counted first.  Up to ``max_bounds`` of them are packed
-    into one sorted array on a one-row broadcast side, and each row scans
-    that array (cost linear in the bound count, so the limit is kept small),
-    with no shuffle of ``df``.  Above the limit the lookup merges distinct
-    values and bounds in one range-partitioned order (exact, no nested-loop
-    join).
-    """
-    n = bounds.count()
-    if n <= max_bounds:
-        arr = bounds.agg(
-            F.sort_array(F.collect_list(F.struct(F.col(bound_col).alias("b"), F.col(label_col).alias("l")))).alias(
-                "_cl_bounds"
-            )
-        )
-        # one-row side of checked size: broadcast, no shuffle of df
-        withb = df.crossJoin(F.broadcast(arr))
-        hit = F.filter("_cl_bounds", lambda s: s["b"] >= F.col(value))
-        return withb.withColumn(out, F.get(hit, 0)["l"]).drop("_cl_bounds")
-    return _range_lookup_merge(df, value, bounds, bound_col, label_col, out)
-
-
-def _range_lookup_merge(df: DataFrame, value: str, bounds: DataFrame, bound_col: str, label_col: str,
-                        out: str, slices: int | None = None) -> DataFrame:
-    """Exact J9 for any number of bounds, without a nested-loop join.
-
-    Distinct values (tag 0) and bounds (tag 1) are merged into one order by
-    (x, tag), so a bound equal to a value sorts right after it.  After a
-    range partitioning (checkpointed, so partition ids are stable) each row
-    takes the first bound at or after it inside its partition; rows with
-    none there take the first bound of the later partitions, from a table
-    with one row per partition.  The answer per distinct value is joined
-    back to ``df`` on the value (an equi-join AQE can split when skewed).
+    order) that is >= ``value``; NULL when every bound is smaller.  Equal bounds
+    give the smallest label.
+
+    One path for any number of bounds, without a nested-loop join.  Values and
+    bounds are compared in the type that a union of both columns has (Spark's
+    common type).  Distinct values (tag 0) and bounds (tag 1) are merged into
+    one order by (x, tag), so a bound equal to a value comes right after it, and
+    cut into buckets of that order; a value takes the first bound at or after
+    it in its bucket, or else the first of the later buckets, from a table with
+    a row per bucket.  The answer per distinct value is joined back to ``df`` on
+    the value, an equi-join that AQE can split when skewed.
     """
-    from cohortlens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    from pyspark.sql import types as T
-
-    fractional = (T.FloatType, T.DoubleType, T.DecimalType)
-    vt = df.schema[value].dataType
-    if isinstance(vt, fractional) or isinstance(bounds.schema[bound_col].dataType, fractional):
-        vt = T.DoubleType()  # compare in a common type, as the array path does
-    vals = df.select(F.col(value).cast(vt).alias("_cl_x")).where(F.col("_cl_x").isNotNull()).distinct().select(
-        "_cl_x", F.lit(0).alias("_cl_tag"), F.lit(None).cast(bounds.schema[label_col].dataType).alias("_cl_l"))
-    bnd = bounds.select(F.col(bound_col).cast(vt).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
+    from cohortlens.operators.ranking import _BUCKET, order_bucket
+
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    common = df.select(F.col(value).alias("_cl_x")).union(bounds.select(bound_col)).schema["_cl_x"].dataType
+    label_type = bounds.schema[label_col].dataType
+    vals = df.select(F.col(value).cast(common).alias("_cl_x")).where(F.col("_cl_x").isNotNull()).distinct().select(
+        "_cl_x", F.lit(0).alias("_cl_tag"), F.lit(None).cast(label_type).alias("_cl_l"))
+    bnd = bounds.select(F.col(bound_col).cast(common).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
                         F.col(label_col).alias("_cl_l")).where(F.col("_cl_x").isNotNull())
-    from cohortlens.operators.ranking import _range_partition
-
-    merged = _range_partition(vals.unionByName(bnd), slices, F.col("_cl_x"), F.col("_cl_tag"), F.col("_cl_l")).withColumn(
-        "_cl_pid", F.spark_partition_id()).checkpoint(eager=True)
-    # label of the bound at or after each row, inside the row's range partition
-    # ties between equal bounds resolve to the smallest label, as in the array path
-    w = Window.partitionBy("_cl_pid").orderBy("_cl_x", "_cl_tag", F.col("_cl_l").asc_nulls_first()).rowsBetween(
+    merged = order_bucket(vals.unionByName(bnd), [("_cl_x", True), ("_cl_tag", True)], slices)
+    w = Window.partitionBy(_BUCKET).orderBy("_cl_x", "_cl_tag", F.col("_cl_l").asc_nulls_first()).rowsBetween(
         0, Window.unboundedFollowing)
     local = merged.withColumn("_cl_next", F.first(F.when(F.col("_cl_tag") == 1, F.struct("_cl_x", "_cl_l")),
                                                   ignorenulls=True).over(w))
-    # first bound of every partition, then for each partition the first bound
-    # of the nearest later partition that has one (tables of one row per partition)
-    heads = merged.where(F.col("_cl_tag") == 1).groupBy("_cl_pid").agg(
-        F.min(F.struct("_cl_x", "_cl_l")).alias("_cl_head"))
-    pids = merged.select("_cl_pid").distinct().join(heads, "_cl_pid", "left")
-    after = Window.orderBy("_cl_pid").rowsBetween(1, Window.unboundedFollowing)
-    carry = pids.select("_cl_pid", F.first("_cl_head", ignorenulls=True).over(after).alias("_cl_carry"))
-    res = local.where(F.col("_cl_tag") == 0).join(F.broadcast(carry.select("_cl_pid", "_cl_carry")), "_cl_pid", "left")
-    answer = res.select(F.col("_cl_x"), F.coalesce(F.col("_cl_next")["_cl_l"], F.col("_cl_carry")["_cl_l"]).alias(out))
-    return df.join(answer, F.col(value).cast(vt) == F.col("_cl_x"), "left").drop("_cl_x")
-
-
-def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None,
-                      max_window_labels: int = 10_000) -> DataFrame:
-    """Shares per label as cumulative upper bounds in (0, 1], label order.
-
-    The labels are counted first: up to ``max_window_labels`` the running
-    share is one small window over the counted labels; beyond it the running
-    sums come from :func:`cohortlens.operators.ranking.ordered_index`, so no
-    task ever holds all labels.
-    """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cl_n"))
-    out_label = out_label or label
-    if counts.count() <= max_window_labels:
-        w = Window.orderBy(F.col(label).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-        total = counts.agg(F.sum("_cl_n")).scalar()
-        return counts.select(
-            F.col(label).alias(out_label),
-            (F.sum("_cl_n").over(w) / total).cast("double").alias(out_bound),
-        )
+    # first bound of every bucket, then for each bucket that of the nearest
+    # later one that has any (at most ``slices`` rows)
+    heads = merged.groupBy(_BUCKET).agg(F.min(F.when(F.col("_cl_tag") == 1, F.struct("_cl_x", "_cl_l"))).alias("_cl_head"))
+    after = Window.orderBy(_BUCKET).rowsBetween(1, Window.unboundedFollowing)
+    carry = heads.select(_BUCKET, F.first("_cl_head", ignorenulls=True).over(after).alias("_cl_carry"))
+    res = local.where(F.col("_cl_tag") == 0).join(F.broadcast(carry), _BUCKET, "left")
+    answer = res.select("_cl_x", F.coalesce(F.col("_cl_next")["_cl_l"], F.col("_cl_carry")["_cl_l"]).alias(out))
+    return df.join(answer, F.col(value).cast(common) == F.col("_cl_x"), "left").drop("_cl_x")
+
+
+def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None) -> DataFrame:
+    """Shares per label as cumulative upper bounds in (0, 1], label order, for
+    any number of labels: the running sums come from
+    :func:`cohortlens.operators.ranking.ordered_index`."""
     from cohortlens.operators.ranking import ordered_index
 
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cl_n"))
     idx = ordered_index(counts, [(label, True)], weight="_cl_n", before="_cl_b", total="_cl_t")
     return idx.select(
-        F.col(label).alias(out_label),
+        F.col(label).alias(out_label or label),
         ((F.col("_cl_b") + F.col("_cl_n")) / F.col("_cl_t")).cast("double").alias(out_bound),
     )

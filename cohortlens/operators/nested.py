@@ -2,16 +2,15 @@
 (A28-A31, R1-R3, X4, J15).
 
 A per-entity array is one value, and one entity may own a third of all
-rows.  So every function here packs an entity's records into
-``ceil(count / max_per_part)`` *parts*: entity counts are taken first
-(partial aggregation), each record of an entity above the bound gets a part
-number from a hash of its content (so parts hold about ``max_per_part``
-records or fewer, balanced by the hash), and the final aggregate groups by
-(entity, part) after an explicit shuffle on both.  Identical records hash to
-the same part, so records should carry a unique field (a record id in
-``fields`` or ``order_by``), as every caller here does.  Entities below the bound have exactly one part
-(part 0), the reference's shape; a hot entity is spread over many tasks.
-No record is dropped.
+rows.  So every entity, whatever its size, is cut by one rule: a record's part
+is its position in ``order_by`` order divided by ``per_part``, a fixed part of
+the output.  The parts in order, joined, are the entity's ordered value.
+
+Positions come from :func:`cohortlens.operators.ranking.ordered_index`, so a hot
+entity is numbered by many tasks; equal records are counted first and cover a
+stretch of positions, so many equal rows are one row on the way.  NULL is an
+entity like any other.  No record is dropped, and nothing runs before the
+result is asked for.
 """
 
 from __future__ import annotations
@@ -22,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators._util import as_list
+from cohortlens.operators.ranking import ordered_index
 
-DEFAULT_MAX_PER_PART = 50_000
+DEFAULT_PER_PART = 50_000
 
 # whole-value JSON: keep NULL fields and full timestamp precision
 JSON_OPTIONS = {
@@ -33,38 +33,6 @@ JSON_OPTIONS = {
 }
 
 
-# Entities above the part bound are looked up from a broadcast table when
-# there are at most this many of them (checked); beyond it, a join.
-HOT_KEYS_BROADCAST_LIMIT = 100_000
-
-
-def _with_parts(df: DataFrame, key: list[str], content: list[str], max_per_part: int) -> DataFrame:
-    """Add ``part``; when some entity has several parts, shuffle on (key..., part).
-
-    Only entities with more than ``max_per_part`` records get more than one
-    part.  Their number is at most rows / max_per_part; it is counted, and
-    when it is small (the usual case: a few hot entities) the part counts are
-    broadcast, so the raw rows are shuffled once, straight to their
-    (entity, part) task.
-    """
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_cl_cnt"))
-    hot = counts.where(F.col("_cl_cnt") > max_per_part).select(
-        *key, F.ceil(F.col("_cl_cnt") / F.lit(max_per_part)).cast("bigint").alias("_cl_parts"))
-    n_hot = hot.count()
-    h = F.xxhash64(*[F.col(c) for c in content])
-    if n_hot == 0:
-        # one part per entity: the (entity, part) aggregate needs no extra
-        # shuffle when the input is already partitioned by the entity
-        return df.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot
-        joined = df.join(side, on=key, how="left")
-        tagged = joined.withColumn(
-            "part", F.when(F.col("_cl_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(h, F.col("_cl_parts")))
-        ).drop("_cl_parts")
-    return tagged.repartition(*[F.col(k) for k in key], F.col("part"))
-
-
 def collect_sorted(
     df: DataFrame,
     key: str | Sequence[str],
@@ -72,40 +40,41 @@ def collect_sorted(
     order_by: Sequence[str],
     *,
     out: str = "records",
-    max_per_part: int | None = DEFAULT_MAX_PER_PART,
+    per_part: int = DEFAULT_PER_PART,
 ) -> DataFrame:
     """``(key..., part, n, records)`` with ``records`` an array of
-    structs of ``fields`` sorted by ``order_by`` (then by the fields)."""
+    structs of ``fields`` sorted by ``order_by`` (then by the fields, NULLs
+    last), ``per_part`` records a part."""
     key = as_list(key)
     order_by = list(order_by)
     sort_fields = order_by + [f for f in fields if f not in order_by]
-    src = df
-    grp = list(key)
-    if max_per_part:
-        src = _with_parts(df, key, sort_fields, max_per_part)
-        grp = [*key, "part"]
-    # NULL sort keys last (D3): each order_by field is preceded by its NULL flag
-    rec = F.struct(
-        *[e for i, c in enumerate(order_by) for e in (F.col(c).isNull().alias(f"_cl_null{i}"), F.col(c))],
-        *[F.col(c) for c in sort_fields if c not in order_by],
-    )
-    agg = src.groupBy(*grp).agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.sort_array(F.collect_list(rec)).alias("_cl_arr"))
-    shaped = F.transform("_cl_arr", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
-    return agg.withColumn(out, shaped).drop("_cl_arr")
-
-
-def records_per_entity(df: DataFrame, key, fields, order_by, *, max_per_part: int | None = DEFAULT_MAX_PER_PART) -> DataFrame:
+    own = [f for f in sort_fields if f not in key]
+    counted = df.groupBy(*key, *own).agg(F.count(F.lit(1)).alias("_cl_times"))
+    placed = ordered_index(counted, [(c, True) for c in sort_fields], group=key, weight="_cl_times", before="_cl_at", total=None)
+    until = F.col("_cl_at") + F.col("_cl_times")
+    parts = F.sequence(F.floor(F.col("_cl_at") / per_part), F.floor((until - 1) / per_part))
+    spread = placed.withColumn("part", F.explode(parts))
+    inside = F.least(until, (F.col("part") + 1) * per_part) - F.greatest(F.col("_cl_at"), F.col("part") * per_part)
+    rec = F.struct(F.col("_cl_at"), inside.cast("int").alias("_cl_times"), F.struct(*[F.col(f) for f in fields]).alias("_cl_rec"))
+    agg = spread.groupBy(*key, "part").agg(F.sum(inside).cast("bigint").alias("n"), F.collect_list(rec).alias("_cl_arr"))
+    # positions differ, so the records themselves are never compared
+    in_order = F.array_sort("_cl_arr", lambda a, b: F.when(a["_cl_at"] < b["_cl_at"], -1).otherwise(1))
+    repeated = F.flatten(F.transform(in_order, lambda r: F.array_repeat(r["_cl_rec"], r["_cl_times"])))
+    return agg.withColumn(out, repeated).drop("_cl_arr")
+
+
+def records_per_entity(df: DataFrame, key, fields, order_by, *, per_part: int = DEFAULT_PER_PART) -> DataFrame:
     """Sorted array of records per entity, plus its JSON text."""
-    res = collect_sorted(df, key, fields, order_by, max_per_part=max_per_part)
+    res = collect_sorted(df, key, fields, order_by, per_part=per_part)
     return res.withColumn("records_json", F.to_json("records", JSON_OPTIONS))
 
 
 def json_per_entity(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str], *,
-                    max_per_part: int | None = DEFAULT_MAX_PER_PART, out: str = "rows_json") -> DataFrame:
+                    per_part: int = DEFAULT_PER_PART, out: str = "rows_json") -> DataFrame:
     """``json_agg(whole row)`` per entity; NULL fields are kept
     (D17), timestamps keep their microseconds (Spark's default JSON format
     would cut them to milliseconds), rows sorted by ``order_by``."""
-    res = collect_sorted(df, key, list(df.columns), order_by, out="_cl_rows", max_per_part=max_per_part)
+    res = collect_sorted(df, key, list(df.columns), order_by, out="_cl_rows", per_part=per_part)
     return res.withColumn(out, F.to_json("_cl_rows", JSON_OPTIONS)).drop("_cl_rows")
 
 
@@ -117,12 +86,12 @@ def joined_text(
     *,
     sep: str = ",",
     out: str = "text",
-    max_per_part: int | None = DEFAULT_MAX_PER_PART,
+    per_part: int = DEFAULT_PER_PART,
 ) -> DataFrame:
     """``string_agg(value, sep ORDER BY order_by)`` per entity."""
     v = F.col(value) if isinstance(value, str) else value
     src = df.withColumn("_cl_v", v.cast("string"))
-    res = collect_sorted(src, key, ["_cl_v"], list(order_by), out="_cl_recs", max_per_part=max_per_part)
+    res = collect_sorted(src, key, ["_cl_v"], list(order_by), out="_cl_recs", per_part=per_part)
     return res.withColumn(out, F.array_join(F.transform("_cl_recs", lambda r: r["_cl_v"]), sep)).drop("_cl_recs")
 
 
@@ -135,7 +104,7 @@ def entity_digest(
     sep: str = ";",
     field_sep: str = ",",
     out: str = "digest",
-    max_per_part: int | None = DEFAULT_MAX_PER_PART,
+    per_part: int = DEFAULT_PER_PART,
 ) -> DataFrame:
     """One text per entity for *all* entities (filter afterwards):
     the frames are joined on ``key`` (J2, key kept once) and each joined row
@@ -145,4 +114,4 @@ def entity_digest(
     for f in frames[1:]:
         joined = joined.join(f, on=key, how="inner")
     row_text = F.concat_ws(field_sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in template])
-    return joined_text(joined, key, row_text, order_by, sep=sep, out=out, max_per_part=max_per_part)
+    return joined_text(joined, key, row_text, order_by, sep=sep, out=out, per_part=per_part)

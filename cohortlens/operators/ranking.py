@@ -3,22 +3,17 @@
 A window ``OVER (ORDER BY x)`` without a partition makes Spark move every
 row into one task.  Over raw rows that does not scale, so the ranking
 operators here use :func:`ordered_index`, which computes the same running
-counts with range partitioning:
-
-1. ``repartitionByRange`` on (group keys, order keys); the partition id is
-   stored in a column and the frame is checkpointed, so ids stay stable
-   under retries and executor loss.
-2. A small aggregate gives the weight of every (partition, group) pair and
-   a window over those pairs gives each partition's offset within its
-   group.  That window holds at most one row per partition for any group,
-   so a hot group split over many partitions stays small.
-3. A window partitioned by (partition id, group) adds the local running
-   sum.  No task ever holds more than one range partition.  For plain row
-   numbers (one row each, no groups) a local sort after the checkpoint gives
-   each row's position directly, with no exchange at all.
-
-Range partitioning without an explicit count lets AQE merge adjacent small
-partitions, which keeps every partition a contiguous key range in order.
+counts from buckets of the order:
+
+1. A scalar subquery takes a bounded sample of the full (group, order) keys,
+   the first by a hash, and cuts it into boundaries.
+2. A row's bucket is a pure function of its key: a binary search among the
+   boundaries.  Retries and re-plans give the same bucket, so nothing is
+   checkpointed, and nothing runs before the result is asked for.
+3. A small aggregate gives the weight of every (bucket, group) pair, and a
+   window over those pairs each bucket's offset within its group; a hot group
+   spread over many buckets has at most one row per bucket there.
+4. A window partitioned by (bucket, group) adds the local running sum.
 """
 
 from __future__ import annotations
@@ -32,7 +27,9 @@ from cohortlens.operators._util import join_null_safe
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
-_PID = "_cl_pid"
+_BUCKET = "_cl_bucket"
+#: Sampled keys per bucket; the sample holds this many times the buckets.
+SAMPLE_PER_BUCKET = 16
 
 
 def _sort_exprs(order: OrderSpec) -> list[Column]:
@@ -40,12 +37,44 @@ def _sort_exprs(order: OrderSpec) -> list[Column]:
     return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in order]
 
 
-def _range_partition(df: DataFrame, slices: int | None, *cols: Column) -> DataFrame:
-    """Range-partition on ``cols``.  Without an explicit count the shuffle
-    uses ``spark.sql.shuffle.partitions`` and AQE may merge *adjacent* small
-    partitions at run time, which keeps every partition a contiguous key
-    range in order, so partition ids stay valid positions in the order."""
-    return df.repartitionByRange(slices, *cols) if slices else df.repartitionByRange(*cols)
+def _ahead(a: Column, b: Column, directions: Sequence[bool]) -> Column:
+    """Whether struct ``a`` comes before struct ``b`` in a declared order, field by
+    field, NULLs last in both directions."""
+    out = F.lit(False)
+    for i in reversed(range(len(directions))):
+        x, y = a[f"k{i}"], b[f"k{i}"]
+        less = x < y if directions[i] else x > y
+        less = F.when(x.isNull(), F.lit(False)).when(y.isNull(), F.lit(True)).otherwise(less)
+        out = F.when(x.eqNullSafe(y), out).otherwise(less)
+    return out
+
+
+def order_bucket(df: DataFrame, order: OrderSpec, buckets: int) -> DataFrame:
+    """Add ``_cl_bucket``: the row's place among at most ``buckets`` ranges of
+    ``order``, ascending with it; equal keys share a bucket."""
+    directions = [asc for _, asc in order]
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(order)])
+    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(buckets * SAMPLE_PER_BUCKET)
+    compare = lambda x, y: F.when(_ahead(x, y, directions), -1).when(_ahead(y, x, directions), 1).otherwise(0)
+    ordered = sample.agg(F.array_sort(F.collect_list("k"), compare).alias("s"))
+    # every m-th sampled key, so that small inputs have few buckets
+    step = F.greatest(F.ceil(F.size("s") / F.lit(buckets)), F.lit(1)).cast("int")
+    cuts = F.filter(F.col("s"), lambda _, i: (i % step == step - 1) & (i + 1 < F.size("s")))
+    bounds = ordered.select(cuts.alias("b")).scalar()
+
+    # the number of boundaries that are ahead of the key, by halving
+    steps = F.sequence(F.lit(1), F.lit(max(1, (buckets - 1).bit_length()) + 1))
+    start = F.struct(F.lit(0).alias("lo"), F.size("_cl_bounds").alias("hi"))
+
+    def halve(at: Column, _: Column) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        right = (at["lo"] < at["hi"]) & _ahead(F.get("_cl_bounds", mid), F.col("_cl_key"), directions)
+        lo = F.when(right, mid + 1).otherwise(at["lo"])
+        hi = F.when(right, at["hi"]).otherwise(F.greatest(at["lo"], F.least(mid, at["hi"])))
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    place = F.aggregate(steps, start, halve, lambda at: at["lo"])
+    return df.withColumns({"_cl_bounds": bounds, "_cl_key": key}).withColumn(_BUCKET, place).drop("_cl_bounds", "_cl_key")
 
 
 def ordered_index(
@@ -64,22 +93,18 @@ def ordered_index(
 
     Rows whose full (group, order) key is equal must not be split apart for
     the result to be meaningful as a rank, so callers either pass unique keys
-    or pre-aggregate equal keys into one weighted row.
+    or pre-aggregate equal keys into one weighted row.  ``slices`` is the number
+    of buckets, by default that of shuffle partitions.
     """
-    from cohortlens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
     group = list(group)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
-    keyed = df.withColumn("_cl_w", w.cast("bigint"))
-    ranged = _range_partition(
-        keyed, slices, *[F.col(g).asc_nulls_last() for g in group], *_sort_exprs(order)
-    ).withColumn(_PID, F.spark_partition_id())
-    # Reliable checkpoint: fixes the partition ids and cuts the lineage.
-    ranged = ranged.checkpoint(eager=True)
-
-    per_part = ranged.groupBy(_PID, *group).agg(F.sum("_cl_w").alias("_cl_pw"))
-    gw = Window.partitionBy(*group).orderBy(_PID) if group else Window.orderBy(_PID)
+    full = [*[(g, True) for g in group], *[o for o in order if o[0] not in group]]
+    ranged = order_bucket(df.withColumn("_cl_w", w.cast("bigint")), full, slices)
+
+    per_part = ranged.groupBy(_BUCKET, *group).agg(F.sum("_cl_w").alias("_cl_pw"))
+    # without groups one row per bucket, so at most ``slices`` rows
+    gw = Window.partitionBy(*group).orderBy(_BUCKET) if group else Window.orderBy(_BUCKET)
     offsets = per_part.withColumn(
         "_cl_off",
         F.coalesce(F.sum("_cl_pw").over(gw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
@@ -87,35 +112,12 @@ def ordered_index(
     if total:
         tw = Window.partitionBy(*group) if group else Window.partitionBy()
         offsets = offsets.withColumn("_cl_gtotal", F.sum("_cl_pw").over(tw))
-    offsets = offsets.drop("_cl_pw")
-    if not group:
-        # one row per range partition: bounded by the partition count
-        offsets = F.broadcast(offsets)
-    joined = join_null_safe(ranged, offsets, [_PID, *group])
-
-    if weight is None and not group:
-        # One row each and no groups: a row's position inside its range
-        # partition is its index after a local sort, read from
-        # monotonically_increasing_id (partition id in the high bits) in the
-        # same task, so no exchange is needed after the checkpoint.
-        local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-        out = (
-            ranged.sortWithinPartitions(*_sort_exprs(order))
-            .withColumn("_cl_local", local)
-            .join(offsets, on=_PID, how="inner")
-            .withColumn(before, (F.col("_cl_off") + F.col("_cl_local")).cast("bigint"))
-            .drop("_cl_local")
-        )
-    else:
-        lw = Window.partitionBy(_PID, *group).orderBy(*_sort_exprs(order)).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        out = joined.withColumn(
-            before, (F.col("_cl_off") + F.coalesce(F.sum("_cl_w").over(lw), F.lit(0))).cast("bigint")
-        )
+    joined = join_null_safe(ranged, offsets.drop("_cl_pw"), [_BUCKET, *group])
+    lw = Window.partitionBy(_BUCKET, *group).orderBy(*_sort_exprs(order)).rowsBetween(Window.unboundedPreceding, -1)
+    out = joined.withColumn(before, (F.col("_cl_off") + F.coalesce(F.sum("_cl_w").over(lw), F.lit(0))).cast("bigint"))
     if total:
         out = out.withColumn(total, F.col("_cl_gtotal").cast("bigint"))
-    return out.drop("_cl_off", "_cl_gtotal", "_cl_w", _PID)
+    return out.drop("_cl_off", "_cl_gtotal", "_cl_w", _BUCKET)
 
 
 def rank_rows(
@@ -231,11 +233,8 @@ def nth_highest(df: DataFrame, col: str, n: int, *, out: str | None = None, dist
     if distinct:
         src = src.distinct()
     sort = F.col(col).asc_nulls_last() if ascending else F.col(col).desc_nulls_last()
-    top = src.orderBy(sort).limit(n)
-    w = Window.orderBy(sort)
-    ranked = top.withColumn("_cl_pos", F.row_number().over(w))
-    picked = ranked.agg(F.max(F.when(F.col("_cl_pos") == n, F.col(col))).alias(out))
-    return picked
+    # the top n of the whole order, then the last of them: n rows a task at most
+    return src.orderBy(sort).limit(n).orderBy(sort).offset(n - 1).limit(1).agg(F.max(col).alias(out))
 
 
 def nth_value_rows(df: DataFrame, col: str, n: int, *, ascending: bool = False, frame: str = "unbounded",

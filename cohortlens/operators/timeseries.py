@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import day_of_week0, days_between, period_start, span_days
 
+_STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
+
 
 def counts_by_period(
     df: DataFrame,
@@ -26,25 +28,29 @@ def counts_by_period(
 ) -> DataFrame:
     """A34/DT2: rows per calendar period (a DATE: the period's first day).
 
-    With ``spine=True`` periods without rows appear with 0 (S4): the spine
-    is generated from the min and max period, which bounds it by the span.
+    With ``spine=True`` periods without rows appear with 0 (S4): each counted
+    period is followed by the empty ones up to the next, from the counts alone,
+    so the rows are read once.  A NULL period keeps its own row.
     """
     src = df.where(where) if where is not None else df
     counts = src.groupBy(period_start(ts, period).alias(out_period)).agg(F.count(F.lit(1)).cast("bigint").alias(out))
     if not spine:
         return counts
-    cal = calendar_spine(counts.where(F.col(out_period).isNotNull()), out_period, period, out=out_period)
-    filled = cal.join(counts, on=out_period, how="left").fillna(0, subset=[out])
-    # rows without a timestamp keep their own NULL-period row, as without the spine
-    return filled.unionByName(counts.where(F.col(out_period).isNull()))
+    step = F.expr(f"INTERVAL {_STEPS[period]}")
+    at = F.col(out_period)
+    # a window over the counted periods, bounded by the calendar span
+    until = F.lead(at).over(Window.orderBy(at.asc_nulls_last()))
+    gap = counts.withColumn("_cl_last", F.coalesce((until - step).cast("date"), at))
+    days = F.when(at.isNull(), F.array(at)).otherwise(F.sequence(at, "_cl_last", step))
+    spread = gap.withColumn("_cl_at", F.explode(days))
+    return spread.select(F.col("_cl_at").alias(out_period), F.when(F.col("_cl_at").eqNullSafe(at), F.col(out)).otherwise(0).alias(out))
 
 
 def calendar_spine(df: DataFrame, date_col: str, period: str = "day", *, out: str = "day") -> DataFrame:
     """Every period between the min and max of ``date_col``
     (``generate_series``).  One row per period of the span."""
-    step = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}[period]
     bounds = df.agg(F.min(F.col(date_col).cast("date")).alias("_lo"), F.max(F.col(date_col).cast("date")).alias("_hi"))
-    return bounds.select(F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(out))
+    return bounds.select(F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {_STEPS[period]}"))).alias(out))
 
 
 def neighbours(df: DataFrame, order: str, value: str, *, prev: str = "prev", next_: str = "next") -> DataFrame:

@@ -29,6 +29,7 @@ from cohortlens.functions import text as ft
 from cohortlens.functions.random import stable_uniform, stable_uniform_sql
 from cohortlens.operators import enrich, groups, joins, links, nested, pivots, ranking, rates, stats
 from cohortlens.operators import timeseries as ts
+from cohortlens.operators._util import join_null_safe
 from cohortlens.sources import tables
 from cohortlens.streaming import guards
 
@@ -343,11 +344,11 @@ def first_letter(t: tables) -> DataFrame:
 
 
 @query("text_bar", "T11 F19", """
-SELECT event_type, COUNT(*) AS n, repeat('*', CAST(COUNT(*) // 100 AS INTEGER)) AS bar
-FROM events GROUP BY 1 HAVING COUNT(*) > 100""")
+WITH c AS (SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1 HAVING COUNT(*) > 100)
+SELECT event_type, n, repeat('*', CAST(n * 40 // (SELECT MAX(n) FROM c) AS INTEGER)) AS bar FROM c""")
 def text_bar(t: tables) -> DataFrame:
     c = groups.count_by(t.events, "event_type", having=F.col("n") > 100)
-    return c.withColumn("bar", ft.text_bar("n", 100, "*"))
+    return c.withColumn("bar", ft.text_bar("n", c.agg(F.max("n")).scalar()))
 
 
 @query("having_many", "F19 J3 A14", """
@@ -539,9 +540,8 @@ WITH r AS (SELECT c.c_mktsegment, n.n_name,
            FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey)
 SELECT c_mktsegment, n_name AS top_nation FROM r WHERE rn = 1""")
 def first_value_group(t: tables) -> DataFrame:
-    # nation has 25 rows by definition of the schema: a fixed-size broadcast
     j = t.customer.select("c_mktsegment", "c_nationkey", "c_acctbal", "c_custkey").join(
-        F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey")
+        t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return ranking.first_value_by(j, ["c_mktsegment"], "n_name", [("c_acctbal", False), ("c_custkey", True)],
                                   out="top_nation")
@@ -571,16 +571,13 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 WHERE o.o_custkey IN (SELECT o2.o_custkey FROM lineitem l2 JOIN orders o2 ON o2.o_orderkey = l2.l_orderkey
                       JOIN part p ON p.p_partkey = l2.l_partkey WHERE p.p_name = 'red plate')""")
 def linked_rows(t: tables) -> DataFrame:
-    red_plate = t.part.where(F.col("p_name") == "red plate").select(F.col("p_partkey").alias("_rp"))
-    # mark lines first: for the seed entities the filter on the mark turns the
-    # left join inner and cuts lineitem before it meets orders
-    marked = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(
-        red_plate, F.col("l_partkey") == F.col("_rp"), "left"
-    )
-    items = marked.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).drop(
-        "o_orderkey"
-    )
-    res = links.linked_rows(items, "o_custkey", "l_partkey", F.col("_rp").isNotNull())
+    # the seed customers from the few matching lines; all lines meet only orders
+    red = t.part.where(F.col("p_name") == "red plate").select("p_partkey")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    on = F.col("l_orderkey") == F.col("o_orderkey")
+    seeds = lines.join(red, F.col("l_partkey") == F.col("p_partkey"), "left_semi").join(o, on).select("o_custkey")
+    res = links.linked_rows(lines.join(o, on), "o_custkey", "l_partkey", seeds=seeds)
     return res.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey")
 
 
@@ -808,7 +805,7 @@ SELECT c.c_custkey, concat(COALESCE(CAST(c.c_custkey AS VARCHAR), ''), ';', COAL
 FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 def concat_null_safe(t: tables) -> DataFrame:
     j = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey").join(
-        F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     return j.select("c_custkey", ft.join_text(["c_custkey", "c_mktsegment", "n_name"], ";").alias("txt"))
 
@@ -863,42 +860,57 @@ def column_difference(t: tables) -> DataFrame:
 
 # --------------------------------------------------------------------- nested
 
+_PART = nested.DEFAULT_PER_PART
+
+
 @query("records_per_entity", "A30 R2", """
-SELECT o_custkey AS c_custkey, CAST(0 AS BIGINT) AS part, COUNT(*) AS n,
+WITH r AS (SELECT o_custkey AS c_custkey, o_orderkey, o_orderstatus,
+                  (ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 AS part FROM orders)
+SELECT c_custkey, part, COUNT(*) AS n,
        CAST(to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} ORDER BY o_orderkey)) AS VARCHAR) AS records_json
-FROM orders GROUP BY o_custkey""")
+FROM r GROUP BY 1, 2""")
 def records_per_entity(t: tables) -> DataFrame:
+    # four records a part, so that most customers span several
     o = t.orders.withColumnRenamed("o_custkey", "c_custkey")
-    res = nested.records_per_entity(o, "c_custkey", ["o_orderkey", "o_orderstatus"], ["o_orderkey"])
+    res = nested.records_per_entity(o, "c_custkey", ["o_orderkey", "o_orderstatus"], ["o_orderkey"], per_part=4)
     return res.select("c_custkey", "part", "n", F.col("records_json").cast("string").alias("records_json"))
 
 
-@query("json_per_entity", "A31 R3 D17", """
-SELECT user_id, CAST(0 AS BIGINT) AS part, COUNT(*) AS n,
-       '[' || string_agg('{"event_id":' || CAST(event_id AS VARCHAR)
+@query("json_per_entity", "A31 R3 D17", f"""
+WITH r AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // {_PART} AS part FROM events)
+SELECT user_id, part, COUNT(*) AS n,
+       '[' || string_agg('{{"event_id":' || CAST(event_id AS VARCHAR)
                          || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
                          || '","user_id":' || CAST(user_id AS VARCHAR)
                          || ',"event_type":"' || event_type
                          || '","value":' || CAST(value AS VARCHAR)
-                         || ',"props":"' || replace(props, '"', '\\"') || '"}', ',' ORDER BY event_id) || ']' AS rows_json
-FROM events GROUP BY user_id""")
+                         || ',"props":"' || replace(props, '"', '\\"') || '"}}', ',' ORDER BY event_id) || ']' AS rows_json
+FROM r GROUP BY 1, 2""")
 def json_per_entity(t: tables) -> DataFrame:
     return nested.json_per_entity(t.events, "user_id", ["event_id"])
 
 
-@query("entity_digest", "X4 A28 T2 J15", """
-SELECT c.c_custkey, CAST(0 AS BIGINT) AS part, COUNT(*) AS n,
-       string_agg(o.o_orderstatus || ',' || c.c_mktsegment, ';' ORDER BY o.o_orderkey) AS digest
-FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey""")
+@query("entity_digest", "X4 A28 T2 J15", f"""
+WITH l AS (SELECT l.l_orderkey, COUNT(*) AS n_lines, MAX(p.p_name) AS last_part
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY 1),
+     r AS (SELECT c.c_custkey, o.o_orderkey, o.o_orderstatus || ',' || c.c_mktsegment || ',' || l.n_lines || ',' || l.last_part AS txt,
+                  (ROW_NUMBER() OVER (PARTITION BY c.c_custkey ORDER BY o.o_orderkey) - 1) // {_PART} AS part
+           FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey JOIN l ON l.l_orderkey = o.o_orderkey)
+SELECT c_custkey, part, COUNT(*) AS n, string_agg(txt, ';' ORDER BY o_orderkey) AS digest FROM r GROUP BY 1, 2""")
 def entity_digest(t: tables) -> DataFrame:
+    # lines are summed per order before they meet orders and customers
+    lines = t.lineitem.select("l_orderkey", "l_partkey").join(
+        t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.max("p_name").alias("last_part"))
     c = t.customer.select("c_custkey", "c_mktsegment")
     o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus")
-    return nested.entity_digest([c, o], "c_custkey", ["o_orderstatus", "c_mktsegment"], ["o_orderkey"])
+    o = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
+    return nested.entity_digest([c, o], "c_custkey", ["o_orderstatus", "c_mktsegment", "n_lines", "last_part"], ["o_orderkey"])
 
 
-@query("array_text", "A29 T12 R1", """
-SELECT user_id, CAST(0 AS BIGINT) AS part, COUNT(*) AS n, string_agg(event_type, '' ORDER BY event_id) AS types
-FROM events GROUP BY user_id""")
+@query("array_text", "A29 T12 R1", f"""
+WITH r AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // {_PART} AS part FROM events)
+SELECT user_id, part, COUNT(*) AS n, string_agg(event_type, '' ORDER BY event_id) AS types FROM r GROUP BY 1, 2""")
 def array_text(t: tables) -> DataFrame:
     return nested.joined_text(t.events, "user_id", "event_type", ["event_id"], sep="", out="types")
 
@@ -932,7 +944,7 @@ def code_labels(t: tables) -> DataFrame:
                               out="status_label")
 
 
-@query("add_drop_column", "C6 C7 S10 S2 X6 X7 DT5", """
+@query("add_drop_column", "C6 C7 S10 S2 X6 X7", """
 SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '2005-01-01 00:00:00' AS as_of FROM customer""")
 def add_drop_column(t: tables) -> DataFrame:
     c = enrich.add_if_missing(t.customer, "as_of", F.lit("2005-01-01").cast("timestamp_ntz"))
@@ -952,21 +964,45 @@ def update_from_join(t: tables) -> DataFrame:
     return enrich.update_from(base, src, "c_custkey", ["first_year"])
 
 
-@query("stack_child", "S9 S3 C8 S8", """
-SELECT c_custkey, c_mktsegment, NULL::DOUBLE AS n_orders FROM customer WHERE c_mktsegment = 'BUILDING'
+@query("stack_child", "S9 C8", """
+SELECT c_custkey, c_mktsegment, NULL::DOUBLE AS n_orders FROM customer
 UNION ALL BY NAME
 SELECT c.c_custkey, c.c_mktsegment, CAST(COUNT(*) AS DOUBLE) AS n_orders
-FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey WHERE c.c_mktsegment = 'MACHINERY' GROUP BY 1, 2""")
+FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY 1, 2""")
 def stack_child(t: tables) -> DataFrame:
-    parent = t.customer.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_mktsegment")
-    child_src = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select("c_custkey", "c_mktsegment")
-    child = child_src.join(t.orders.select(F.col("o_custkey").alias("c_custkey")), on="c_custkey").groupBy(
-        "c_custkey", "c_mktsegment"
-    ).agg(F.count(F.lit(1)).cast("bigint").alias("n_orders"))
+    # a parent scan holds all parents and all child rows
+    parent = t.customer.select("c_custkey", "c_mktsegment")
+    per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).cast("bigint").alias("n_orders"))
+    child = parent.join(per_customer, on="c_custkey")
     # the child-only column is NULL on parent rows: reported as double
     return enrich.stack_child(parent, child).withColumn("n_orders", F.col("n_orders").cast("double"))
 
 
+@query("inline_rows_appended", "S3 C8 S1", """
+SELECT r_regionkey, r_name FROM region UNION ALL SELECT * FROM (VALUES (100, 'ATLANTIS'), (101, NULL)) v(k, n)""")
+def inline_rows_appended(t: tables) -> DataFrame:
+    from pyspark.sql import types as T
+
+    from cohortlens.sources.tables import inline_rows
+
+    given = t.region.select("r_regionkey", "r_name")
+    schema = T.StructType([T.StructField("r_regionkey", given.schema["r_regionkey"].dataType), T.StructField("r_name", T.StringType())])
+    return given.unionByName(inline_rows(t.spark, [(100, "ATLANTIS"), (101, None)], schema))
+
+
+@query("sink_round_trip", "S8", """
+SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS BIGINT) AS order_year FROM orders""")
+def sink_round_trip(t: tables) -> DataFrame:
+    import uuid
+
+    from cohortlens.session import ensure_checkpoint_dir
+    from cohortlens.sources.tables import write_snapshot
+
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    years = t.orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").cast("bigint").alias("order_year"))
+    return write_snapshot(years, path, partition_by=["order_year"])
+
+
 # ------------------------------------------------------- lookups and guards
 
 @query("range_lookup", "J9", f"""
@@ -983,14 +1019,14 @@ def range_lookup(t: tables) -> DataFrame:
 
 
 @query("lookup_or_report", "G4 J14 F18", """
-SELECT c.c_custkey, CAST(o.o_orderkey AS DOUBLE) AS o_orderkey, o.o_totalprice,
+SELECT 2 * c.c_custkey AS c_custkey, CAST(o.o_orderkey AS DOUBLE) AS o_orderkey, o.o_totalprice,
        CASE WHEN o.o_orderkey IS NULL THEN 'not found' ELSE 'found' END AS status
-FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON o.o_custkey = c.c_custkey""")
+FROM customer c LEFT JOIN orders o ON o.o_custkey = 2 * c.c_custkey""")
 def lookup_or_report(t: tables) -> DataFrame:
-    pending = t.orders.where(F.col("o_orderstatus") == "P").select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"
-    )
-    res = guards.lookup_or_report(pending, "c_custkey", t.customer, ["o_orderkey", "o_totalprice"])
+    # ids spread over twice the range of keys: about half of them have no order
+    ids = t.customer.select((F.col("c_custkey") * 2).alias("c_custkey"))
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    res = guards.lookup_or_report(orders, "c_custkey", ids, ["o_orderkey", "o_totalprice"])
     return res.withColumn("o_orderkey", F.col("o_orderkey").cast("double"))  # NULL when not found
 
 
@@ -1022,22 +1058,96 @@ def alerts(t: tables) -> DataFrame:
 
 @query("oxygen_style_filter", "F3 F7 F11", """
 SELECT o_orderkey, o_orderpriority FROM orders
-WHERE o_orderstatus = 'F' AND NULLIF(o_orderpriority, 'null') IS NOT NULL
-  AND o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1997-03-01'""")
+WHERE o_orderstatus <> 'P' AND o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1997-03-01'""")
 def oxygen_style_filter(t: tables) -> DataFrame:
-    # Q31 shape: equality, a text sentinel cleaned to NULL (F11), and a
-    # half-open month on the raw timestamp so the range reaches the scan
+    # Q31 shape on data that holds the text sentinel (status P is spelled
+    # 'null' first): cleaned to NULL (F11), and a half-open month on the raw
+    # timestamp so the range reaches the scan
     from cohortlens.sources import clean_sentinels
 
-    o = clean_sentinels(t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"),
-                        ["o_orderpriority"])
+    status = F.when(F.col("o_orderstatus") == "P", "null").otherwise(F.col("o_orderstatus"))
+    o = clean_sentinels(t.orders.select("o_orderkey", "o_orderpriority", status.alias("o_orderstatus"), "o_orderdate"),
+                        ["o_orderstatus"])
     return o.where(
-        (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isNotNull()
+        F.col("o_orderstatus").isNotNull()
         & (F.col("o_orderdate") >= F.lit("1997-02-01").cast("timestamp_ntz"))
         & (F.col("o_orderdate") < F.lit("1997-03-01").cast("timestamp_ntz"))
     ).select("o_orderkey", "o_orderpriority")
 
 
+@query("text_against_number", "F21 F3", """
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE CAST(l_linenumber AS VARCHAR) = '1'""")
+def text_against_number(t: tables) -> DataFrame:
+    # a flag kept as a number, asked for as text: the declared type decides
+    return t.lineitem.where(F.col("l_linenumber") == F.lit("1")).select("l_orderkey", "l_linenumber")
+
+
+@query("letters_by_place", "T4 F13", """
+SELECT p_partkey, g.i AS place, substring(p_name, CAST(g.i AS INTEGER), 1) AS letter
+FROM part, generate_series(1, 3) AS g(i)""")
+def letters_by_place(t: tables) -> DataFrame:
+    p = t.part.select("p_partkey", "p_name", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(3).cast("bigint"))).alias("place"))
+    return p.select("p_partkey", "place", F.substring("p_name", F.col("place").cast("int"), F.lit(1)).alias("letter"))
+
+
+@query("days_to_today", "DT5 DT6", """
+SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(now() AT TIME ZONE 'UTC' AS DATE)) AS BIGINT) AS days
+FROM orders""")
+def days_to_today(t: tables) -> DataFrame:
+    return t.orders.select("o_orderkey", F.datediff(F.current_date(), F.col("o_orderdate").cast("date")).cast("bigint").alias("days"))
+
+
+# -------------------------------------------------- NULLs derived from columns
+
+def _status():
+    return F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status")
+
+
+@query("null_counts", "A2 A15 F22", """
+WITH s AS (SELECT o_orderpriority, nullif(o_orderstatus, 'P') AS status FROM orders)
+SELECT o_orderpriority, COUNT(*) AS n, COUNT(status) AS n_status, COUNT(DISTINCT status) AS n_kinds,
+       ROUND(CAST(COUNT(status) AS DOUBLE) * 100.0 / CAST(COUNT(*) AS DOUBLE), 4) AS pct FROM s GROUP BY 1""")
+def null_counts(t: tables) -> DataFrame:
+    s = t.orders.select("o_orderpriority", _status())
+    known, all_ = F.count("status"), F.count(F.lit(1))
+    return s.groupBy("o_orderpriority").agg(
+        all_.alias("n"), known.alias("n_status"), F.count_distinct("status").alias("n_kinds"),
+        F.round(known.cast("double") * 100.0 / all_.cast("double"), 4).alias("pct"))
+
+
+@query("null_ranks", "W3 W5 D3", """
+WITH s AS (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status FROM orders)
+SELECT o_orderkey, status, RANK() OVER (ORDER BY status DESC NULLS LAST) AS rnk,
+       CAST(NTILE(4) OVER (ORDER BY status NULLS LAST, o_orderkey) AS BIGINT) AS tile FROM s""")
+def null_ranks(t: tables) -> DataFrame:
+    s = t.orders.select("o_orderkey", _status())
+    ranked = ranking.rank_rows(s, [("status", False)])
+    return ranking.ntile_rows(ranked, 4, [("status", True), ("o_orderkey", True)], out="tile")
+
+
+@query("first_value_record", "W9 J5 D3", """
+WITH s AS (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, o_orderpriority, o_totalprice FROM orders)
+SELECT o_orderkey, status, FIRST_VALUE(o_orderpriority) OVER (PARTITION BY status ORDER BY o_totalprice DESC, o_orderkey) AS top_priority
+FROM s""")
+def first_value_record(t: tables) -> DataFrame:
+    # on every record: one row per group, joined back with NULL as a group
+    s = t.orders.select("o_orderkey", _status(), "o_orderpriority", "o_totalprice")
+    top = ranking.first_value_by(s, ["status"], "o_orderpriority", [("o_totalprice", False), ("o_orderkey", True)], out="top_priority")
+    return join_null_safe(s.select("o_orderkey", "status"), top, ["status"], "left")
+
+
+@query("null_keys_joined", "J2 T2 D5", """
+WITH l AS (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status FROM orders),
+     r AS (SELECT nullif(o_orderstatus, 'P') AS status, COUNT(*) AS n FROM orders GROUP BY 1)
+SELECT o_orderkey, l.status || ':' || n AS txt, concat(l.status, ':', n) AS kept FROM l JOIN r USING (status)""")
+def null_keys_joined(t: tables) -> DataFrame:
+    # NULL keys meet nothing under USING; || with NULL is NULL
+    s = t.orders.select("o_orderkey", _status())
+    n = s.groupBy("status").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    j = s.join(n, on="status")
+    return j.select("o_orderkey", F.concat("status", F.lit(":"), "n").alias("txt"), ft.join_text(["status", "n"], ":").alias("kept"))
+
+
 @query("threshold_list", "F4", "SELECT c_custkey FROM customer WHERE c_acctbal < 0")
 def threshold_list(t: tables) -> DataFrame:
     # Q49 shape: the ids below a threshold
@@ -1096,5 +1206,7 @@ RESTATES: dict[str, str] = {
     "json_per_entity": "Q77", "entity_digest": "Q40", "array_text": "Q6", "band_value": "Q1",
     "code_labels": "Q13 Q12", "add_drop_column": "Q70 Q73", "update_from_join": "Q2 Q13", "stack_child": "Q35",
     "range_lookup": "Q6", "lookup_or_report": "Q42", "delete_guard": "Q22", "constrained_ingest": "Q56",
+    "inline_rows_appended": "Q35", "sink_round_trip": "Q35", "text_against_number": "Q51 B5", "letters_by_place": "Q25",
+    "days_to_today": "Q16", "null_counts": "B2", "null_ranks": "B4", "first_value_record": "B2", "null_keys_joined": "B7",
     "alerts": "Q75", "oxygen_style_filter": "Q31", "threshold_list": "Q49", "flagged_count_two_keys": "B16",
 }

@@ -106,25 +106,46 @@ def test_outer_join_equals_left_join_with_hot_key(spark, skewed):
     assert a.exceptAll(b.select(*a.columns)).count() == 0
 
 
+def plain_lookup(values, bounds):
+    """First bound at or above each value; the smallest label of equal bounds."""
+    order = sorted(bounds)
+    return {i: next((label for b, label in order if x is not None and b >= x), None) for i, x in values}
+
+
 @pytest.mark.parametrize("parts", [1, 3, 16])
-def test_range_lookup_merge_equals_array_path(spark, t, parts):
+def test_range_lookup_equals_a_plain_scan(spark, t, parts):
     from cohortlens.operators import links
     from cohortlens.functions.random import stable_uniform
 
     bounds = links.cumulative_bounds(t.customer, "c_nationkey", out_label="slice")
     u = t.customer.select("c_custkey", stable_uniform("c_custkey", 7).alias("u"))
     u = u.unionByName(spark.createDataFrame([(-1, 2.0), (-2, None), (-3, 0.0)], "c_custkey long, u double"))
-    a = links.range_lookup(u, "u", bounds, "upper", "slice")
-    b = links._range_lookup_merge(u, "u", bounds, "upper", "slice", "slice", slices=parts)
-    assert a.count() == b.count() == u.count()
-    assert a.exceptAll(b.select(*a.columns)).count() == 0
+    got = {r["c_custkey"]: r["slice"] for r in links.range_lookup(u, "u", bounds, "upper", "slice", slices=parts).collect()}
+    assert got == plain_lookup(map(tuple, u.collect()), [(r["upper"], r["slice"]) for r in bounds.collect()])
+
+
+@pytest.mark.parametrize("n", [3, 300])
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("bigint", "int"), ("decimal(38,0)", "bigint"), ("date", "timestamp"), ("int", "double")])
+def test_range_lookup_compares_in_the_common_type(spark, n, kinds):
+    from cohortlens.operators import links
+
+    value, bound = kinds
+    ids = spark.range(400).withColumn("k", (F.col("id") * 7 % 1000).cast("int"))
+    far = spark.range(n).withColumn("k", (F.col("id") * 3 + 1).cast("int"))
+    as_ = lambda c, kind: F.expr(f"cast(date_add(date'2000-01-01', {c}) as {kind})") if kind in ("date", "timestamp") else F.col(c).cast(kind)
+    vals = ids.select("id", "k", as_("k", value).alias("x"))
+    limits = far.select(as_("k", bound).alias("upper"), F.concat(F.lit("b"), F.col("k")).alias("slice"), "k")
+    if bound == "bigint" and value != "bigint":
+        limits = limits.unionByName(spark.range(1).select(F.lit(2**40).cast("bigint").alias("upper"), F.lit("far").alias("slice"), F.lit(2**40).alias("k")))
+    got = {r["id"]: r["slice"] for r in links.range_lookup(vals, "x", limits.drop("k"), "upper", "slice").collect()}
+    assert got == plain_lookup([(r["id"], r["k"]) for r in vals.collect()], [(r["k"], r["slice"]) for r in limits.collect()])
 
 
 def test_nested_parts_split_hot_entity(skewed):
     from cohortlens.operators import nested
 
-    # group "hot" owns 15,000 rows, the others 3,000 each; parts of at most 4,000 records
-    res = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
+    # group "hot" owns 15,000 rows, the others 3,000 each; parts of 4,000 records
+    res = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], per_part=4000)
     rows = res.select("g", "part", "n", F.size("records").alias("sz")).collect()
     hot = [r for r in rows if r["g"] == "hot"]
     assert len(hot) == 4 and all(r["n"] == r["sz"] for r in rows)
@@ -138,13 +159,39 @@ def test_nested_parts_split_hot_entity(skewed):
     assert all(r["k0"] == r["kmin"] for r in first)
 
 
-def test_nested_parts_join_fallback_same_result(skewed, monkeypatch):
+@pytest.mark.parametrize("slices", [1, 8])
+def test_parts_in_order_are_the_entity_whatever_its_records(spark, slices):
+    """NULL entities and equal records included: the parts joined are the sorted value."""
     from cohortlens.operators import nested
 
-    a = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
-    monkeypatch.setattr(nested, "HOT_KEYS_BROADCAST_LIMIT", 0)
-    b = nested.collect_sorted(skewed, "g", ["k", "v"], ["k"], max_per_part=4000)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", str(slices))
+    try:
+        rows = [(None, i % 4, "n") for i in range(10)] + [("e", 5, "same")] * 12 + [("f", None, "x"), ("f", 1, None), ("g", 1, "y")]
+        df = spark.createDataFrame(rows, "g string, k int, v string")
+        res = nested.collect_sorted(df, "g", ["k", "v"], ["k"], per_part=3).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    parts = {}
+    for r in sorted(res, key=lambda r: r["part"]):
+        assert r["n"] == len(r["records"]) <= 3
+        parts.setdefault(r["g"], []).append([tuple(x) for x in r["records"]])
+    last = lambda x: (x is None, x)
+    for g, own in parts.items():
+        assert [len(p) for p in own[:-1]] == [3] * (len(own) - 1)
+        assert sum(own, []) == sorted(((k, v) for h, k, v in rows if h == g), key=lambda r: (last(r[0])[0], r[0] or 0, last(r[1])[0], r[1] or ""))
+
+
+def test_no_job_before_the_result_is_asked_for(spark, t):
+    from cohortlens.operators import links, nested
+
+    tracker, before = spark.sparkContext.statusTracker(), None
+    before = set(tracker.getJobIdsForGroup(None))
+    nested.joined_text(t.events, "user_id", "event_type", ["event_id"])
+    ranking.serial_number(t.customer, [("c_custkey", True)])
+    ranking.cume_dist_rows(t.customer, [("c_acctbal", False)])
+    links.range_lookup(t.customer, "c_acctbal", links.cumulative_bounds(t.customer, "c_mktsegment"), "upper", "c_mktsegment")
+    links.linked_rows(t.lineitem, "l_orderkey", "l_partkey", F.col("l_partkey") == 1, hops=3)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
 @pytest.mark.parametrize("order", [
@@ -196,21 +243,23 @@ def test_first_value_by_nan_and_extreme_longs(spark):
         assert sorted(a.collect()) == sorted(b.collect()), order
 
 
-def test_cumulative_bounds_scalable_path_equals_window(t):
+def test_cumulative_bounds_end_at_one(t):
     from cohortlens.operators import links
 
-    a = links.cumulative_bounds(t.customer, "c_nationkey")
-    b = links.cumulative_bounds(t.customer, "c_nationkey", max_window_labels=0)
-    ra = {r["c_nationkey"]: r["upper"] for r in a.collect()}
-    rb = {r["c_nationkey"]: r["upper"] for r in b.collect()}
-    assert ra.keys() == rb.keys() and all(abs(ra[k] - rb[k]) < 1e-12 for k in ra) and max(ra.values()) == 1.0
+    got = [r["upper"] for r in links.cumulative_bounds(t.customer, "c_nationkey").orderBy("c_nationkey").collect()]
+    sizes = [r["count"] for r in t.customer.groupBy("c_nationkey").count().orderBy("c_nationkey").collect()]
+    assert got == [sum(sizes[: i + 1]) / sum(sizes) for i in range(len(sizes))] and got[-1] == 1.0
 
 
-def test_range_lookup_paths_agree_on_mixed_types(spark):
-    from cohortlens.operators import links
+def test_stable_uniform_looks_random(spark):
+    from cohortlens.functions.random import stable_uniform
 
-    vals = spark.createDataFrame([(1, -3), (2, -2), (3, 0), (4, 5)], "id long, x long")
-    bounds = spark.createDataFrame([(-2.5, "a"), (1.0, "b")], "upper double, slice string")
-    a = {r["id"]: r["slice"] for r in links.range_lookup(vals, "x", bounds, "upper", "slice").collect()}
-    b = {r["id"]: r["slice"] for r in links._range_lookup_merge(vals, "x", bounds, "upper", "slice", "slice").collect()}
-    assert a == b == {1: "a", 2: "b", 3: "b", 4: None}
+    df = spark.range(1, 20001).select(stable_uniform("id", 0).alias("a"), stable_uniform("id", 1).alias("b"), stable_uniform(F.col("id").cast("string"), 0).alias("s"))
+    rows = df.collect()
+    a, b = [r["a"] for r in rows], [r["b"] for r in rows]
+    assert a == [r["s"] for r in rows] and all(0 <= x < 1 for x in a) and len(set(a)) == len(a)
+    assert len({round(y - x, 9) for x, y in zip(a, a[1:])}) > 19000  # no constant step
+    top = lambda u: set(sorted(range(len(u)), key=u.__getitem__)[:100])
+    assert len(top(a) & top(b)) < 10 and len({x - 1 for x in top(a)} & top(b)) < 10  # seeds are unrelated
+    assert all(abs(sum(k / 10 <= x < (k + 1) / 10 for x in a) - 2000) < 250 for k in range(10))
+    assert spark.range(1).select(stable_uniform(F.lit(None).cast("string")).alias("u")).first()["u"] is None
