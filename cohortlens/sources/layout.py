@@ -32,7 +32,7 @@ def write_clustered_snapshot(
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*partition_by, *cluster_by]
     laid = df.repartitionByRange(n, *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-    writer = laid.write.mode("overwrite")
+    writer = laid.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -47,13 +47,14 @@ def inline_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a new immutable snapshot and return a scan of it.
+    """Write a new immutable snapshot and return a scan of it; a path that
+    exists is refused.
 
     Changes never rewrite the input in place: the caller publishes the new
     path.  Partitioning by a date part makes later half-open date filters
     prune whole folders.
     """
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -17,17 +17,20 @@ from pyspark.sql import types as T
 from cohortlens.operators._util import as_list
 
 
-def _stream_checkpoint(spark: SparkSession, kind: str, *parts: str) -> str:
-    """Default progress folder of a stream: under ``spark.checkpoint.dir``,
-    one folder per (kind, source, sinks), so two pipelines never share
-    progress."""
-    import hashlib
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system that Spark uses for it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop))
 
-    from cohortlens.session import ensure_checkpoint_dir
 
-    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
-    tag = hashlib.sha1("\x00".join(parts).encode()).hexdigest()[:16]
-    return os.path.join(base, f"{kind}-{tag}")
+def _progress_folder(spark: SparkSession, sink: str, given: str | None) -> str:
+    """Where a stream keeps its progress: beside its sink, so both last equally
+    long.  A sink that holds files whose progress is gone is refused: batch
+    numbers would start again and rows be skipped or overwritten."""
+    folder = given or sink.rstrip("/") + ".progress"
+    if path_exists(spark, sink) and not path_exists(spark, folder):
+        raise ValueError(f"stream refused: {sink} exists but its progress folder {folder} does not")
+    return folder
 
 
 def alerts(df: DataFrame, predicate: Column, message: Column, *, keep: Sequence[str] = (),
@@ -52,16 +55,17 @@ def alert_stream(
     """G1 on a stream: Parquet files arriving in ``source_dir`` are checked
     per micro-batch and alerts appended as Parquet to ``sink_dir``.
 
-    Progress is kept under ``spark.checkpoint.dir`` (a shared folder on a
-    cluster), so a restarted query resumes exactly where it stopped.  Runs
-    with ``availableNow`` (drain what is there, then stop); returns the
-    finished query.
+    Progress is kept beside the sink, in ``<sink_dir>.progress`` unless
+    ``checkpoint_dir`` names a durable folder, so a restarted query, in this or
+    another session, resumes exactly where it stopped; a sink without its
+    progress is refused.  Runs with ``availableNow`` (drain what is there, then
+    stop); returns the finished query.
     """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.parquet(source_dir)
-    ckpt = checkpoint_dir or _stream_checkpoint(spark, "alert_stream", source_dir, glob or "", sink_dir)
+    ckpt = _progress_folder(spark, sink_dir, checkpoint_dir)
     q = (
         alerts(stream, predicate, message, keep=keep)
         .writeStream.format("parquet")
@@ -91,14 +95,15 @@ def ingest_stream(
 
     A batch replayed after a failure overwrites its own folders, so each
     batch lands exactly once even though two sinks are written.  Progress is
-    kept under ``spark.checkpoint.dir``.  Runs with ``availableNow`` and
-    returns the finished query.
+    kept in ``<accepted_dir>.progress`` unless ``checkpoint_dir`` names a durable
+    folder; sinks without their progress are refused.  Runs with
+    ``availableNow`` and returns the finished query.
     """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = tag_violations(reader.parquet(source_dir), rules, out="reason")
-    ckpt = checkpoint_dir or _stream_checkpoint(spark, "ingest_stream", source_dir, glob or "", accepted_dir, rejected_dir)
+    ckpt = _progress_folder(spark, accepted_dir, checkpoint_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -119,12 +124,11 @@ def delete_guard(prev: DataFrame, nxt: DataFrame, keys: str | Sequence[str], *,
     """Keys present in the previous snapshot but missing in the next
     (deleted rows).  ``strict=True`` raises when any exists, like the
     reference's BEFORE DELETE trigger."""
-    from cohortlens.operators._util import join_null_safe
-
     keys = as_list(keys)
-    # NULL keys compare equal here: a row with a NULL key that is still
-    # present is not a deletion
-    missing = join_null_safe(prev.select(*keys), nxt.select(*keys).distinct(), keys, "left_anti").distinct()
+    # one aggregate over both: NULL keys are a group like any other, so a row
+    # with a NULL key that is still present is not a deletion
+    both = prev.select(*keys, F.lit(0).alias("_cl_next")).union(nxt.select(*keys, F.lit(1).alias("_cl_next")))
+    missing = both.groupBy(*keys).agg(F.max("_cl_next").alias("_cl_next")).where(F.col("_cl_next") == 0).select(*keys)
     if strict and not missing.isEmpty():
         raise ValueError("delete guard: rows were removed between snapshots")
     return missing
@@ -201,29 +205,35 @@ def publish_snapshot(
     immutable snapshot (the reference changed tables in place behind
     triggers).
 
-    1. G2: keys of ``prev`` missing from ``new`` are deletions; with
+    1. G3: rows breaking a rule are split off with the rule's name; no rule
+       may be called ``accepted``.
+    2. G2: keys of ``prev`` that no accepted row has are deletions; with
        ``forbid_deletes`` any deletion aborts before anything is written.
-    2. G3: rows breaking a rule are split off with the rule's name.
     3. One pass writes all rows partitioned by ``_outcome``
-       (``accepted`` or the broken rule), so the input is read once; the
-       published snapshot is the ``_outcome=accepted`` folder.
+       (``accepted`` or the broken rule); the published snapshot is the
+       ``_outcome=accepted`` folder, which exists even if it has no row.
 
-    Returns ``{"path", "accepted", "rejected", "deleted"}`` (counts from the
-    written files).
+    ``path`` must not exist yet: a snapshot is never overwritten.  Returns
+    ``{"path", "accepted", "rejected", "deleted"}`` (counts from the written
+    files).
     """
-    import os
-
+    spark = new.sparkSession
+    if "accepted" in (rules or {}):
+        raise ValueError("a rule may not be called 'accepted'")
+    if path_exists(spark, path):
+        raise FileExistsError(f"publish refused: {path} exists")
+    tagged = tag_violations(new, rules or {}, out="_outcome")
+    tagged = tagged.withColumn("_outcome", F.coalesce(F.col("_outcome"), F.lit("accepted")))
     deleted = 0
     if prev is not None:
-        gone = delete_guard(prev, new, keys)
+        gone = delete_guard(prev, tagged.where(F.col("_outcome") == "accepted"), keys)
         deleted = gone.count()
         if forbid_deletes and deleted:
             raise ValueError(f"publish refused: {deleted} key(s) deleted since the previous snapshot")
-    tagged = tag_violations(new, rules or {}, out="_outcome")
-    tagged = tagged.withColumn("_outcome", F.coalesce(F.col("_outcome"), F.lit("accepted")))
-    tagged.write.mode("overwrite").partitionBy("_outcome").parquet(path)
-    written = new.sparkSession.read.parquet(path)
-    counts = {r["_outcome"]: r["n"] for r in written.groupBy("_outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
+    tagged.write.partitionBy("_outcome").parquet(path)
+    published = os.path.join(path, "_outcome=accepted")
+    if not path_exists(spark, published):
+        new.limit(0).write.parquet(published)
+    counts = {r["_outcome"]: r["n"] for r in spark.read.schema(tagged.schema).parquet(path).groupBy("_outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
     accepted = counts.pop("accepted", 0)
-    return {"path": os.path.join(path, "_outcome=accepted"), "accepted": accepted,
-            "rejected": sum(counts.values()), "deleted": deleted}
+    return {"path": published, "accepted": accepted, "rejected": sum(counts.values()), "deleted": deleted}

@@ -3,6 +3,8 @@ result, and a restart with the same checkpoint re-emits nothing."""
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cohortlens.sources.schemas import DRIVER_SCHEMAS
@@ -83,3 +85,53 @@ def test_default_stream_checkpoints_are_per_pipeline(spark, scratch):
         guards.alert_stream(spark, SF_TINY, DRIVER_SCHEMAS["events"], F.col("value") > 100, _msg(), sink,
                             keep=["event_id"], glob="events.parquet")
     assert spark.read.parquet(a).count() == spark.read.parquet(b).count() > 0
+
+
+def _arrive(spark, folder, name, rows):
+    spark.createDataFrame(rows, "k long, v double").coalesce(1).write.parquet(os.path.join(folder, name))
+
+
+def test_alert_stream_goes_on_where_it_stopped_without_a_configured_folder(spark, scratch):
+    source, sink = os.path.join(scratch, "in"), os.path.join(scratch, "alerts")
+    schema = spark.createDataFrame([], "k long, v double").schema
+    run = lambda s: guards.alert_stream(s, source + "/*", schema, F.col("v") > 1, F.lit("high"), sink, keep=["k"])
+    _arrive(spark, source, "a", [(1, 2.0), (2, 3.0), (3, 0.0)])
+    run(spark)
+    _arrive(spark, source, "b", [(4, 2.0), (5, 9.0)])
+    run(spark.newSession())
+    assert sorted(r["k"] for r in spark.read.parquet(sink).collect()) == [1, 2, 4, 5]
+
+
+def test_stream_with_lost_progress_is_refused(spark, scratch):
+    source, sink = os.path.join(scratch, "in"), os.path.join(scratch, "alerts")
+    schema = spark.createDataFrame([], "k long, v double").schema
+    _arrive(spark, source, "a", [(1, 2.0)])
+    _arrive(spark, scratch, "alerts", [(7, 7.0)])
+    with pytest.raises(ValueError, match="progress"):
+        guards.alert_stream(spark, source + "/*", schema, F.col("v") > 1, F.lit("high"), sink)
+    with pytest.raises(ValueError, match="progress"):
+        guards.ingest_stream(spark, source + "/*", schema, {}, sink, os.path.join(scratch, "rejected"))
+
+
+def test_publish_guards_the_published_keys(spark, scratch):
+    prev = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k long, v double")
+    new = spark.createDataFrame([(1, 1.0), (2, -2.0)], "k long, v double")
+    rules = {"positive": F.col("v") > 0}
+    with pytest.raises(ValueError, match="deleted"):
+        guards.publish_snapshot(prev, new, os.path.join(scratch, "a"), "k", rules=rules)
+    assert not os.path.exists(os.path.join(scratch, "a"))
+    out = guards.publish_snapshot(prev, new, os.path.join(scratch, "b"), "k", rules=rules, forbid_deletes=False)
+    assert (out["accepted"], out["rejected"], out["deleted"]) == (1, 1, 1)
+    with pytest.raises(FileExistsError):
+        guards.publish_snapshot(None, spark.read.parquet(out["path"]), os.path.join(scratch, "b"), "k")
+    assert spark.read.parquet(out["path"]).count() == 1
+
+
+def test_publish_without_accepted_rows_and_reserved_rule_names(spark, scratch):
+    new = spark.createDataFrame([(1, -1.0)], "k long, v double")
+    for name, df in (("none", new), ("empty", new.limit(0))):
+        out = guards.publish_snapshot(None, df, os.path.join(scratch, name), "k", rules={"positive": F.col("v") > 0})
+        back = spark.read.parquet(out["path"])
+        assert back.count() == out["accepted"] == 0 and back.columns == ["k", "v"]
+    with pytest.raises(ValueError, match="accepted"):
+        guards.publish_snapshot(None, new, os.path.join(scratch, "r"), "k", rules={"accepted": F.col("v") > 0})
