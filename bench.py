@@ -3,6 +3,10 @@
 Prints ONE JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
+``duckdb`` holds the seconds that DuckDB takes for the same queries' statements
+on the same host in the same minutes (sum and per query), so that a slow host
+can be told from a slow query.
+
 Each query is built and fully materialised (``write.format('noop')``, which
 runs the whole plan without collecting to the driver) once to warm up and
 then timed over a few runs; the median per query is reported.
@@ -10,6 +14,7 @@ then timed over a few runs; the median per query is reported.
 
 from __future__ import annotations
 
+import importlib.util
 import json
 import os
 import re
@@ -23,6 +28,27 @@ from cohortlens.session import build_session  # noqa: E402
 from cohortlens.plans.catalog import REGISTRY, build  # noqa: E402
 
 
+def duckdb_seconds(sf_dir: str, keys: list[str]) -> dict[str, float]:
+    """Seconds per oracle statement, fetched in full; empty without DuckDB."""
+    if importlib.util.find_spec("duckdb") is None:
+        return {}
+    import duckdb
+
+    con = duckdb.connect()
+    for name in sorted(os.listdir(sf_dir)):
+        if name.endswith(".parquet"):
+            path = os.path.join(sf_dir, name)
+            files = os.path.join(path, "*.parquet") if os.path.isdir(path) else path
+            con.execute(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{files}')")
+    out = {}
+    for k in keys:
+        if REGISTRY[k].sql:
+            t0 = time.perf_counter()
+            con.execute(REGISTRY[k].sql).fetchall()
+            out[k] = round(time.perf_counter() - t0, 4)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,6 +72,7 @@ def main() -> None:
             failed[k] = f"{type(exc).__name__}: {str(exc)[:200]}"
             continue
         times[k] = round(statistics.median(samples), 4)
+    duck = duckdb_seconds(sf_dir, list(times))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     result = {
         "metric": "total_sec",
@@ -54,6 +81,8 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
     }
+    if duck:
+        result["duckdb"] = {"value": round(sum(duck.values()), 3), "queries": duck}
     if failed:
         result["failed"] = failed
     print(json.dumps(result))

@@ -23,7 +23,7 @@ def main() -> None:
         return
     if a.sql:
         print(REGISTRY[a.key].sql or "(no SQL oracle: rows-only check)")
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     df = build(spark, a.key, a.sf_dir)
     if a.explain:
         df.explain("formatted")

@@ -36,11 +36,19 @@ def gcd(a: ColumnLike, b: ColumnLike, steps: int = _EUCLID_STEPS_64) -> Column:
     return out["x"]
 
 
+def _exact_product(a: Column, b: Column) -> Column:
+    """``a * b``, or an error beyond 64 bits whatever the session's ANSI mode."""
+    product = F.try_multiply(a, b)
+    missed = product.isNull() & a.isNotNull() & b.isNotNull()
+    return F.when(missed, F.raise_error(F.lit("lcm: result is out of the 64-bit range")).cast("bigint")).otherwise(product)
+
+
 def lcm(a: ColumnLike, b: ColumnLike) -> Column:
-    """M6: least common multiple; 0 when either side is 0."""
+    """M6: least common multiple; 0 when either side is 0.  Beyond 64 bits it
+    raises, as the reference's engine does."""
     g = gcd(a, b)
     aa, bb = F.abs(_c(a).cast("bigint")), F.abs(_c(b).cast("bigint"))
-    return F.when(g == 0, F.lit(0).cast("bigint")).otherwise(F.try_multiply(F.call_function("div", aa, g), bb))
+    return F.when(g == 0, F.lit(0).cast("bigint")).otherwise(_exact_product(F.call_function("div", aa, g), bb))
 
 
 def parity(col: ColumnLike, even: str = "even", odd: str = "odd") -> Column:
@@ -101,6 +109,6 @@ def with_gcd_lcm(
     if lcm_out:
         g = F.col(gcd_out)
         cur = cur.withColumn(
-            lcm_out, F.when(g == 0, F.lit(0).cast("bigint")).otherwise(F.try_multiply(F.call_function("div", src_a, g), src_b))
+            lcm_out, F.when(g == 0, F.lit(0).cast("bigint")).otherwise(_exact_product(F.call_function("div", src_a, g), src_b))
         )
     return cur

@@ -44,6 +44,7 @@ def join_text(cols: list[ColumnLike], sep: str, null_text: str = "") -> Column:
     return F.concat_ws(sep, *parts)
 
 
-def text_bar(count: ColumnLike, per: int, symbol: str = "*") -> Column:
-    """``repeat(symbol, count div per)``."""
-    return F.repeat(F.lit(symbol), (_c(count) / F.lit(per)).cast("int"))
+def text_bar(count: ColumnLike, largest: ColumnLike, width: int = 40, symbol: str = "*") -> Column:
+    """A bar of at most ``width`` symbols, in proportion to the ``largest``
+    count, so that its length does not grow with the data."""
+    return F.repeat(F.lit(symbol), F.floor(_c(count) * width / _c(largest)).cast("int"))

@@ -27,6 +27,7 @@ from cohortlens.functions import mathops as fm
 from cohortlens.functions import text as ft
 from cohortlens.operators import enrich, groups, joins, links, nested, pivots, ranking, rates, stats
 from cohortlens.operators import timeseries as ts
+from cohortlens.operators._util import join_null_safe
 from cohortlens.sources.schemas import CLINICAL_SCHEMAS, clean_sentinels
 from cohortlens.streaming import guards
 
@@ -448,7 +449,7 @@ def busiest_weekday(c: ClinicalTables) -> DataFrame:
 @question("Q51", "band_bar_chart")
 def band_bar_chart(c: ClinicalTables, more_than: int = 100) -> DataFrame:
     g = groups.count_by(c.demography, "agecat", having=F.col("frequency") > more_than, out="frequency")
-    return g.withColumn("bar_chart", ft.text_bar("frequency", 100, BAR_SYMBOL))
+    return g.withColumn("bar_chart", ft.text_bar("frequency", g.agg(F.max("frequency")).scalar(), symbol=BAR_SYMBOL))
 
 
 @question("Q52", "ddimer_variance_corr")
@@ -634,7 +635,9 @@ def gender_with_max_cci_per_band(c: ClinicalTables) -> DataFrame:
     j = c.demography.select(K, "agecat", "gender").join(c.patienthistory.select(K, "cci_score"), K)
     top = ranking.first_value_by(j.where(F.col("cci_score").isNotNull()), ["agecat"], "gender",
                                  [("cci_score", False), (K, True)], out="gender_with_max_cci_score")
-    return joins.outer_join(j, top, "agecat")  # on every record, as the reference shows it
+    # on every record, as the reference shows it; records without a band are a
+    # partition of their own, as under PARTITION BY
+    return join_null_safe(j, top, ["agecat"], "left")
 
 
 @question("B3", "fifth_highest_bmi")
@@ -766,7 +769,9 @@ def mean_pressures_by_band(c: ClinicalTables) -> DataFrame:
 
 @question("B22", "heart_failure_pct_by_band")
 def heart_failure_pct_by_band(c: ClinicalTables) -> DataFrame:
-    j = c.demography.select(K, "agecat").join(c.cardiaccomplications.select(K, "congestive_heart_failure"), K, "left")
+    # patients are counted once, however many complication rows they have
+    failing = c.cardiaccomplications.groupBy(K).agg(F.max("congestive_heart_failure").alias("congestive_heart_failure"))
+    j = c.demography.select(K, "agecat").join(failing, K, "left")
     return rates.conditional_rate(j, "agecat", F.col("congestive_heart_failure") == 1, count_col="total",
                                   flag_col="heart_failure_count", rate_col="percentage")
 

@@ -27,16 +27,15 @@ BASE_CONF = {
 
 
 def build_session(
-    master: str | None = "local[8]",
+    master: str | None = None,
     app: str = "cohortlens",
-    shuffle_partitions: int | None = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the cohortlens defaults.
 
-    On a cluster pass ``master=None`` and ``shuffle_partitions=None`` so the
-    cluster's own values win; ``spark.checkpoint.dir`` is then expected to
-    name a shared folder.
+    Without ``master`` and ``shuffle_partitions`` the cluster's own values win;
+    ``spark.checkpoint.dir`` is then expected to name a shared folder.
     """
     builder = SparkSession.builder.appName(app)
     if master:

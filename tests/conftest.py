@@ -26,7 +26,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck():
-    from cohortlens.plans.compare import duck_connection
+    from compare import duck_connection
 
     return duck_connection(SF_SMALL)
 

@@ -485,3 +485,43 @@ def test_snapshot_read_back_keeps_schema(spark, scratch):
     for back in (a, b):
         assert back.schema == df.schema  # '01' stays a string, columns keep their order
         assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_lcm_beyond_64_bits_raises(spark):
+    df = spark.createDataFrame([(2**62 - 1, 2**61 - 1)], "a long, b long")
+    for out in (lambda: df.select(fm.lcm("a", "b")).collect(), lambda: fm.with_gcd_lcm(df, "a", "b").collect()):
+        with pytest.raises(Exception, match="64-bit"):
+            out()
+
+
+def test_text_bar_does_not_grow_with_the_data(spark):
+    df = spark.createDataFrame([(10**11,), (5 * 10**10,), (0,)], "n long")
+    got = [r["b"] for r in df.select(ft.text_bar("n", F.lit(10**11), 40).alias("b")).collect()]
+    assert [len(b) for b in got] == [40, 20, 0]
+
+
+class _Tables:
+    """Just the tables that a question reads."""
+
+    def __init__(self, **frames):
+        self.__dict__.update(frames)
+
+
+def test_patients_with_two_complication_rows_count_once(spark):
+    from cohortlens.plans import clinical as questions
+
+    c = _Tables(
+        demography=spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "inpatient_number long, agecat string"),
+        cardiaccomplications=spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "inpatient_number long, congestive_heart_failure int"))
+    got = {r["agecat"]: (r["total"], r["heart_failure_count"], r["percentage"]) for r in questions.heart_failure_pct_by_band(c).collect()}
+    assert got == {"a": (2, 1, 50.0), "b": (1, 0, 0.0)}
+
+
+def test_records_without_a_band_get_their_own_groups_value(spark):
+    from cohortlens.plans import clinical as questions
+
+    c = _Tables(
+        demography=spark.createDataFrame([(1, None, "m"), (2, None, "f"), (3, "b", "m")], "inpatient_number long, agecat string, gender string"),
+        patienthistory=spark.createDataFrame([(1, 1.0), (2, 5.0), (3, None)], "inpatient_number long, cci_score double"))
+    got = {r["inpatient_number"]: r["gender_with_max_cci_score"] for r in questions.gender_with_max_cci_per_band(c).collect()}
+    assert got == {1: "f", 2: "f", 3: None}

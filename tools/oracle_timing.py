@@ -13,7 +13,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cohortlens.plans.catalog import REGISTRY  # noqa: E402
-from cohortlens.plans.compare import duck_connection  # noqa: E402
+from compare import duck_connection  # noqa: E402
 
 
 def main() -> None:

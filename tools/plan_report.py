@@ -49,7 +49,7 @@ def summarize(txt: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     print("# PLANS — physical plan shape per query key\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], 8 shuffle partitions, AQE on). Initial adaptive")
     print("plans: broadcasts shown here were chosen from file sizes below `spark.sql.autoBroadcastJoinThreshold`; on large")

@@ -24,12 +24,12 @@ def main() -> None:
 
     scratch = sys.argv[1]
     sizes = [int(x) for x in sys.argv[2:]] or [1_000_000, 2_000_000, 4_000_000]
-    spark = build_session(extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
     ops = {
         "rank_rows": lambda d: ranking.rank_rows(d, [("v", False)], out="r"),
         "ntile_rows": lambda d: ranking.ntile_rows(d, 4, [("v", True), ("k", True)], out="q"),
         "profile_exact": lambda d: groups.profile(d, "g", "v"),
-        "collect_sorted": lambda d: nested.collect_sorted(d, "e", ["k", "v"], ["k"], max_per_part=50_000),
+        "collect_sorted": lambda d: nested.collect_sorted(d, "e", ["k", "v"], ["k"], per_part=50_000),
         "outer_join": lambda d: joins.outer_join(d.select("e").distinct(), d.select("e", "k"), "e"),
         "count_distinct": lambda d: groups.count_by(d, "g", distinct="k"),
     }

@@ -58,7 +58,7 @@ def run(scratch: str, rows: int) -> dict:
         "cume_dist_scalable": lambda: ranking.cume_dist_rows(data, [("v", True)], out="c"),
         "profile_exact_hot_group": lambda: groups.profile(data.withColumn("hg", F.when(F.col("e") == 1, 0)
                                                                             .otherwise(F.col("g"))), "hg", "v"),
-        "nested_parts_hot_entity": lambda: nested.collect_sorted(data, "e", ["k", "v"], ["k"], max_per_part=20000),
+        "nested_parts_hot_entity": lambda: nested.collect_sorted(data, "e", ["k", "v"], ["k"], per_part=20000),
         "outer_join_hot_key": lambda: joins.outer_join(dims, data.select("e", "k"), "e"),
         "count_distinct_hot_group": lambda: groups.count_by(data.withColumn("hg", F.when(F.col("e") == 1, 0)
                                                                             .otherwise(F.col("g"))), "hg", distinct="k"),
