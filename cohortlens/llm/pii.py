@@ -50,9 +50,6 @@ LOOSE = {
     "phone": r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-# What a text must hold for a kind to be looked for at all.
-HINT = {"email": r"@|[\[(]at[\])]", "ip": r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]|[0-9]{3}\)?[\x20.-][0-9]{3}"}
-
 TLDS = ["com", "org", "net", "edu", "gov", "info", "io", "eu", "de", "fr", "es", "it", "uk", "us", "ca", "ch", "at", "be", "nl"]
 CALLING = ["1", "33", "34", "39", "41", "43", "44", "49"]
 WORDS = {
@@ -64,13 +61,32 @@ WORDS = {
 OTHER_WORDS = ["version", "order", "isbn", "invoice", "total", "price", "serial", "page"]
 
 
-def _starts(text: Column, pattern: str) -> Column:
-    """``struct(start, end, hit)`` of every match, leftmost and in order."""
+_SPANS = "array<struct<start:int,end:int,hit:string>>"
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """``struct(start, end, hit)`` of every match, leftmost and in order: the
+    pieces between the matches and the matches are laid end to end."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    steps = F.zip_with(gaps, F.transform(hits, lambda x: F.length(x)), lambda a, b: a + F.coalesce(b, F.lit(0)))
-    ends = F.transform(hits, lambda h, i: F.aggregate(F.slice(steps, F.lit(1), i + 1), F.lit(0), lambda x, y: x + y))
-    return F.zip_with(hits, ends, lambda h, e: F.struct((e - F.length(h)).alias("start"), e.alias("end"), h.alias("hit")))
+    steps = F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
+
+    def lay(done: Column, step: Column) -> Column:
+        start = done["at"] + step["gap"]
+        end = start + F.coalesce(F.length(step["hit"]), F.lit(0))
+        more = F.concat(done["out"], F.array(F.struct(start.alias("start"), end.alias("end"), step["hit"].alias("hit"))))
+        return F.struct(end.alias("at"), F.when(step["hit"].isNull(), done["out"]).otherwise(more).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    return F.aggregate(steps, start, lay, lambda done: done["out"])
+
+
+def _hint(text: Column, kind: str) -> Column:
+    """Whether a text can hold a span of a kind at all, told cheaply."""
+    if kind == "email":
+        return text.contains("@") | text.contains("[at]") | text.contains("(at)")
+    if kind == "ip":
+        return text.rlike(r"[0-9]\.[0-9]") | (text.contains(":") & text.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"))
+    return text.rlike(r"[0-9](?:[\x20-]?[0-9]){11}" if kind == "card" else r"\+[0-9]|[0-9]{3}\)?[\x20.-][0-9]{3}")
 
 
 def luhn(text: Column) -> Column:
@@ -87,12 +103,13 @@ def _strict(kind: str, hit: Column) -> Column:
 
 
 def _kind_spans(text: Column, kind: str, pattern: str, base: bool) -> Column:
-    spans = _starts(text, pattern)
+    """Spans of a kind, looked for where its hint column is true."""
+    spans = _matches(text, pattern)
     if base:
         spans = F.filter(spans, lambda s: _strict(kind, s["hit"]))
     named = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["hit"].alias("hit")))
-    empty = F.filter(named, lambda s: F.lit(False))
-    return F.when(text.rlike(HINT[kind]), named).otherwise(empty)
+    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,hit:string>>")
+    return F.when(F.col(f"may_{kind}"), named).otherwise(none)
 
 
 def _in(value: Column, words: list[str]) -> Column:
@@ -142,6 +159,8 @@ def find(documents: DataFrame) -> DataFrame:
     """``doc_id`` and ``spans``: base spans and other candidates of whole texts,
     each with ``start, rank, end, kind, base, hit, left, right, votes``."""
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    digits = F.col("t").rlike("[0-9]")
+    docs = docs.withColumns({f"may_{k}": _hint(F.col("t"), k) if k == "email" else digits & _hint(F.col("t"), k) for k in KINDS})
     base, loose = candidates(F.col("t"))
     both = docs.select("doc_id", "t", base.alias("b"), loose.alias("l"))
     apart = F.filter("l", lambda s: ~F.exists("b", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
