@@ -25,6 +25,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,9 @@ SHARD_IDS = 1 << 20
 #: Symbols fit 16 bits, so this is the most that rules and ids may name.
 SYMBOLS = 1 << 16
 #: Least uses of a rule, rounds, and how the bound falls from one to the next.
-MIN_USES, ROUNDS, FALL = 6, 6, 8
-#: Words that a task remembers.
-MEMO = 500_000
+MIN_USES, ROUNDS, FALL = 6, 5, 24
+#: Words that a task remembers, and texts whose new words are learned together.
+MEMO, TOGETHER = 1_000_000, 64
 
 _MAGIC = b"RPG1"
 
@@ -67,12 +68,12 @@ class Encoder:
     def _fresh(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Remember the ids of all words that a space in front sets apart."""
-        if len(self.known) > MEMO:
-            self.known.clear()
         known = self.known
-        missing = {w for w in words if w not in known and w and not w[0].isspace() and not w[-1].isspace()}
+        if len(known) > MEMO:
+            known.clear()
+        missing = {w for w in words.difference(known) if w and not w[0].isspace() and not w[-1].isspace()}
         # letters and a mark after them are encoded apart, and the letters may be known
         marked = [w for w in missing if w[-1] in self.marks and w[:-1].isalpha() and max(w) < "\u0250"]
         missing.difference_update(marked)
@@ -100,20 +101,24 @@ class Encoder:
             self.heads[word] = self._fresh([word])[0]
         return self.heads[word]
 
-    def encode(self, text: str) -> bytes:
-        head, *words = text.split(" ")
-        if not words:
-            return self._fresh([text])[0] if text else b""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; new words of all of them are learned together."""
+        split = [t.split(" ") for t in texts]
+        self._learn(set(chain.from_iterable(split)))
+        return [self._join(parts) for parts in split]
+
+    def _join(self, parts: list[str]) -> bytes:
+        head = parts[0]
+        if len(parts) == 1:
+            return self._fresh(parts)[0] if head else b""
         if head and not head[-1].isspace():
-            ids = list(map(self.known.get, words))
-            if None in ids:
-                self._learn(words)
-                ids = list(map(self.known.get, words))
-            if None not in ids:
-                return self._head(head) + b"".join(ids)
+            try:
+                return self._head(head) + b"".join(map(self.known.__getitem__, islice(parts, 1, None)))
+            except KeyError:
+                pass
         # some space has white space at its side: cut at the others only
         pieces, held = [], head
-        for w in words:
+        for w in islice(parts, 1, None):
             if held and w and not held[-1].isspace() and not w[0].isspace():
                 pieces.append(held)
                 held = " " + w
@@ -296,13 +301,15 @@ def write(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, shard
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([int(starts[-1])], pa.int64()), pa.array([blob], pa.binary())], ["part", "shard", "doc_ids", "n_ids", "blob"])
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                held.append(enc.encode(text) + end)
-                ids.append(doc_id)
-                size += len(held[-1]) // 4
-                if size >= shard_ids:
-                    yield flush()
-                    shard, held, size, ids = shard + 1, [], 0, []
+            for at in range(0, b.num_rows, TOGETHER):
+                some = b.slice(at, TOGETHER)
+                for doc_id, raw in zip(some.column("doc_id").to_pylist(), enc.encode(some.column("text").to_pylist()), strict=True):
+                    held.append(raw + end)
+                    ids.append(doc_id)
+                    size += len(held[-1]) // 4
+                    if size >= shard_ids:
+                        yield flush()
+                        shard, held, size, ids = shard + 1, [], 0, []
         if held:
             yield flush()
 
