@@ -61,6 +61,10 @@ def n_words(text: Column) -> Column:
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE_ROWS = 256
+
+
 def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[str, str], make: Callable[..., list]) -> DataFrame:
     """``keep`` columns of ``df`` untouched, then the ``added`` ones (name to
     type), which ``make`` works out from the ``use`` columns' Python lists,
@@ -71,16 +75,29 @@ def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[st
     kinds = [_ARROW[t] for t in added.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            new = make(*[b.column(len(keep) + i).to_pylist() for i in range(len(use))])
-            arrays = [b.column(i) for i in range(len(keep))] + [pa.array(x, t) for x, t in zip(new, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, [f"k{i}" for i in range(len(keep))] + [f"a{i}" for i in range(len(new))])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):  # few texts at a time are Python objects
+                b = whole.slice(at, SLICE_ROWS)
+                new = make(*[b.column(len(keep) + i).to_pylist() for i in range(len(use))])
+                arrays = [b.column(i) for i in range(len(keep))] + [pa.array(x, t) for x, t in zip(new, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, [f"k{i}" for i in range(len(keep))] + [f"a{i}" for i in range(len(new))])
 
     schema = ", ".join([f"{n} {t}" for n, t in kept] + [f"a{i} {t}" for i, t in enumerate(added.values())])
     out = own.mapInArrow(run, schema)
     return out.toDF(*keep, *added)
 
 
+#: Most rows of ids that are broadcast; a row takes some 60 bytes in memory.
+SMALL_ROWS = 1_000_000
+
+
+def if_small(ids: DataFrame) -> DataFrame:
+    """``ids``, a written table of a few narrow columns, marked for broadcast
+    if its counted rows are few, so that the texts it is joined with need no
+    shuffle; beyond that Spark joins by shuffle, with the same result."""
+    return F.broadcast(ids) if ids.count() <= SMALL_ROWS else ids
+
+
 def by_group(frames: Iterator[pd.DataFrame], key: list[str], do: Callable[[pd.DataFrame], Iterator[pd.DataFrame] | None]) -> Iterator[pd.DataFrame]:
     """``do`` on each run of equal ``key`` in a partition sorted by it; groups
     may span Arrow batches."""

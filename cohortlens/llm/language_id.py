@@ -32,7 +32,7 @@ from cohortlens.llm.common import seeded, with_computed
 ORDER = 4
 #: Expected number of labelled documents that a language's statistics are
 #: fitted on; the sample is a seeded draw over all labelled rows.
-SAMPLE_DOCS = 1500
+SAMPLE_DOCS = 600
 #: Bytes scored at once.
 WINDOW = 1 << 18
 
@@ -201,7 +201,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
-            for lang, own in df.groupby("lang"):
+            for (lang, _), own in df.groupby(["lang", np.arange(len(df)) // 256]):
                 g, n = np.unique(np.concatenate([_grams(b"\n" * ORDER + t.encode()) for t in own["text"]]), return_counts=True)
                 yield pd.DataFrame({"lang": lang, "gram": g.astype(np.int64), "n": n})
 

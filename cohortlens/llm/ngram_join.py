@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from cohortlens.llm.common import UnionFind, by_group, components, in_blocks, with_computed, written
+from cohortlens.llm.common import UnionFind, by_group, components, if_small, in_blocks, with_computed, written
 
 WORDS = 5
 #: Jaccard threshold as a fraction.
@@ -128,7 +128,7 @@ def _paths(classes: DataFrame, runs: int, level: int) -> DataFrame:
     first = "path" not in classes.columns
 
     def descend(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in frames:
+        for b in (f.slice(at, 1024) for f in frames for at in range(0, f.num_rows, 1024)):
             out: dict[str, list] = {k: [] for k in ("row", "run", "path", "used")}
             cols = {k: b.column(k).to_pylist() for k in (["sample"] if first else ["sample", "path", "run", "used"])}
             for i, raw in enumerate(cols["sample"]):
@@ -217,14 +217,14 @@ def candidate_links(classes: DataFrame, runs: int, leaf: int = LEAF, depth: int
     found: list[DataFrame] = []
     rows = written(_paths(classes, runs, 0), "paths")
     for level in range(1, depth + 1):
-        sizes = written(rows.groupBy("path").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
-        small = rows.join(sizes.where(F.col("m") <= leaf), "path").select("path", "node", "n", "bits")
+        # only the large buckets are named; the rest meet in one shuffle
+        large = written(rows.groupBy("path").agg(F.count("*").alias("m")).where(F.col("m") > leaf), "large")
+        small = rows.join(if_small(large.select("path")), "path", "left_anti").select("path", "node", "n", "bits")
         small = small.repartition("path").sortWithinPartitions("path")
         found.append(written(small.mapInPandas(_small, "node binary, root binary"), "candidates"))
-        large = sizes.where(F.col("m") > leaf)
         if large.isEmpty():
             break
-        hot = written(rows.join(large, "path"), "large")
+        hot = written(rows.join(if_small(large), "path"), "hot")
         stuck = F.lit(level == depth) | (F.col("m") > F.coalesce("parent", F.lit(1 << 62)) * DENSE)
         stay = hot.where(stuck).select("path", "node", "n", "bits", "m")
         unit = ["path", "bi", "bj"]
@@ -318,8 +318,8 @@ def settled_links(docs: DataFrame, groups: DataFrame, block: int = GROUP_BLOCK)
     # bands of visitors only, or of one class, have nothing to compare
     counts = spread.groupBy("group", "band").agg(F.count("*").alias("m"), F.max("home").alias("any")).where("m > 1 and any").drop("any")
     unit = ["group", "band", "bi", "bj"]
-    units = in_blocks(spread, ["group", "band"], "node", counts, block).alias("u")
-    reps = spread.select("node", "rep").distinct().alias("r")
+    units = if_small(written(in_blocks(spread, ["group", "band"], "node", counts, block), "units"))
+    reps = if_small(written(spread.select("node", "rep").distinct(), "reps")).alias("r")
     d = docs.select(F.col("doc_id").alias("rep"), "text").alias("d")
     texts = reps.join(d, F.col("r.rep").eqNullSafe(F.col("d.rep"))).select("r.node", "d.text")
     sets = with_computed(texts, ["node"], ["text", "node"], {"tokens": "binary"}, _tokens).where("tokens is not null")
@@ -370,15 +370,15 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     id_, text = names[own.index("doc_id")], names[own.index("text")]
     keyed = named.withColumns({"doc_id": F.col(id_), "text": F.col(text), "mark": F.md5(F.col(text).cast("binary"))})
     found = join(keyed, extra={"mark": F.col("mark")}, **options)
-    stay = found.where("kept and n_shingles > 0").groupBy("doc_id", "mark").agg(F.count("*").alias("times"))
-    stay = written(stay, "stay").alias("s")
+    # what is not simply kept: documents that go, and repeated rows of which one stays
+    seen = found.where("n_shingles > 0").groupBy("doc_id", "mark").agg(F.max("kept").alias("stays"), F.count("*").alias("times"))
+    seen = if_small(written(seen.where("not stays or times > 1"), "seen")).alias("s")
     k = keyed.alias("k")
-    rows = k.join(stay, F.col("k.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("k.mark") == F.col("s.mark"))).select(*[F.col(f"k.{n}").alias(n) for n in names], "k.mark", "s.times")
-    once = rows.where("times = 1").select(*names)
-    # repeated rows: the first by their columns
-    again = rows.where("times > 1").groupBy(id_, "mark").agg(F.min(F.struct(*names)).alias("row")).select("row.*")
-    blank = named.where(F.coalesce(F.length(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0)
-    return once.unionByName(again).unionByName(blank).toDF(*own)
+    same = F.col("k.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("k.mark") == F.col("s.mark"))
+    once = k.join(seen, same, "left_anti").select(*names)
+    again = k.join(seen.where("stays"), same).select(*[F.col(f"k.{n}").alias(n) for n in names], "k.mark")
+    first = again.groupBy(id_, "mark").agg(F.min(F.struct(*names)).alias("row")).select("row.*")
+    return once.unionByName(first).toDF(*own)
 
 
 #: The query in DuckDB.
