@@ -151,7 +151,7 @@ def month_labels(t: tables) -> DataFrame:
     )
 
 
-@query("age_from_year", "X1 DT7 C2 DT5", """
+@query("age_from_year", "X1 DT7 C2", """
 SELECT o_custkey AS c_custkey, CAST(year(MIN(o_orderdate)) AS BIGINT) AS first_year,
        CAST(2005 - year(MIN(o_orderdate)) AS BIGINT) AS years_since
 FROM orders GROUP BY o_custkey""")
@@ -337,7 +337,7 @@ def top_per_group(t: tables) -> DataFrame:
     return groups.top_per_group(t.part, "p_brand", "p_type")
 
 
-@query("first_letter", "A24 T5 T4", """
+@query("first_letter", "A24 T5", """
 SELECT left(event_type, 1) AS letter, COUNT(*) AS n FROM events GROUP BY 1""")
 def first_letter(t: tables) -> DataFrame:
     return t.events.groupBy(F.left("event_type", F.lit(1)).alias("letter")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
