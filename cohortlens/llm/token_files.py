@@ -3,8 +3,9 @@
 Texts are encoded with a public tokenizer of the tokenizers library, an end id
 closes each document, and documents go in ascending id order into shards of a
 bounded number of ids.  In a shard the most frequent pairs of neighbouring
-symbols are replaced by nonterminals, again and again; a round replaces all
-pairs down to a falling bound at once, each place by its most frequent pair.
+symbols are replaced by nonterminals, until no pair is frequent or the 16-bit
+symbols are used up; a round replaces all pairs down to a falling bound at
+once, each place by its most frequent pair.
 A shard's blob holds the rules, the length that each expands to, the remaining
 sequence, and the documents' ids and starts, so that any document, or any
 range of ids, is decoded alone.  Blobs are rows of a Parquet table, which
@@ -41,8 +42,8 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 #: Symbols fit 16 bits, so this is the most that rules and ids may name.
 SYMBOLS = 1 << 16
-#: Least uses of a rule, rounds, and how the bound falls from one to the next.
-MIN_USES, ROUNDS, FALL = 6, 5, 24
+#: Least uses of a rule, and how the bound falls from one round to the next.
+MIN_USES, FALL = 6, 8
 #: Words that a task remembers, and texts whose new words are learned together.
 MEMO, TOGETHER = 1_000_000, 64
 
@@ -141,64 +142,78 @@ def _cell(pairs: np.ndarray) -> np.ndarray:
     return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(12)
 
 
-def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds: int = ROUNDS, fall: int = FALL) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds: int | None = None, fall: int = FALL) -> tuple[np.ndarray, np.ndarray]:
     """Re-Pair: ``rules`` (two symbols each; the i-th is symbol ``terminals +
-    i``) and the sequence that is left."""
+    i``) and the sequence that is left, in which no pair has ``min_uses`` places
+    unless symbols (or ``rounds``, where given) are used up."""
     seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
-    n_rules, bound = 0, None
-    for _ in range(rounds):
-        if len(seq) < 2 or n_rules >= SYMBOLS - terminals:
-            break
-        pairs = (seq[:-1] << np.uint32(16)) | seq[1:]
-        # only cells of a hash table that are full enough can hold a frequent pair
-        cell = _cell(pairs)
-        full = np.bincount(cell, minlength=1 << 20)
-        ordered = np.sort(pairs[full[cell] >= max(min_uses, (bound or 0) // fall)])
-        if not len(ordered):
-            break
-        starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        counts = np.diff(np.r_[starts, len(ordered)])
-        top = int(counts.max())
-        if top < min_uses:
-            break
-        bound = max(min_uses, min(top, bound or top) // fall)
-        often = np.flatnonzero(counts >= bound)
-        often = often[np.argsort(-counts[often], kind="stable")][: SYMBOLS - terminals - n_rules]
-        codes = ordered[starts[often]]
-        # rank of each place's pair, 0 for the most frequent; of pairs that share
-        # a cell of the hash table the most frequent is found, others wait a round
-        none = np.int32(len(codes))
-        table = np.full(1 << 20, none, np.int32)
-        table[_cell(codes[::-1])] = np.arange(len(codes), dtype=np.int32)[::-1]
-        rank = table[cell]
-        rank[np.r_[codes, np.uint32(0)][rank] != pairs] = none
+    n_rules, bound, n_rounds = 0, None, 0
+    # places whose pair may be frequent; a pair that is not never becomes so, as
+    # a round only makes new neighbours of its new symbols
+    at = np.arange(max(0, len(seq) - 1))
+    while len(at) and n_rules < SYMBOLS - terminals and n_rounds != rounds:
+        n_rounds += 1
+        pairs = (seq[at] << np.uint32(16)) | seq[at + 1]
+        beside = np.r_[False, at[1:] == at[:-1] + 1]
         # in a run of one symbol every second place may start a pair
-        run = np.flatnonzero(np.r_[False, pairs[1:] == pairs[:-1]])
+        free = np.ones(len(at), bool)
+        run = np.flatnonzero(beside & np.r_[False, pairs[1:] == pairs[:-1]])
         if len(run):
             first = np.r_[True, np.diff(run) > 1]
             offset = run - np.maximum.accumulate(np.where(first, run, 0))
-            rank[run[offset % 2 == 0]] = none
-        # a place is replaced where its pair is more frequent than those it overlaps
-        ahead, behind = np.r_[rank[1:], none], np.r_[none, rank[:-1]]
-        take = (rank < none) & (rank < behind) & (rank <= ahead)
-        uses = np.bincount(rank[take], minlength=len(codes))
-        worth = uses >= min(min_uses, bound)
-        take &= np.r_[worth, False][rank]
-        kept = np.flatnonzero(worth)
-        if not len(kept):
+            free[run[offset % 2 == 0]] = False
+        # only cells of a hash table that are full enough can hold a frequent pair
+        cell = _cell(pairs)
+        full = np.bincount(cell[free], minlength=1 << 20)[cell]
+        bound = bound and max(min_uses, bound // fall)
+        ordered = np.sort(pairs[free & (full >= (bound or min_uses))])
+        starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
+        counts = np.diff(np.r_[starts, len(ordered)])
+        top = int(counts.max(initial=0))
+        bound = bound or max(min_uses, top // fall)
+        if top < bound:
             if bound <= min_uses:
                 break
             continue
+        often = np.flatnonzero(counts >= bound)
+        codes = ordered[starts[often]]
+        # the most frequent first; of equals in no order that a text could follow
+        by_count = np.lexsort((codes * np.uint32(0x9E3779B1), -counts[often]))[: SYMBOLS - terminals - n_rules]
+        none = np.int32(len(by_count))
+        order = np.full(len(codes), none, np.int32)
+        order[by_count] = np.arange(none, dtype=np.int32)
+        # rank of each place's pair, 0 for the most frequent
+        rank = np.full(len(at), none, np.int32)
+        near = np.flatnonzero(free & (full >= bound))
+        slot = np.minimum(np.searchsorted(codes, pairs[near]), len(codes) - 1)
+        rank[near] = np.where(codes[slot] == pairs[near], order[slot], none)
+        # the most frequent pairs take their places first, others where nothing
+        # overlaps: that is every second place up a slope of ranks, and a peak
+        # that is the second of both its slopes
+        index = np.arange(len(at))
+        rising = beside & np.r_[False, rank[:-1] < rank[1:]]
+        falling = np.r_[beside[1:] & (rank[1:] < rank[:-1]), False]
+        up = index - np.maximum.accumulate(np.where(rising, 0, index))
+        down = np.minimum.accumulate(np.where(falling, len(at), index)[::-1])[::-1] - index
+        take = (rank < none) & (up % 2 == 0) & (down % 2 == 0)
+        uses = np.bincount(rank[take], minlength=none)
+        worth = uses >= min_uses
+        take &= np.r_[worth, False][rank]
+        kept = np.flatnonzero(worth)
+        codes = codes[by_count]
         name = np.zeros(len(codes), np.uint32)
         name[kept] = terminals + n_rules + np.arange(len(kept), dtype=np.uint32)
         rules.append(np.stack([codes[kept] >> np.uint32(16), codes[kept] & np.uint32(0xFFFF)], axis=1))
         n_rules += len(kept)
-        where = np.flatnonzero(take)
-        seq[where] = name[rank[where]]
-        gone = np.ones(len(seq), bool)
-        gone[where + 1] = False
-        seq = seq[gone]
+        where = at[take]
+        seq[where] = name[rank[take]]
+        stay, look = np.ones(len(seq), bool), np.zeros(len(seq), bool)
+        stay[where + 1] = False
+        look[at[full >= min_uses]] = True
+        look[where] = look[np.maximum(where - 1, 0)] = True
+        seq = seq[stay]
+        at = np.flatnonzero(look[stay][:-1])
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)).astype(np.uint16), seq.astype(np.uint16)
 
 

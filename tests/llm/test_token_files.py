@@ -101,3 +101,24 @@ def test_odd_rows(spark, empty):
     docs = spark.createDataFrame([] if empty else [r + (1,) for r in rows], "doc_id long, text string, start long")
     out = T.read(T.write(docs, PATH, shard_ids=1000, parts=3)).collect()
     assert sorted(map(str, map(tuple, out))) == sorted(map(str, [] if empty else expected(rows)))
+
+
+@pytest.mark.parametrize("doc", [np.arange(1000), np.random.default_rng(5).integers(0, 40_000, 1000)])
+def test_repeated_documents_fold_to_a_symbol_or_so(doc):
+    ids = np.tile(doc, 20).astype(np.uint32)
+    rules, seq = T.compress(ids, 40_000)
+    assert len(seq) <= 40 and T.expansion_lengths(rules, 40_000).max() >= 500
+    assert (T.expand(seq, rules, 40_000) == ids).all()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=400), st.integers(2, 6))
+def test_no_frequent_pair_is_left(ids, min_uses):
+    rules, seq = T.compress(np.array(ids, np.uint32), 7, min_uses)
+    assert (T.expand(seq, rules, 7) == ids).all()
+    places = {}
+    for i, pair in enumerate(zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True)):
+        # places in a run of one symbol overlap
+        if places.get(pair, [-2])[-1] < i - 1 or pair[0] != pair[1]:
+            places.setdefault(pair, []).append(i)
+    assert max(map(len, places.values()), default=0) < min_uses
