@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, embedding_dedup, language_id, mixing, ngram_join, packing, pii, quality, secrets_scan, token_files
+from cohortlens.llm import chat, embedding_dedup, exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, secrets_scan, token_files
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query("op11_exact_dedup", exact_dedup.SQL)
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents", "doc_id", "text"))
