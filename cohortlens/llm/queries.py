@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, embedding_dedup, exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, secrets_scan, spelling, token_files
+from cohortlens.llm import chat, embedding_dedup, exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, secrets_scan, spelling, token_files, whitening
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_spelling_variants", spelling.SQL)
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
