@@ -120,9 +120,9 @@ def profile(
     """Per group mean, sample std, Q1, Q3, IQR and mean +- 2 std.
 
     ``exact``: quartiles by linear interpolation (``percentile_cont``),
-    computed with :func:`cohortlens.operators.ranking.ordered_index` on the
-    distinct (group, value) counts, so even a group holding a third of the
-    rows is spread over many tasks.  ``builtin``: Spark's ``percentile``
+    by :func:`exact_quantiles`: a sketch's bracket, then exact selection
+    inside, so no raw rows are sorted and a group holding a third of the rows
+    is summed map-side.  ``builtin``: Spark's ``percentile``
     (exact, but one task holds a value map per group).  ``approx``:
     ``percentile_approx`` with bounded memory.
     """
@@ -157,33 +157,54 @@ def profile(
     return res.select(*by, *cols)
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], measure: str, probs: dict[str, float]) -> DataFrame:
-    """``percentile_cont`` for several probabilities, distributed.
+#: Size of the quantile sketch, half the width of a bracket as a share of the
+#: rows (some four times the sketch's 99% error), and the rows from which a
+#: group can have brackets.
+SKETCH_K, BRACKET, WHOLE_GROUP = 4096, 0.005, 2000
 
-    Position ``h = (n - 1) p`` (0-based) is interpolated between the values
-    at ``floor(h)`` and ``ceil(h)``.  Each distinct value covers positions
-    ``[before, before + count)``; only the rows covering the wanted positions
-    survive the filter, so the final group-by sees at most two rows per
-    group and probability.
-    """
-    from cohortlens.operators.ranking import ordered_index
 
+def exact_quantiles(df: DataFrame, by: Sequence[str], measure: str, probs: dict[str, float]) -> DataFrame:
+    """``percentile_cont`` for several probabilities, in two passes.
+
+    A mergeable quantile sketch per group gives a bracket around each
+    probability.  Brackets of the groups that hold a share worth it, some per
+    partition at most, are broadcast; a smaller group is its own bracket.  The
+    second pass counts the rows below a bracket and keeps only the counted
+    values inside: one row for a value however often it occurs, one row for all
+    the rest.  Position ``h = (n - 1) p`` (0-based) is
+    then interpolated between the values at ``floor(h)`` and ``ceil(h)``, whose
+    exact positions are the rows below plus those of smaller values inside.
+    Should a sketch ever miss, the query fails by name rather than answer.
+    """
     by = list(by)
-    vals = df.where(F.col(measure).isNotNull()).groupBy(*by, measure).agg(F.count(F.lit(1)).alias("_cl_n"))
-    idx = ordered_index(vals, [(measure, True)], group=by, weight="_cl_n", before="_cl_b", total="_cl_t")
+    names = list(probs)
+    x = F.col(measure).cast("double")
+    x = F.when(F.isnan(x), F.lit(float("inf"))).otherwise(x)  # NaN is the largest value
+    group = F.struct(*by).alias("_cl_g") if by else F.lit(1).alias("_cl_g")
+    rows = df.where(F.col(measure).isNotNull()).select(*by, F.col(measure).alias("_cl_m"), x.alias("_cl_x"), group)
+    sketch = rows.groupBy("_cl_g").agg(F.kll_sketch_agg_double("_cl_x", SKETCH_K).alias("k"))
+
+    shares = ", ".join(f"{min(max(s, 0.0), 1.0)}D" for p in probs.values() for s in (p - BRACKET, p + BRACKET))
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = sketch.select("_cl_g", "k", F.expr("kll_sketch_get_n_double(k)").alias("n"))
+    large = (F.col("n") > WHOLE_GROUP) & (F.col("n") > held.agg(F.sum("n") / (4 * slices)).scalar())
+    brackets = F.broadcast(held.where(large).select("_cl_g", F.expr(f"kll_sketch_get_quantile_double(k, array({shares}))").alias("_cl_q")))
+    within = [f"coalesce(_cl_x BETWEEN _cl_q[{2 * i}] AND _cl_q[{2 * i + 1}], TRUE)" for i in range(len(names))]
+    inside = [F.expr(e).alias(f"_cl_in{i}") for i, e in enumerate(within)]
+    below = [F.expr(f"CAST(count_if(_cl_x < _cl_q[{2 * i}]) AS BIGINT)").alias(f"_cl_below{i}") for i in range(len(names))]
+    flagged = rows.join(brackets, "_cl_g", "left").select(*by, "_cl_g", "_cl_x", "_cl_q", F.expr(f"CASE WHEN {' OR '.join(within)} THEN _cl_m END").alias("_cl_m"), *inside)
+    counted = flagged.groupBy("_cl_g", *by, "_cl_m", *[f"_cl_in{i}" for i in range(len(names))]).agg(F.count(F.lit(1)).alias("_cl_n"), *below)
+
+    ahead = "OVER (PARTITION BY _cl_g ORDER BY _cl_m NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    at = [f"coalesce(sum(CASE WHEN _cl_in{i} THEN _cl_n END) {ahead}, 0) + sum(_cl_below{i}) OVER (PARTITION BY _cl_g)" for i in range(len(names))]
+    placed = counted.select("*", F.expr("sum(_cl_n) OVER (PARTITION BY _cl_g)").alias("_cl_t"), *[F.expr(e).alias(f"_cl_at{i}") for i, e in enumerate(at)])
     aggs = []
-    conds = []
-    for name, p in probs.items():
-        h = (F.col("_cl_t") - 1) * F.lit(p)
-        lo, hi = F.floor(h), F.ceil(h)
-        cover_lo = (F.col("_cl_b") <= lo) & (lo < F.col("_cl_b") + F.col("_cl_n"))
-        cover_hi = (F.col("_cl_b") <= hi) & (hi < F.col("_cl_b") + F.col("_cl_n"))
-        conds.append(cover_lo | cover_hi)
-        x_lo = F.max(F.when(cover_lo, F.col(measure)))
-        x_hi = F.max(F.when(cover_hi, F.col(measure)))
-        frac = F.max(h - lo)
-        aggs.append((x_lo + (x_hi - x_lo) * frac).cast("double").alias(name))
-    keep = conds[0]
-    for c in conds[1:]:
-        keep = keep | c
-    return idx.where(keep).groupBy(*by).agg(*aggs)
+    for i, name in enumerate(names):
+        h = F.expr(f"(_cl_t - 1) * {probs[name]}D")
+        covers = lambda pos, i=i: F.col(f"_cl_in{i}") & F.col("_cl_m").isNotNull() & (F.col(f"_cl_at{i}") <= pos) & (pos < F.col(f"_cl_at{i}") + F.col("_cl_n"))
+        x_lo = F.max(F.when(covers(F.floor(h)), F.col("_cl_m")))
+        x_hi = F.max(F.when(covers(F.ceil(h)), F.col("_cl_m")))
+        missed = F.raise_error(F.lit(f"quantile sketch of {measure} missed {name}: run again")).cast("double")
+        value = (x_lo + (x_hi - x_lo) * F.max(h - F.floor(h))).cast("double")
+        aggs.append(F.when(x_lo.isNull() | x_hi.isNull(), missed).otherwise(value).alias(name))
+    return placed.groupBy("_cl_g", *by).agg(*aggs).drop("_cl_g")

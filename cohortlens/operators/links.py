@@ -47,30 +47,53 @@ def range_lookup(
     label_col: str,
     *,
     out: str = "slice",
+    method: str = "index",
+    max_bounds: int = 1_000_000,
     slices: int | None = None,
 ) -> DataFrame:
     """For each row, the label of the first bound (in ascending bound
     order) that is >= ``value``; NULL when every bound is smaller.  Equal bounds
     give the smallest label.
 
-    One path for any number of bounds, without a nested-loop join.  Values and
-    bounds are compared in the type that a union of both columns has (Spark's
-    common type).  Distinct values (tag 0) and bounds (tag 1) are merged into
-    one order by (x, tag), so a bound equal to a value comes right after it, and
-    cut into buckets of that order; a value takes the first bound at or after
-    it in its bucket, or else the first of the later buckets, from a table with
-    a row per bucket.  The answer per distinct value is joined back to ``df`` on
-    the value, an equi-join that AQE can split when skewed.
+    Values and bounds are compared in the type that a union of both columns has
+    (Spark's common type).  ``index``: the bounds are sorted once and broadcast in
+    chunks; a row finds its chunk, then its place in it, digit by digit with
+    plain column expressions, so ``df`` is read once, without a shuffle, and a
+    hot value costs nothing.  As all bounds are held at once, it fails by name
+    on more than ``max_bounds``.  ``merge``: for any number of bounds, see :func:`_merged_lookup`.
     """
+    common = df.select(F.col(value).alias("_cl_x")).union(bounds.select(bound_col)).schema["_cl_x"].dataType
+    given = bounds.select(F.col(bound_col).cast(common).alias("x"), F.col(label_col).alias("l")).where("x IS NOT NULL")
+    if method == "merge":
+        return _merged_lookup(df, value, given, common, out, slices)
+    if method != "index":
+        raise ValueError("method must be index or merge")
+    from cohortlens.operators.ranking import chunk_place
+
+    every = given.limit(max_bounds + 1).agg(F.expr("sort_array(collect_list(struct(x, l)))").alias("s"))
+    too_many = f"raise_error('more than {max_bounds} bounds: use method=merge')"
+    index = every.select(F.expr(f"CASE WHEN size(s) > {max_bounds} THEN {too_many} ELSE s END").alias("s")).select("s", F.expr("s.x").alias("x"))
+    rows = df.select("*", F.col(value).cast(common).alias("_cl_key"))
+    placed = chunk_place(rows, index, max_bounds, max(1, int(max_bounds**0.5)))
+    label = F.when(F.col("_cl_key").isNotNull(), F.get("_cl_chunk", F.col("_cl_at"))["l"])
+    return placed.select(*df.columns, label.alias(out))
+
+
+def _merged_lookup(df: DataFrame, value: str, bounds: DataFrame, common, out: str, slices: int | None) -> DataFrame:
+    """:func:`range_lookup` for any number of ``bounds (x, l)``: distinct values
+    (tag 0) and bounds (tag 1) are merged into one order by (x, tag), so a
+    bound equal to a value comes right after it, and cut into buckets of that
+    order; a value takes the first bound at or after it in its bucket, or else
+    the first of the later buckets, from a table with a row per bucket.  The
+    answer per distinct value is joined back on the value, an equi-join that
+    AQE can split when skewed."""
     from cohortlens.operators.ranking import _BUCKET, order_bucket
 
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    common = df.select(F.col(value).alias("_cl_x")).union(bounds.select(bound_col)).schema["_cl_x"].dataType
-    label_type = bounds.schema[label_col].dataType
+    label_type = bounds.schema["l"].dataType
     vals = df.select(F.col(value).cast(common).alias("_cl_x")).where(F.col("_cl_x").isNotNull()).distinct().select(
         "_cl_x", F.lit(0).alias("_cl_tag"), F.lit(None).cast(label_type).alias("_cl_l"))
-    bnd = bounds.select(F.col(bound_col).cast(common).alias("_cl_x"), F.lit(1).alias("_cl_tag"),
-                        F.col(label_col).alias("_cl_l")).where(F.col("_cl_x").isNotNull())
+    bnd = bounds.select(F.col("x").alias("_cl_x"), F.lit(1).alias("_cl_tag"), F.col("l").alias("_cl_l"))
     merged = order_bucket(vals.unionByName(bnd), [("_cl_x", True), ("_cl_tag", True)], slices)
     w = Window.partitionBy(_BUCKET).orderBy("_cl_x", "_cl_tag", F.col("_cl_l").asc_nulls_first()).rowsBetween(
         0, Window.unboundedFollowing)
@@ -87,14 +110,9 @@ def range_lookup(
 
 
 def cumulative_bounds(df: DataFrame, label: str, *, out_bound: str = "upper", out_label: str | None = None) -> DataFrame:
-    """Shares per label as cumulative upper bounds in (0, 1], label order, for
-    any number of labels: the running sums come from
-    :func:`cohortlens.operators.ranking.ordered_index`."""
-    from cohortlens.operators.ranking import ordered_index
-
+    """Shares per label as cumulative upper bounds in (0, 1], label order (NULL
+    last): running sums over one counted row per label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cl_n"))
-    idx = ordered_index(counts, [(label, True)], weight="_cl_n", before="_cl_b", total="_cl_t")
-    return idx.select(
-        F.col(label).alias(out_label or label),
-        ((F.col("_cl_b") + F.col("_cl_n")) / F.col("_cl_t")).cast("double").alias(out_bound),
-    )
+    upto = F.sum("_cl_n").over(Window.orderBy(F.col(label).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("_cl_n").over(Window.partitionBy())
+    return counts.select(F.col(label).alias(out_label or label), (upto / total).cast("double").alias(out_bound))

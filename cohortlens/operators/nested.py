@@ -6,18 +6,24 @@ rows.  So every entity, whatever its size, is cut by one rule: a record's part
 is its position in ``order_by`` order divided by ``per_part``, a fixed part of
 the output.  The parts in order, joined, are the entity's ordered value.
 
-Positions come from :func:`cohortlens.operators.ranking.ordered_index`, so a hot
-entity is numbered by many tasks; equal records are counted first and cover a
-stretch of positions, so many equal rows are one row on the way.  NULL is an
-entity like any other.  No record is dropped, and nothing runs before the
-result is asked for.
+Entities are counted first.  The records of one that holds no more than a
+partition's fair share of all are shuffled once, to where the entity is,
+numbered in order there and gathered into parts without moving again.  The few
+heavier ones (fewer than partitions, so their keys are broadcast) get their
+positions from
+:func:`cohortlens.operators.ranking.ordered_index`: an entity is split into
+runs, each numbered by a task of its own, and a run's offset is the count of
+the runs before it; equal records are counted first and cover a stretch of
+positions, so many equal rows are one row on the way.  NULL is an entity like
+any other.  No record is dropped, and nothing runs before the result is asked
+for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.operators._util import as_list
@@ -49,18 +55,34 @@ def collect_sorted(
     order_by = list(order_by)
     sort_fields = order_by + [f for f in fields if f not in order_by]
     own = [f for f in sort_fields if f not in key]
-    counted = df.groupBy(*key, *own).agg(F.count(F.lit(1)).alias("_cl_times"))
+    rows = df.select(*key, *own, F.struct(*key).alias("_cl_g"))  # as a join key, a struct is never NULL
+    counts = rows.groupBy("_cl_g").count()
+    share = counts.agg(F.sum("count") / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).scalar()
+    heavy = F.broadcast(counts.where(F.col("count") > share).select("_cl_g"))
+    light = _light_parts(rows.join(heavy, "_cl_g", "left_anti"), key, fields, sort_fields, out, per_part)
+    return light.unionByName(_heavy_parts(rows.join(heavy, "_cl_g", "left_semi"), key, fields, sort_fields, own, out, per_part))
+
+
+def _light_parts(rows: DataFrame, key: list[str], fields: Sequence[str], sort_fields: list[str], out: str, per_part: int) -> DataFrame:
+    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in sort_fields])
+    at = rows.select(*key, F.struct(*fields).alias("_cl_rec"), (F.row_number().over(w) - 1).alias("_cl_at"))
+    part = F.floor(F.col("_cl_at") / per_part).alias("part")
+    agg = at.groupBy(*key, part).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("_cl_at", "_cl_rec"))).alias("_cl_arr"))
+    return agg.select(*key, "part", "n", F.col("_cl_arr._cl_rec").alias(out))
+
+
+def _heavy_parts(rows: DataFrame, key: list[str], fields: Sequence[str], sort_fields: list[str], own: list[str], out: str, per_part: int) -> DataFrame:
+    counted = rows.groupBy(*key, *own).agg(F.count(F.lit(1)).alias("_cl_times"))
     placed = ordered_index(counted, [(c, True) for c in sort_fields], group=key, weight="_cl_times", before="_cl_at", total=None)
     until = F.col("_cl_at") + F.col("_cl_times")
     parts = F.sequence(F.floor(F.col("_cl_at") / per_part), F.floor((until - 1) / per_part))
     spread = placed.withColumn("part", F.explode(parts))
     inside = F.least(until, (F.col("part") + 1) * per_part) - F.greatest(F.col("_cl_at"), F.col("part") * per_part)
     rec = F.struct(F.col("_cl_at"), inside.cast("int").alias("_cl_times"), F.struct(*[F.col(f) for f in fields]).alias("_cl_rec"))
-    agg = spread.groupBy(*key, "part").agg(F.sum(inside).cast("bigint").alias("n"), F.collect_list(rec).alias("_cl_arr"))
     # positions differ, so the records themselves are never compared
-    in_order = F.array_sort("_cl_arr", lambda a, b: F.when(a["_cl_at"] < b["_cl_at"], -1).otherwise(1))
-    repeated = F.flatten(F.transform(in_order, lambda r: F.array_repeat(r["_cl_rec"], r["_cl_times"])))
-    return agg.withColumn(out, repeated).drop("_cl_arr")
+    agg = spread.groupBy(*key, "part").agg(F.sum(inside).cast("bigint").alias("n"), F.sort_array(F.collect_list(rec)).alias("_cl_arr"))
+    repeated = F.flatten(F.transform("_cl_arr", lambda r: F.array_repeat(r["_cl_rec"], r["_cl_times"])))
+    return agg.select(*key, "part", "n", repeated.alias(out))
 
 
 def records_per_entity(df: DataFrame, key, fields, order_by, *, per_part: int = DEFAULT_PER_PART) -> DataFrame:

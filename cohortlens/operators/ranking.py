@@ -5,11 +5,14 @@ row into one task.  Over raw rows that does not scale, so the ranking
 operators here use :func:`ordered_index`, which computes the same running
 counts from buckets of the order:
 
-1. A scalar subquery takes a bounded sample of the full (group, order) keys,
-   the first by a hash, and cuts it into boundaries.
-2. A row's bucket is a pure function of its key: a binary search among the
-   boundaries.  Retries and re-plans give the same bucket, so nothing is
-   checkpointed, and nothing runs before the result is asked for.
+1. The order columns become one value (:func:`order_key`) that compares in the
+   declared order: NULL flags, directions and text prefixes are part of it.
+2. A scalar subquery sorts the keys of a seeded sample, some a bucket, and
+   cuts them into boundaries.  A row's bucket is the number of boundaries
+   ahead of its key, found by halving steps that are plain column
+   expressions.  It is a pure function of the key: retries and re-plans give
+   the same bucket, nothing is checkpointed, and nothing runs before the
+   result is asked for.
 3. A small aggregate gives the weight of every (bucket, group) pair, and a
    window over those pairs each bucket's offset within its group; a hot group
    spread over many buckets has at most one row per bucket there.
@@ -22,14 +25,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.operators._util import join_null_safe
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
 _BUCKET = "_cl_bucket"
-#: Sampled keys per bucket; the sample holds this many times the buckets.
+#: Sampled keys per bucket; the sample holds about this many times the buckets.
 SAMPLE_PER_BUCKET = 16
+#: Code points of a text that take part in finding its bucket.
+TEXT_PREFIX = 64
+_HEX, _FLIPPED = "0123456789ABCDEF", "FEDCBA9876543210"
 
 
 def _sort_exprs(order: OrderSpec) -> list[Column]:
@@ -37,44 +44,110 @@ def _sort_exprs(order: OrderSpec) -> list[Column]:
     return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in order]
 
 
-def _ahead(a: Column, b: Column, directions: Sequence[bool]) -> Column:
-    """Whether struct ``a`` comes before struct ``b`` in a declared order, field by
-    field, NULLs last in both directions."""
-    out = F.lit(False)
-    for i in reversed(range(len(directions))):
-        x, y = a[f"k{i}"], b[f"k{i}"]
-        less = x < y if directions[i] else x > y
-        less = F.when(x.isNull(), F.lit(False)).when(y.isNull(), F.lit(True)).otherwise(less)
-        out = F.when(x.eqNullSafe(y), out).otherwise(less)
-    return out
-
-
-def order_bucket(df: DataFrame, order: OrderSpec, buckets: int) -> DataFrame:
+def _key_fields(c: Column, kind: T.DataType, asc: bool) -> list[Column]:
+    """Columns that, compared one after the other in Spark's own ascending order,
+    put values of ``c`` in the declared order, NULLs last.  Texts count by a
+    prefix: a coarser order, which is all that a bucket needs."""
+    if isinstance(kind, T.StringType):
+        c = F.substring(c, 1, TEXT_PREFIX)
+    if asc:
+        return [c.isNull(), c]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        down = [~F.isnan(c), -c]  # NaN is the largest value
+    elif isinstance(kind, T.IntegralType):
+        down = [F.bitwise_not(c)]  # unlike a negation it cannot overflow
+    elif isinstance(kind, T.DecimalType):
+        down = [-c]
+    elif isinstance(kind, T.BooleanType):
+        down = [~c]
+    elif isinstance(kind, T.DateType):
+        down = [F.bitwise_not(F.unix_date(c))]
+    elif isinstance(kind, T.TimestampType):
+        down = [F.bitwise_not(F.unix_micros(c))]
+    elif isinstance(kind, T.TimestampNTZType):
+        down = [F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") - c]
+    elif isinstance(kind, (T.StringType, T.BinaryType)):
+        # digits of the bytes turned round, and an end that comes after every digit
+        down = [F.concat(F.translate(F.hex(c), _HEX, _FLIPPED), F.lit("G"))]
+    else:
+        raise ValueError(f"cannot order {kind.simpleString()} downwards")
+    return [c.isNull(), *down]
+
+
+def order_key(df: DataFrame, order: OrderSpec) -> Column:
+    """The order columns of a row as one struct; ``<`` on it is the declared
+    order (of texts, that of their prefixes)."""
+    fields = [f for c, asc in order for f in _key_fields(F.col(c), df.schema[c].dataType, asc)]
+    return F.struct(*[f.alias(f"k{i}") for i, f in enumerate(fields)])
+
+
+def _digit(low: str, place: int, base: int) -> str:
+    """How many of the boundaries at ``low + place * 1, 2, ... base - 1`` are
+    ahead of the key: a tree of comparisons, no more than its depth for a row."""
+
+    def tree(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi + 1) // 2  # beyond the last boundary the comparison is NULL
+        return f"CASE WHEN get(_cl_bounds, {low} + {mid * place - 1}) < _cl_key THEN {tree(mid, hi)} ELSE {tree(lo, mid - 1)} END"
+
+    return f"CAST({low} + {place} * {tree(0, base - 1)} AS INT)"
+
+
+def order_bucket(df: DataFrame, order: OrderSpec, buckets: int, weight: str | None = None, *extra: Column) -> DataFrame:
     """Add ``_cl_bucket``: the row's place among at most ``buckets`` ranges of
-    ``order``, ascending with it; equal keys share a bucket."""
-    directions = [asc for _, asc in order]
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(order)])
-    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(buckets * SAMPLE_PER_BUCKET)
-    compare = lambda x, y: F.when(_ahead(x, y, directions), -1).when(_ahead(y, x, directions), 1).otherwise(0)
-    ordered = sample.agg(F.array_sort(F.collect_list("k"), compare).alias("s"))
+    ``order``, ascending with it; equal keys share a bucket.  With ``weight``,
+    the sample draws rows in proportion to it, and every branch of the plan
+    reads the same columns, so an aggregate below is exchanged once.
+    ``extra`` columns are added on the way."""
+    keyed = df.select("*", order_key(df, order).alias("_cl_key"))
+    w = f"CAST({weight} AS DOUBLE)" if weight else "1.0D"
+    rows = keyed.agg(F.expr(f"sum({w})")).scalar()
+    draw = F.expr("pmod(xxhash64(_cl_key), 1099511627776)") * rows < F.expr(f"{float(2**40) * buckets * SAMPLE_PER_BUCKET}D * {w}")
+    sample = keyed.where(draw).agg(F.expr("sort_array(collect_list(_cl_key))").alias("s"))
     # every m-th sampled key, so that small inputs have few buckets
-    step = F.greatest(F.ceil(F.size("s") / F.lit(buckets)), F.lit(1)).cast("int")
-    cuts = F.filter(F.col("s"), lambda _, i: (i % step == step - 1) & (i + 1 < F.size("s")))
-    bounds = ordered.select(cuts.alias("b")).scalar()
-
-    # the number of boundaries that are ahead of the key, by halving
-    steps = F.sequence(F.lit(1), F.lit(max(1, (buckets - 1).bit_length()) + 1))
-    start = F.struct(F.lit(0).alias("lo"), F.size("_cl_bounds").alias("hi"))
-
-    def halve(at: Column, _: Column) -> Column:
-        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
-        right = (at["lo"] < at["hi"]) & _ahead(F.get("_cl_bounds", mid), F.col("_cl_key"), directions)
-        lo = F.when(right, mid + 1).otherwise(at["lo"])
-        hi = F.when(right, at["hi"]).otherwise(F.greatest(at["lo"], F.least(mid, at["hi"])))
-        return F.struct(lo.alias("lo"), hi.alias("hi"))
-
-    place = F.aggregate(steps, start, halve, lambda at: at["lo"])
-    return df.withColumns({"_cl_bounds": bounds, "_cl_key": key}).withColumn(_BUCKET, place).drop("_cl_bounds", "_cl_key")
+    step = f"greatest(ceil(size(s) / {buckets}), 1)"
+    bounds = sample.select(F.expr(f"filter(s, (k, i) -> i % {step} = {step} - 1 AND i + 1 < size(s))").alias("s"))
+    rows = keyed.select("*", *extra) if extra else keyed
+    if buckets <= FAN:
+        return digits(rows.select("*", bounds.scalar().alias("_cl_bounds")), buckets, _BUCKET).drop("_cl_bounds", "_cl_key")
+    size = -(-buckets // FAN)
+    placed = chunk_place(rows, bounds.select("s", F.col("s").alias("x")), buckets, size).drop("_cl_chunk", "_cl_bounds", "_cl_key")
+    return placed.withColumn(_BUCKET, F.col("_cl_j") * size + F.col("_cl_at")).drop("_cl_j", "_cl_at")
+
+
+#: Most boundaries that a row carries while its bucket is found.
+FAN = 256
+
+
+def chunk_place(df: DataFrame, index: DataFrame, places: int, size: int) -> DataFrame:
+    """Find ``_cl_key`` among many sorted values in two steps: ``index`` has one
+    row, the values ``x`` and what belongs to them, ``s`` (arrays of one
+    length, at most ``places``).  Chunks of ``size`` are broadcast; a row first
+    finds its chunk among the chunks' last values, then its place inside it,
+    so it never carries more than a chunk.  Adds ``_cl_j`` (the chunk),
+    ``_cl_at`` (the place) and ``_cl_chunk`` (the chunk of ``s``)."""
+    lasts = index.select(F.expr(f"filter(x, (k, i) -> i % {size} = {size} - 1 OR i + 1 = size(x))")).scalar()
+    number = f"CASE WHEN size(x) > 0 THEN sequence(0, (size(x) - 1) DIV {size}) ELSE CAST(array() AS array<int>) END"
+    cut = f"explode(transform({number}, j -> struct(CAST(j AS INT) AS j, slice(x, j * {size} + 1, {size}) AS b, slice(s, j * {size} + 1, {size}) AS c)))"
+    chunks = index.select(F.expr(cut).alias("p")).select(F.col("p.j").alias("_cl_j"), F.col("p.b").alias("_cl_bounds"), F.col("p.c").alias("_cl_chunk"))
+    found = digits(df.select("*", lasts.alias("_cl_bounds")), -(-places // size) + 1, "_cl_j").drop("_cl_bounds")
+    return digits(found.join(F.broadcast(chunks), "_cl_j", "left"), size + 1, "_cl_at")
+
+
+def digits(df: DataFrame, places: int, out: str) -> DataFrame:
+    """Add ``out``: how many of the sorted values in the array ``_cl_bounds``, at
+    most ``places - 1`` of them, are smaller than ``_cl_key`` (none of a NULL
+    array).  It is found digit by digit, so that no expression grows with the
+    array."""
+    base, place = max(2, min(16, places)), 1
+    while place * base < places:
+        place *= base
+    low = "0"
+    while place:
+        df = df.select(*[c for c in df.columns if c != out], F.expr(_digit(low, place, base)).alias(out))
+        low, place = out, place // base
+    return df
 
 
 def ordered_index(
@@ -98,26 +171,29 @@ def ordered_index(
     """
     group = list(group)
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = F.col(weight) if weight else F.lit(1).cast("bigint")
     full = [*[(g, True) for g in group], *[o for o in order if o[0] not in group]]
-    ranged = order_bucket(df.withColumn("_cl_w", w.cast("bigint")), full, slices)
-
-    per_part = ranged.groupBy(_BUCKET, *group).agg(F.sum("_cl_w").alias("_cl_pw"))
+    # a group of several columns is one struct: as a join key it is never NULL
+    ranged = order_bucket(df, full, slices, weight, *([F.struct(*group).alias("_cl_g")] if group else []))
+    by = [_BUCKET, "_cl_g"] if group else [_BUCKET]
+    w = f"CAST({weight} AS BIGINT)" if weight else "1L"
     # without groups one row per bucket, so at most ``slices`` rows
-    gw = Window.partitionBy(*group).orderBy(_BUCKET) if group else Window.orderBy(_BUCKET)
-    offsets = per_part.withColumn(
-        "_cl_off",
-        F.coalesce(F.sum("_cl_pw").over(gw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    if total:
-        tw = Window.partitionBy(*group) if group else Window.partitionBy()
-        offsets = offsets.withColumn("_cl_gtotal", F.sum("_cl_pw").over(tw))
-    joined = join_null_safe(ranged, offsets.drop("_cl_pw"), [_BUCKET, *group])
-    lw = Window.partitionBy(_BUCKET, *group).orderBy(*_sort_exprs(order)).rowsBetween(Window.unboundedPreceding, -1)
-    out = joined.withColumn(before, (F.col("_cl_off") + F.coalesce(F.sum("_cl_w").over(lw), F.lit(0))).cast("bigint"))
-    if total:
-        out = out.withColumn(total, F.col("_cl_gtotal").cast("bigint"))
-    return out.drop("_cl_off", "_cl_gtotal", "_cl_w", _BUCKET)
+    over = f"OVER ({'PARTITION BY _cl_g ' if group else ''}ORDER BY {_BUCKET} ROWS BETWEEN UNBOUNDED PRECEDING AND %s)"
+    sums = [F.expr(f"coalesce(sum(_cl_pw) {over % '1 PRECEDING'}, 0)").alias("_cl_off")]
+    sums += [F.expr(f"sum(_cl_pw) {over % 'UNBOUNDED FOLLOWING'}").alias("_cl_total")] if total else []
+    offsets = ranged.groupBy(*by).agg(F.expr(f"sum({w})").alias("_cl_pw")).select(*by, *sums)
+    joined = ranged.join(offsets if group else F.broadcast(offsets), by)
+    lw = Window.partitionBy(*by).orderBy(*_sort_exprs(order)).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (F.col("_cl_off") + F.coalesce(F.sum(F.expr(w)).over(lw), F.lit(0))).cast("bigint").alias(before)
+    return joined.select(*df.columns, placed, *([F.col("_cl_total").cast("bigint").alias(total)] if total else []))
+
+
+def rank_keys(df: DataFrame, order: OrderSpec, *, partition: Sequence[str] = (), out: str = "rnk") -> DataFrame:
+    """The rank of every distinct key, from a plain window over the counted
+    keys: for order columns of few values."""
+    keys = [*partition, *[c for c, _ in order]]
+    ahead = Window.partitionBy(*partition).orderBy(*_sort_exprs(order)).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cl_n"))
+    return counts.select(*keys, (F.coalesce(F.sum("_cl_n").over(ahead), F.lit(0)) + 1).cast("bigint").alias(out))
 
 
 def rank_rows(
@@ -133,9 +209,12 @@ def rank_rows(
     ``scalable``: equal keys are first counted (partial aggregation, so a hot
     value becomes one row), ranks are computed on the distinct keys with
     :func:`ordered_index` and joined back (AQE splits a skewed join key).
-    ``window``: plain Spark window, for small inputs.
+    ``counted``: ranks come from a plain window over the counted keys, for
+    columns of few values.  ``window``: plain Spark window, for small inputs.
     """
     partition = list(partition)
+    if method == "counted":
+        return join_null_safe(df, rank_keys(df, order, partition=partition, out=out), [*partition, *[c for c, _ in order]])
     if method == "window":
         w = Window.partitionBy(*partition) if partition else Window.partitionBy()
         return df.withColumn(out, F.rank().over(w.orderBy(*_sort_exprs(order))).cast("bigint"))
@@ -186,9 +265,8 @@ def row_number_rows(
         if total:
             res = res.withColumn(total, F.count(F.lit(1)).over(w).cast("bigint"))
         return res
-    idx = ordered_index(df, order, group=partition, total=total or "_cl_t")
-    res = idx.withColumn(out, F.col("w_before") + 1).drop("w_before")
-    return res if total else res.drop("_cl_t")
+    idx = ordered_index(df, order, group=partition, total=total)
+    return idx.select(*df.columns, (F.col("w_before") + 1).alias(out), *([total] if total else []))
 
 
 def serial_number(df: DataFrame, order: OrderSpec, out: str = "serial_number") -> DataFrame:
@@ -213,13 +291,13 @@ def ntile_rows(
     if method == "window":
         w = Window.partitionBy(*partition) if partition else Window.partitionBy()
         return df.withColumn(out, F.ntile(n).over(w.orderBy(*_sort_exprs(order))).cast("bigint"))
-    numbered = row_number_rows(df, order, partition=partition, out="_cl_rn", total="_cl_cnt")
-    i = F.col("_cl_rn") - 1
+    numbered = ordered_index(df, order, group=list(partition), before="_cl_i", total="_cl_cnt")
+    i = F.col("_cl_i")
     q = F.floor(F.col("_cl_cnt") / n).cast("bigint")
     r = F.pmod(F.col("_cl_cnt"), F.lit(n))
     big = r * (q + 1)
     tile = F.when(i < big, F.floor(i / (q + 1)) + 1).otherwise(r + F.floor((i - big) / q) + 1)
-    return numbered.withColumn(out, tile.cast("bigint")).drop("_cl_rn", "_cl_cnt")
+    return numbered.select(*df.columns, tile.cast("bigint").alias(out))
 
 
 def nth_highest(df: DataFrame, col: str, n: int, *, out: str | None = None, distinct: bool = False,

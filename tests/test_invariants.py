@@ -120,8 +120,72 @@ def test_range_lookup_equals_a_plain_scan(spark, t, parts):
     bounds = links.cumulative_bounds(t.customer, "c_nationkey", out_label="slice")
     u = t.customer.select("c_custkey", stable_uniform("c_custkey", 7).alias("u"))
     u = u.unionByName(spark.createDataFrame([(-1, 2.0), (-2, None), (-3, 0.0)], "c_custkey long, u double"))
-    got = {r["c_custkey"]: r["slice"] for r in links.range_lookup(u, "u", bounds, "upper", "slice", slices=parts).collect()}
-    assert got == plain_lookup(map(tuple, u.collect()), [(r["upper"], r["slice"]) for r in bounds.collect()])
+    want = plain_lookup(map(tuple, u.collect()), [(r["upper"], r["slice"]) for r in bounds.collect()])
+    for method in ("index", "merge"):
+        got = {r["c_custkey"]: r["slice"] for r in links.range_lookup(u, "u", bounds, "upper", "slice", method=method, slices=parts).collect()}
+        assert got == want, method
+
+
+@pytest.mark.parametrize("n", [1, 16, 17, 300_000])
+def test_range_lookup_places_every_value_among_many_bounds(spark, n):
+    from cohortlens.operators import links
+
+    bounds = spark.range(n).select((F.col("id") * 2).alias("upper"), F.col("id").alias("slice"))
+    vals = spark.range(-2, 2 * n + 3).select(F.col("id").alias("v"))
+    got = links.range_lookup(vals, "v", bounds, "upper", "slice")
+    want = F.when(F.col("v") <= 2 * (n - 1), F.ceil(F.greatest("v", F.lit(0)) / 2).cast("long"))
+    assert got.where(~F.col("slice").eqNullSafe(want)).isEmpty() and got.count() == 2 * n + 5
+
+
+def test_range_lookup_refuses_more_bounds_than_it_may_hold(spark):
+    from cohortlens.operators import links
+
+    bounds = spark.range(20).select(F.col("id").alias("upper"), F.col("id").alias("slice"))
+    with pytest.raises(Exception, match="more than 10 bounds"):
+        links.range_lookup(spark.range(3), "id", bounds, "upper", "slice", max_bounds=10).collect()
+
+
+ORDER_KINDS = ["int", "bigint", "double", "float", "decimal(20,3)", "date", "timestamp", "timestamp_ntz", "string", "boolean", "binary"]
+
+
+@pytest.mark.parametrize("asc", [True, False])
+@pytest.mark.parametrize("kind", ORDER_KINDS)
+def test_order_key_compares_like_the_declared_order(spark, kind, asc):
+    """NULLs last, extremes, NaN and prefixes included: sorting by the key is
+    sorting by the column."""
+    from cohortlens.operators import ranking
+
+    texts = [None, "", "a", "ab", "abc", "b", "\u00e9", "\u6f22", "zz", "a" * 70]
+    numbers = [None, 0, 1, -1, 5, -2**31, 2**31 - 1]
+    if kind in ("string", "binary"):
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast(kind).alias("c"))
+    elif kind == "date":
+        df = spark.createDataFrame([(n,) for n in (None, 0, 1, -1, 9000)], "n int").select(F.date_from_unix_date("n").alias("c"))
+    elif kind.startswith("timestamp"):
+        df = spark.createDataFrame([(n,) for n in (None, 0, 1, -1, 10**15, -(10**12))], "n long").select(F.timestamp_micros("n").cast(kind).alias("c"))
+    elif kind in ("double", "float"):
+        df = spark.createDataFrame([(x,) for x in (None, 0.0, 1.5, -1.5, float("nan"), float("inf"), float("-inf"))], f"c {kind}")
+    elif kind == "boolean":
+        df = spark.createDataFrame([(x,) for x in (None, True, False)], "c boolean")
+    else:
+        extra = [-(2**63), 2**63 - 1] if kind == "bigint" else []
+        df = spark.createDataFrame([(n,) for n in numbers + extra], "n long").select(F.col("n").cast(kind).alias("c"))
+    order = [("c", asc)]
+    keyed = df.select("c", ranking.order_key(df, order).alias("k"))
+    by_key = [str(r["c"]) for r in keyed.orderBy("k").collect()]
+    by_column = [str(r["c"]) for r in keyed.orderBy(*ranking._sort_exprs(order)).collect()]
+    assert by_key == by_column
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 16, 17, 300])
+def test_buckets_ascend_with_the_order(spark, buckets):
+    from cohortlens.operators import ranking
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 1000).alias("v"), F.md5(F.col("id").cast("string")).alias("s"))
+    out = ranking.order_bucket(df, [("v", False), ("s", True)], buckets).select("v", "s", "_cl_bucket").toPandas()
+    out = out.sort_values(["v", "s"], ascending=[False, True])
+    assert out["_cl_bucket"].is_monotonic_increasing and out["_cl_bucket"].nunique() == buckets
+    assert out["_cl_bucket"].value_counts().max() <= 4 * 5000 / buckets
 
 
 @pytest.mark.parametrize("n", [3, 300])
