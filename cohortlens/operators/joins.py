@@ -4,14 +4,12 @@ AQE splits a skewed sort-merge join partition only on a side whose rows
 may be duplicated safely: either side of an inner join, but for an outer
 join only the *preserved* side.  When the hot key sits in the other side
 (``customer LEFT JOIN orders`` with one customer owning a third of the
-orders), the outer join cannot be split.  ``outer_join`` rewrites it as
-
-    inner join (both sides splittable)
-    UNION ALL
-    preserved rows without a partner (anti-join against the *distinct*
-    keys of the other side; distinct keys cannot be skewed)
-
-which returns exactly the rows of the outer join.
+orders), the outer join cannot be split.  ``outer_join`` finds the keys that
+hold more than a partition's fair share of the other side (fewer than
+partitions, so they are broadcast) and salts them: their rows are dealt over
+salts, and a preserved row of such a key is sent to every salt.  A copy that
+meets nothing is dropped, as another one has met a row: a hot key exists in
+the other side.
 """
 
 from __future__ import annotations
@@ -32,12 +30,19 @@ def outer_join(preserved: DataFrame, other: DataFrame, keys: str | Sequence[str]
     never match, as in SQL.
     """
     keys = as_list(keys)
-    matched = preserved.join(other, on=keys, how="inner")
-    not_null = F.col(keys[0]).isNotNull()
-    for k in keys[1:]:
-        not_null = not_null & F.col(k).isNotNull()
-    other_keys = other.select(*keys).where(not_null).distinct()
-    lonely = preserved.join(other_keys, on=keys, how="left_anti")
-    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields if f.name not in keys]
-    lonely = lonely.select(*lonely.columns, *fill)
-    return matched.unionByName(lonely)
+    slices = int(preserved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = other.select(*keys).where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).groupBy(*keys).count()
+    share = counts.agg(F.sum("count") / slices).scalar()
+    hot = F.broadcast(counts.where(F.col("count") > share).select(*keys, F.lit(True).alias("_cl_hot")))
+    salts = min(slices, MAX_SALTS)
+    values = [c for c in other.columns if c not in keys]
+    dealt = F.when(F.col("_cl_hot"), F.pmod(F.xxhash64(*other.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    right = other.join(hot, keys, "left").select(*keys, *values, dealt.alias("_cl_salt"), F.lit(True).alias("_cl_met"))
+    every = F.when(F.col("_cl_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = preserved.join(hot, keys, "left").select(*preserved.columns, "_cl_hot", F.explode(every).alias("_cl_salt"))
+    joined = left.join(right, [*keys, "_cl_salt"], "left").where("_cl_met OR _cl_hot IS NULL")
+    return joined.select(*keys, *[c for c in preserved.columns if c not in keys], *values)
+
+
+#: Salts of a hot key at most.
+MAX_SALTS = 64

@@ -39,6 +39,38 @@ def linked_rows(
     return items.join(frontier, on=entity, how="left_semi")
 
 
+def linked_closure(items: DataFrame, entity: str, item: str, seeds: DataFrame, *, out: str = "hop") -> DataFrame:
+    """Every entity that links of shared items lead to from ``seeds``,
+    with the round that first reached it (seeds: 0), until a round finds none.
+
+    A round joins only what the round before found: the items of its new
+    entities that no earlier round had, then the entities of these.  Rounds are
+    written tables, so lineage stays short and a lost executor repeats no
+    round.  NULL entities and items link nothing.
+    """
+    from cohortlens.sources.scratch import written
+
+    both = F.col(entity).isNotNull() & F.col(item).isNotNull()
+    links = written(items.select(entity, item).where(both).distinct(), "links")
+    found = written(seeds.select(entity).where(F.col(entity).isNotNull()).distinct().withColumn(out, F.lit(0).cast("bigint")), "found")
+    rounds, used = [found], []
+    while not rounds[-1].isEmpty():
+        new_items = links.join(rounds[-1], entity, "left_semi").select(item).distinct()
+        for old in used:
+            new_items = new_items.join(old, item, "left_anti")
+        used.append(written(new_items, "items"))
+        reached = links.join(used[-1], item, "left_semi").select(entity).distinct()
+        # an entity of a new item was first found in this round or the last, or is new
+        for old in rounds[-2:]:
+            reached = reached.join(old, entity, "left_anti")
+        rounds.append(written(reached.withColumn(out, F.lit(len(rounds)).cast("bigint")), "found"))
+        used = used[-2:]
+    closed = rounds[0]
+    for r in rounds[1:]:
+        closed = closed.unionByName(r)
+    return closed
+
+
 def range_lookup(
     df: DataFrame,
     value: str,

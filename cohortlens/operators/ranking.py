@@ -367,6 +367,19 @@ def stable_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     )
 
 
+def stratified_sample(df: DataFrame, strata: str | Sequence[str], key: str, k: int, seed: int = 0) -> DataFrame:
+    """L5/M2 per stratum: the ``k`` rows of each stratum with the smallest draw, a
+    pure function of ``key`` and seed (ties by key).  The smallest ``k`` of parts
+    are all that the smallest ``k`` of the whole need, so Spark keeps no more
+    than that per stratum and task before the shuffle (WindowGroupLimit)."""
+    from cohortlens.functions.random import stable_uniform
+
+    strata = [strata] if isinstance(strata, str) else list(strata)
+    w = Window.partitionBy(*strata).orderBy(F.col("_cl_u").asc_nulls_last(), F.col(key).asc_nulls_last())
+    drawn = df.withColumn("_cl_u", stable_uniform(key, seed))
+    return drawn.withColumn("_cl_rn", F.row_number().over(w)).where(F.col("_cl_rn") <= k).drop("_cl_u", "_cl_rn")
+
+
 def first_value_by(df: DataFrame, group: Sequence[str], value: str, order: OrderSpec,
                    out: str | None = None) -> DataFrame:
     """``FIRST_VALUE(value) OVER (PARTITION BY group ORDER BY order)`` as

@@ -27,10 +27,13 @@ from cohortlens.functions import dates as fd
 from cohortlens.functions import mathops as fm
 from cohortlens.functions import text as ft
 from cohortlens.functions.random import stable_uniform, stable_uniform_sql
-from cohortlens.operators import enrich, groups, joins, links, nested, pivots, ranking, rates, stats
+from cohortlens.functions.sql import register_sql_functions, share_of_total_sql
+from cohortlens.operators import distinct, enrich, groups, joins, links, nested, pivots, ranking, rates, stats
 from cohortlens.operators import timeseries as ts
 from cohortlens.operators._util import join_null_safe
-from cohortlens.sources import tables
+from cohortlens.sources import changes, tables
+from cohortlens.sources.scratch import scratch_path, written
+from cohortlens.sources.tables import write_snapshot
 from cohortlens.streaming import guards
 
 
@@ -1054,6 +1057,121 @@ def alerts(t: tables) -> DataFrame:
     return guards.alerts(t.events, F.col("value") > 100, msg, keep=["event_id", "user_id"])
 
 
+# ------------------------------------- sets, closures, change sets, streams
+
+@query("distinct_rollup", "A3 X2 A34", """
+SELECT strftime(o_orderdate, '%Y-%m') AS period, COUNT(DISTINCT o_custkey) AS n_distinct FROM orders GROUP BY 1
+UNION ALL SELECT strftime(o_orderdate, '%Y'), COUNT(DISTINCT o_custkey) FROM orders GROUP BY 1""")
+def distinct_rollup(t: tables) -> DataFrame:
+    # one stored table of sets per month; the years are merged from it, not from the rows
+    months = t.orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.date_format("o_orderdate", "yyyy").alias("year"), "o_custkey")
+    sets = written(distinct.distinct_sets(months, ["year", "month"], "o_custkey"), "sets")
+    by_month = distinct.set_sizes(sets, ["month"]).withColumnRenamed("month", "period")
+    by_year = distinct.set_sizes(distinct.merged_sets(sets, ["year"]), ["year"]).withColumnRenamed("year", "period")
+    return by_month.unionByName(by_year)
+
+
+_LARGE = 395_000  # orders above it link their customers
+
+
+@query("linked_closure", "J13 U3", f"""
+WITH RECURSIVE links AS (
+  SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS item FROM orders WHERE o_totalprice > {_LARGE}),
+r(o_custkey, hop) AS (
+  SELECT (SELECT min(o_custkey) FROM links), 0::BIGINT
+  UNION SELECT b.o_custkey, r.hop + 1 FROM r JOIN links a ON a.o_custkey = r.o_custkey JOIN links b ON b.item = a.item WHERE r.hop < 60)
+SELECT o_custkey, min(hop) AS hop FROM r GROUP BY 1""")
+def linked_closure(t: tables) -> DataFrame:
+    # customers with large orders on the same day, from the first of them on
+    links_of = t.orders.where(F.col("o_totalprice") > _LARGE).select("o_custkey", F.to_date("o_orderdate").alias("item"))
+    seeds = links_of.agg(F.min("o_custkey").alias("o_custkey"))
+    return links.linked_closure(links_of, "o_custkey", "item", seeds)
+
+
+@query("month_patch", "C2 J12 C5", """
+WITH best AS (
+  SELECT l_orderkey, l_linestatus, l_extendedprice,
+         ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rn FROM lineitem)
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS order_month,
+       CASE WHEN strftime(o_orderdate, '%Y-%m') = '1995-03' AND rn = 1 THEN l_linestatus ELSE o_orderstatus END AS o_orderstatus
+FROM orders LEFT JOIN best ON l_orderkey = o_orderkey AND rn = 1""")
+def month_patch(t: tables) -> DataFrame:
+    # orders of one month take the status of their dearest line; other months' files stay as they are
+    path = scratch_path(t.spark, "orders-by-month")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("order_month")
+    snapshot = write_snapshot(t.orders.select("o_orderkey", "o_orderstatus", month), path, partition_by=["order_month"])
+    march = t.orders.where((F.col("o_orderdate") >= "1995-03-01") & (F.col("o_orderdate") < "1995-04-01")).select("o_orderkey", month)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linestatus", "l_extendedprice", "l_linenumber")
+    best = changes.one_match(lines.join(march, "o_orderkey"), "o_orderkey", [-F.col("l_extendedprice"), F.col("l_linenumber")])
+    return changes.patch_snapshot(snapshot, path, best, "o_orderkey", "order_month", {"o_orderstatus": "l_linestatus"})
+
+
+@query("alert_once", "G1 G3", """
+SELECT DISTINCT user_id, 'WARNING: values above 100 for user ' || CAST(user_id AS VARCHAR) AS message FROM events WHERE value > 100""")
+def alert_once(t: tables) -> DataFrame:
+    # events arrive in several batches, each of them delivered twice
+    arriving, sink = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "alerts")
+    for _ in range(2):
+        t.events.repartition(3, "event_id").write.mode("append").parquet(arriving)
+    message = F.concat(F.lit("WARNING: values above 100 for user "), F.col("user_id").cast("string"))
+    guards.alert_once_stream(t.spark, arriving, t.events.schema, F.col("value") > 100, "user_id", message, sink, event_key="event_id", files_per_batch=2)
+    return t.spark.read.schema(f"user_id {t.events.schema['user_id'].dataType.simpleString()}, message string").parquet(sink)
+
+
+@query("publish_change", "G2 G3 S8", """
+SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_totalprice > 25000""")
+def publish_change(t: tables) -> DataFrame:
+    # a new version is guarded, split by its rule, published and read back
+    new = t.orders.select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    rules = {"price_gt_50000": F.col("o_totalprice") > 50000}
+    done = guards.publish_snapshot(t.orders, new, scratch_path(t.spark, "orders-published"), "o_orderkey", rules=rules, forbid_deletes=False)
+    if done["deleted"] != done["rejected"]:  # order keys are unique: what a rule refuses is what the guard misses
+        raise ValueError(f"publish: {done}")
+    return t.spark.read.schema(new.schema).parquet(done["path"])
+
+
+@query("stratified_sample", "L5 M2 D20", f"""
+SELECT o_orderkey, o_orderstatus FROM (
+  SELECT o_orderkey, o_orderstatus,
+         ROW_NUMBER() OVER (PARTITION BY o_orderstatus ORDER BY {stable_uniform_sql('o_orderkey', 11)}, o_orderkey) AS rn FROM orders)
+WHERE rn <= 25""")
+def stratified_sample(t: tables) -> DataFrame:
+    return ranking.stratified_sample(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", "o_orderkey", 25, seed=11)
+
+
+@query("nth_value_records", "W10 D19", """
+SELECT c_custkey, c_acctbal, NTH_VALUE(c_acctbal, 5) OVER (ORDER BY c_acctbal DESC NULLS LAST) AS nth_c_acctbal FROM customer""")
+def nth_value_records(t: tables) -> DataFrame:
+    return ranking.nth_value_rows(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", 5, frame="default")
+
+
+@query("sql_current_age", "X1 DT7", """
+SELECT o_orderkey, CAST(1999 - year(o_orderdate) AS BIGINT) AS age FROM orders""")
+def sql_current_age(t: tables) -> DataFrame:
+    register_sql_functions(t.spark)
+    t.orders.createOrReplaceTempView("orders_for_age")
+    return t.spark.sql("SELECT o_orderkey, CAST(current_age(year(o_orderdate), DATE'1999-06-30') AS BIGINT) AS age FROM orders_for_age")
+
+
+@query("sql_unique_per_prefix", "X2 A3 F10", """
+SELECT p_name AS drug_name, COUNT(DISTINCT o_custkey) AS n_patients
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey WHERE p_name ILIKE 'r%' GROUP BY 1""")
+def sql_unique_per_prefix(t: tables) -> DataFrame:
+    given = t.lineitem.select("l_orderkey", "l_partkey").join(t.part.select("p_partkey", "p_name"), F.col("p_partkey") == F.col("l_partkey"))
+    given = given.join(t.orders.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    given.select(F.col("o_custkey").alias("inpatient_number"), F.col("p_name").alias("drug_name")).createOrReplaceTempView("prescribed")
+    register_sql_functions(t.spark, prescriptions_view="prescribed")
+    return t.spark.sql("SELECT drug_name, n_patients FROM unique_patients_per_drug('R')")
+
+
+@query("sql_share", "X3 T13 A15", """
+SELECT o_orderpriority AS group_value, COUNT(*) AS n, ROUND(COUNT(*)::DOUBLE * 100.0 / (SELECT COUNT(*) FROM orders), 2) AS pct
+FROM orders GROUP BY 1""")
+def sql_share(t: tables) -> DataFrame:
+    t.orders.createOrReplaceTempView("orders_for_share")
+    return share_of_total_sql(t.spark, "orders_for_share", "o_orderpriority")
+
+
 # ------------------------------------------------------------ plain filters
 
 @query("oxygen_style_filter", "F3 F7 F11", """
@@ -1209,5 +1327,7 @@ RESTATES: dict[str, str] = {
     "range_lookup": "Q6", "lookup_or_report": "Q42", "delete_guard": "Q22", "constrained_ingest": "Q56",
     "inline_rows_appended": "Q35", "sink_round_trip": "Q35", "text_against_number": "Q51 B5", "letters_by_place": "Q25",
     "days_to_today": "Q16", "null_counts": "B2", "null_ranks": "B4", "first_value_record": "B2", "null_keys_joined": "B7",
-    "alerts": "Q75", "oxygen_style_filter": "Q31", "threshold_list": "Q49", "flagged_count_two_keys": "B16",
+    "distinct_rollup": "B7", "linked_closure": "Q80", "month_patch": "Q2 Q13", "alert_once": "Q75", "publish_change": "Q22",
+    "stratified_sample": "Q43", "nth_value_records": "B3", "sql_current_age": "Q1", "sql_unique_per_prefix": "Q20",
+    "sql_share": "Q6", "alerts": "Q75", "oxygen_style_filter": "Q31", "threshold_list": "Q49", "flagged_count_two_keys": "B16",
 }

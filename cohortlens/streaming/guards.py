@@ -79,6 +79,41 @@ def alert_stream(
     return q
 
 
+def alert_once_stream(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType,
+    predicate: Column,
+    entity: str,
+    message: Column,
+    sink_dir: str,
+    *,
+    event_key: str,
+    files_per_batch: int = 1,
+    glob: str | None = None,
+    checkpoint_dir: str | None = None,
+):
+    """G1/G3 with keyed state: each entity is warned of once, whatever the number
+    of its events, batches and restarts; an event delivered again, in any
+    batch, counts once.
+
+    Both memories (event keys seen, entities warned) are Spark state stores
+    beside the sink, partitioned by their key.  ``message`` may use ``entity``
+    alone, so the warning does not depend on which event of a batch came first.
+    Runs with ``availableNow``, ``files_per_batch`` files a batch; returns the
+    finished query.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    ckpt = _progress_folder(spark, sink_dir, checkpoint_dir)
+    events = reader.parquet(source_dir).dropDuplicates([event_key]).where(predicate)
+    warned = events.select(entity).dropDuplicates([entity]).select(entity, message.alias("message"))
+    q = warned.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
 def ingest_stream(
     spark: SparkSession,
     source_dir: str,
