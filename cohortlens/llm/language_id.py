@@ -16,7 +16,6 @@ scored but never learned from.  Texts start after ``ORDER`` line feeds.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +36,6 @@ SAMPLE_DOCS = 600
 WINDOW = 1 << 18
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -216,7 +214,7 @@ def predict(docs: DataFrame, model: Broadcast, keep: list[str], text_col: str =
 
     def score(texts: list[str | None]) -> list:
         m: Model = model.value
-        rows = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)] if m.langs else []
+        rows = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))] if m.langs else []
         lang, best, per_byte = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
         if rows:
             whole = [texts[i].encode() for i in rows]

@@ -99,3 +99,9 @@ def test_odd_rows(spark, empty):
 def test_no_learned_language(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in L.identify(docs).collect()] == ["und"]
+
+
+def test_digits_and_signs_are_no_letters(spark):
+    rows = [(i, "the cat and the dog", "en") for i in range(1, 30)] + [(100 + i, t, None) for i, t in enumerate(["½", "²", "①", "Ⅷ", "1 2_3", "Ⅷ a"])]
+    got = {r.doc_id: r.lang_pred for r in L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[100 + i] for i in range(6)] == ["und"] * 5 + ["en"]
