@@ -58,7 +58,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings that the library takes out of a text before all else
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -103,10 +104,12 @@ class Encoder:
         return self.heads[word]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; new words of all of them are learned together."""
-        split = [t.split(" ") for t in texts]
-        self._learn(set(chain.from_iterable(split)))
-        return [self._join(parts) for parts in split]
+        """Ids of each text; new words of all of them are learned together.  A
+        text that holds an added token's string is encoded as a whole, since
+        that string is a border of its own wherever it stands."""
+        split = [None if any(a in t for a in self.added) else t.split(" ") for t in texts]
+        self._learn(set(chain.from_iterable(parts for parts in split if parts)))
+        return [self._fresh([t])[0] if parts is None else self._join(parts) for t, parts in zip(texts, split, strict=True)]
 
     def _join(self, parts: list[str]) -> bytes:
         head = parts[0]

@@ -18,12 +18,11 @@ PATH = public_tokenizers.path(T.TOKENIZER)
 
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 PLAIN, ENCODER = plain(), T.Encoder(PATH)
-piece = st.sampled_from([" ", " ", " ", "  ", "\n", "\n ", " \n", "\t", "a", "the", "word,", "l'eau", "it's", "'s", "12", "3.5", "É", "ñandú.", "größe;", "日本", " ", " ", "<|endoftext|>", "!?", "𝄞", "é", "\x1c", "​", "\x85"])
+piece = st.sampled_from([" ", " ", " ", "  ", "\n", "\n ", " \n", "\t", "a", "the", "word,", "l'eau", "it's", "'s", "12", "3.5", "É", "ñandú.", "größe;", "日本", " ", " ", "<|endoftext|>", "x<|endoftext|>y", "<|endof", "text|>", "!?", "𝄞", "é", "\x1c", "​", "\x85"])
 
 
 @settings(max_examples=1500, deadline=None)
@@ -122,3 +121,9 @@ def test_no_frequent_pair_is_left(ids, min_uses):
         if places.get(pair, [-2])[-1] < i - 1 or pair[0] != pair[1]:
             places.setdefault(pair, []).append(i)
     assert max(map(len, places.values()), default=0) < min_uses
+
+
+def test_added_tokens_strings_are_the_librarys_own():
+    texts = ["<|endoftext|>", "a<|endoftext|>b", "a <|endoftext|> b", "word <|endoftext|>, word", "<|endof text|>", "the <|endoftext|><|endoftext|>end"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode(texts)] == [PLAIN(t) for t in texts]
+    assert any(ENCODER.tokenizer.token_to_id("<|endoftext|>") in PLAIN(t) for t in texts)
