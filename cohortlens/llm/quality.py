@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import seeded, with_computed, written
+from cohortlens.operators.groups import exact_quantiles
 
 #: Cells of the hashed multinomials.
 BUCKETS = 1 << 17
-#: Trusted documents used, half for the target model, half for the threshold:
-#: a seeded draw of about this many over all trusted rows.
+#: Trusted documents that the target model is fitted on, at most about half of
+#: this many and half of all: a seeded draw over all trusted rows.  The
+#: threshold comes from all other trusted rows.
 TRUSTED_DOCS = 20_000
 #: Pseudo-count of the raw model in the target model.
 SMOOTHING = 50_000.0
@@ -116,7 +118,7 @@ def judge(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trust
     docs = documents.select("doc_id", "text")
     trusted = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     share = min(1.0, trusted_docs / max(1, trusted.count()))
-    drawn = written(trusted.withColumn("u", seeded(seed, "doc_id")).where(F.col("u") < share), "trusted")
+    drawn = written(trusted.withColumn("u", seeded(seed, "doc_id")), "trusted")
     ratio = spark.sparkContext.broadcast(_fit(docs, drawn.where(F.col("u") < share / 2).select("doc_id"), buckets))
 
     def score(texts: list[str | None]) -> list:
@@ -132,7 +134,9 @@ def judge(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trust
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MAX_REPEAT) * F.col("n_words"))
     scored = written(scored.withColumn("base_failed", failed), "scored")
 
-    held = scored.where(~F.col("base_failed")).join(F.broadcast(drawn.where(F.col("u") >= share / 2).select("doc_id")), "doc_id").select("llr").toPandas()["llr"].to_numpy()
-    low, middle = np.quantile(held, [miss, 0.5], method="lower") if len(held) else (0.0, 0.0)
+    unseen = drawn.where(F.col("u") >= share / 2).select("doc_id")
+    held = scored.where(~F.col("base_failed")).join(unseen, "doc_id").select("llr")
+    marks = exact_quantiles(held, [], "llr", {"low": miss, "middle": 0.5}).first()
+    low, middle = (marks["low"], marks["middle"]) if marks else (0.0, 0.0)
     threshold = float(low - slack * (middle - low))
     return scored.withColumn("threshold", F.lit(threshold)).select("doc_id", *names, "base_failed", (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"), "llr", "threshold")
