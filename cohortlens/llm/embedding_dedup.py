@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import UnionFind, by_group, components, in_blocks, seeded, with_computed, written
+from cohortlens.llm.common import SLICE_ROWS, UnionFind, by_group, components, in_blocks, seeded, with_computed, written
 
 COSINE = 0.98
 #: Classes that a cell should hold, and most cells in all (their centres are
@@ -161,12 +161,14 @@ def deduplicate(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str =
                 if c is None:  # one cell
                     yield part.assign(home=0, cell=0, visits=[[] for _ in range(len(part))])
                     continue
-                home, visits = cells_of(_matrix(part["unit"]), c, reach)
-                part = part.assign(home=home, visits=[np.flatnonzero(v).tolist() for v in visits])
-                yield part.assign(cell=home)
-                row, cell = np.nonzero(visits)
-                if len(row):
-                    yield part.iloc[row].assign(cell=cell)
+                for at in range(0, len(part), SLICE_ROWS):  # a few vectors against all centres at a time
+                    some = part.iloc[at : at + SLICE_ROWS]
+                    home, visits = cells_of(_matrix(some["unit"]), c, reach)
+                    some = some.assign(home=home, visits=[np.flatnonzero(v).tolist() for v in visits])
+                    yield some.assign(cell=home)
+                    row, cell = np.nonzero(visits)
+                    if len(row):
+                        yield some.iloc[row].assign(cell=cell)
 
     placed = classes.select("kind", "node", "n", "unit").mapInPandas(assign, "kind string, node string, n long, unit binary, home int, cell int, visits array<int>")
     placed = written(placed, "cells")
