@@ -3,6 +3,8 @@ order, linked components."""
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -65,6 +67,16 @@ _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolea
 SLICE_ROWS = 256
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold but no longer use: a
+    worker lives on for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim:
+        trim(0)
+
+
 def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[str, str], make: Callable[..., list]) -> DataFrame:
     """``keep`` columns of ``df`` untouched, then the ``added`` ones (name to
     type), which ``make`` works out from the ``use`` columns' Python lists,
@@ -81,6 +93,8 @@ def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[st
                 new = make(*[b.column(len(keep) + i).to_pylist() for i in range(len(use))])
                 arrays = [b.column(i) for i in range(len(keep))] + [pa.array(x, t) for x, t in zip(new, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, [f"k{i}" for i in range(len(keep))] + [f"a{i}" for i in range(len(new))])
+        whole = b = arrays = new = None
+        give_back()
 
     schema = ", ".join([f"{n} {t}" for n, t in kept] + [f"a{i} {t}" for i, t in enumerate(added.values())])
     out = own.mapInArrow(run, schema)
