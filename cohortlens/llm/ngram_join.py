@@ -5,8 +5,11 @@ form a class, which goes on as one.  In each of several runs the sets descend
 a tree: at a node every set goes on to the buckets of its ``BRANCH`` tokens
 that come first in a seeded order of that run and level, so two sets meet
 where they share a sampled token.  Buckets of up to ``LEAF`` classes are
-compared by brute force; larger ones split again, unless splitting does not
-shrink them (groups of near copies), which are then compared block by block.
+compared by brute force.  Larger ones are first held against a few leaders:
+rows that fold onto the same leader are connected by it and need no comparing
+with each other, so a group of near copies costs what it has rows.  Buckets
+that do not fold split again, unless splitting does not shrink them, which are
+then compared block by block.
 The number of runs follows from the target recall at the threshold.
 
 Comparing in a bucket means sizes and 128-bit minhash sketches, which leaves
@@ -47,6 +50,8 @@ SAMPLE, BRANCH = 64, 3
 #: Classes that a bucket may hold to be compared, levels of splitting, and the
 #: share of its parent above which a bucket counts as not shrinking.
 LEAF, DEPTH, DENSE = 400, 8, 0.6
+#: Leaders of a large bucket that its rows are first held against.
+LEADERS = 4
 #: Classes in a block of a bucket, and of a group that is settled.
 BUCKET_BLOCK, GROUP_BLOCK = 2000, 800
 #: Equal bits of 128 from which a pair is a candidate.  At a similarity of 0.8
@@ -211,28 +216,80 @@ def _small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from whole(held.reset_index(drop=True))
 
 
+def _heads(hot: DataFrame) -> DataFrame:
+    """``LEADERS`` classes of each bucket, drawn by seeded hashes of the node."""
+    return hot.groupBy("path").agg(*[F.min_by(F.struct("node", "n", "bits"), F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in range(LEADERS)])
+
+
+def _folded(hot: DataFrame, heads: DataFrame) -> DataFrame:
+    """``hot`` rows with the first leader of their bucket that they are a
+    candidate link of (``lead``, its node ``head``), or -1."""
+    own = hot.columns
+    led = hot.join(heads, "path", "left")
+    flat = [F.col(f"h{k}.{c}").alias(f"{c}{k}") for k in range(LEADERS) for c in ("node", "n", "bits")]
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            bits, n = _bit_matrix(df["bits"]), df["n"].to_numpy()
+            lead, head = np.full(len(df), -1), np.full(len(df), None, object)
+            for k in range(LEADERS):
+                take = (lead < 0) & _alike(bits, _bit_matrix(df[f"bits{k}"]), n, df[f"n{k}"].to_numpy())
+                lead[take], head[take] = k, df[f"node{k}"].to_numpy()[take]
+            yield df[own].assign(lead=lead, head=head)
+
+    kinds = ", ".join(f.simpleString().replace(":", " ", 1) for f in hot.schema.fields)
+    return led.select(*own, *flat).mapInPandas(fold, f"{kinds}, lead int, head binary")
+
+
+def _units(stay: DataFrame, block: int) -> DataFrame:
+    """The pairs of blocks of each bucket that still need comparing: rows of
+    the bucket's largest fold are linked through its leader already, so only
+    the other rows (``rest``) meet each other and all of that fold."""
+    own = F.pmod(F.hash("node"), F.greatest(F.when(F.col("same"), F.col("nm")).otherwise(F.col("nr")), F.lit(1)))
+    dealt = stay.withColumns({"nm": F.ceil(F.col("most") / block).cast("int"), "nr": F.ceil(F.col("rest") / block).cast("int"), "same": F.col("lead") == F.col("major")})
+    dealt = dealt.where("nr > 0").withColumn("blk", F.when(F.col("same"), F.col("nr")).otherwise(0) + own)
+    last = F.when(F.col("same"), F.col("nr")).otherwise(F.col("nr") + F.col("nm")) - 1
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.select("path", "node", "n", "bits", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"))
+
+
 def candidate_links(classes: DataFrame, runs: int, leaf: int = LEAF, depth: int = DEPTH, block: int = BUCKET_BLOCK) -> DataFrame:
     """``(node, root)`` forest edges of the candidate links of ``classes (node,
-    n, bits, sample)``, level by level."""
+    n, bits, sample)``, level by level.
+
+    Rows of a large bucket are first held against a few leaders of it.  Where
+    all but ``leaf`` rows fold onto one leader (a group of near copies) the
+    bucket ends there: the rest is compared with all its rows, the fold not
+    with itself, which its leader connects.  Work and shuffle are thus in
+    proportion to the group."""
     found: list[DataFrame] = []
     rows = written(_paths(classes, runs, 0), "paths")
     for level in range(1, depth + 1):
         # only the large buckets are named; the rest meet in one shuffle
-        large = written(rows.groupBy("path").agg(F.count("*").alias("m")).where(F.col("m") > leaf), "large")
-        small = rows.join(if_small(large.select("path")), "path", "left_anti").select("path", "node", "n", "bits")
+        large = written(rows.groupBy("path").agg(F.count("*").alias("m"), F.max("parent").alias("parent")).where(F.col("m") > leaf), "large")
+        names = if_small(large.select("path"))
+        small = rows.join(names, "path", "left_anti").select("path", "node", "n", "bits")
         small = small.repartition("path").sortWithinPartitions("path")
         found.append(written(small.mapInPandas(_small, "node binary, root binary"), "candidates"))
         if large.isEmpty():
             break
-        hot = written(rows.join(if_small(large), "path"), "hot")
-        stuck = F.lit(level == depth) | (F.col("m") > F.coalesce("parent", F.lit(1 << 62)) * DENSE)
-        stay = hot.where(stuck).select("path", "node", "n", "bits", "m")
+        hot = rows.join(names, "path", "left_semi").select("path", "node", "n", "bits", "run", "used")
+        folded = written(_folded(hot, if_small(written(_heads(hot), "heads"))), "folded")
+        found.append(folded.where("lead >= 0 and node <> head").select("node", F.col("head").alias("root")))
+        kinds = folded.groupBy("path", "lead").agg(F.count("*").alias("c")).groupBy("path")
+        # a bucket without any fold has nothing in common: all its rows are the rest
+        top = kinds.agg(F.max(F.when(F.col("lead") >= 0, F.struct("c", F.col("lead").alias("major")))).alias("top"))
+        facts = large.join(top, "path").select("path", "m", "parent", F.coalesce("top.major", F.lit(-2)).alias("major"), F.coalesce("top.c", F.lit(0)).alias("most"))
+        facts = facts.withColumn("rest", F.col("m") - F.col("most"))
+        over = F.lit(level == depth) | (F.col("rest") <= leaf) | (F.col("m") > F.coalesce("parent", F.lit(1 << 62)) * DENSE)
+        facts = written(facts.withColumn("over", over), "buckets")
+        known = if_small(facts)
         unit = ["path", "bi", "bj"]
-        dealt = in_blocks(stay.drop("m"), ["path"], "node", stay.select("path", "m").distinct(), block).repartition(*unit).sortWithinPartitions(*unit)
+        dealt = _units(folded.join(known.where("over and rest > 0"), "path"), block).repartition(*unit).sortWithinPartitions(*unit)
         found.append(written(dealt.mapInPandas(lambda f: by_group(f, ["path", "bi", "bj"], _bucket), "node binary, root binary"), "candidates"))
-        go = hot.where(~stuck)
-        if go.isEmpty():
+        if facts.where("not over").isEmpty():
             break
+        go = folded.join(known.where("not over").select("path", "m"), "path")
         below = go.select("node", "n", "bits", "path", "run", "used", F.col("m").alias("parent")).join(classes.select("node", "sample"), "node")
         rows = written(_paths(below, runs, level), "paths")
     out = found[0]
