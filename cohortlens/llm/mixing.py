@@ -11,7 +11,8 @@ Only sums per pattern and one cut per pattern meet on the driver, so what it
 holds grows with the number of patterns, not documents.  The choice itself is
 a function of the row, the plan and the seed.
 
-Cases: null text has size 0; a null source is a source, last in order; rows
+Cases: null text has size 0; a null source is a source, last in order, as is
+a null or empty array of sources; a source named twice in a row counts once; rows
 that agree in order key (same id and size) are taken or left together; null
 ids are drawn like the empty text; an empty table gives an empty mix.
 """
@@ -22,8 +23,9 @@ import json
 from collections import deque
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cohortlens.llm.common import n_words, ticket, written
 
@@ -108,6 +110,18 @@ class Plan:
     size: dict[str | None, int]
     flow: dict[tuple, int]
 
+    def credits(self, spark: SparkSession) -> DataFrame:
+        """Per pattern, its sources with their sizes, targets and shares of
+        the pattern's words, as an array ``credit``."""
+        held: dict[str, list] = {}
+        for p, s in self.flow:
+            held.setdefault(p, []).append(s)
+        rows = []
+        for p, names in held.items():
+            total = sum(self.flow[p, s] for s in names)
+            rows.append((p, [(s, int(self.size[s]), float(self.target[s]), self.flow[p, s] / total if total else 0.0) for s in names]))
+        return spark.createDataFrame(rows, "pattern string, credit array<struct<source: string, source_size: long, target: double, share: double>>")
+
 
 def pattern(members: Column) -> Column:
     """The sources of a row as one text."""
@@ -169,26 +183,55 @@ def copies(passes: Column, key: Column, cut: Column) -> Column:
     return passes + F.when(key <= cut, 1).otherwise(0)
 
 
-def mix(documents: DataFrame, weights: tuple[float, ...] | dict = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
+def memberships(documents: DataFrame, sources: str | list[str]) -> Column:
+    """The sources of a row as an array: an array column's entries, a plain
+    column's value, or the values of several columns, whose nulls name none.
+    A row without any (a null or empty array, all columns null) belongs to the
+    null source."""
+    if not isinstance(sources, str):
+        named = F.filter(F.array(*[F.col(c).cast("string") for c in sources]), lambda s: s.isNotNull())
+    elif isinstance(documents.schema[sources].dataType, ArrayType):
+        named = F.coalesce(F.col(sources).cast("array<string>"), F.array().cast("array<string>"))
+    else:
+        return F.array(F.col(sources).cast("string"))
+    return F.when(F.size(named) == 0, F.array(F.lit(None).cast("string"))).otherwise(named)
+
+
+def mix(documents: DataFrame, weights: tuple[float, ...] | dict = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED, sources: str | list[str] = "source") -> DataFrame:
     """One row per row of ``documents (doc_id, text, source)``: ``size``,
-    ``source_size``, ``target`` (its source's) and ``taken`` words."""
+    ``source_size``, ``target`` (its source's) and ``taken`` words.
+
+    Where ``sources`` is an array column or a list of columns, a document may
+    belong to several sources; ``given`` then stands for the source's columns:
+    an array of its sources, each with ``source_size``, ``target`` and the part
+    of the row's taken words that the flow counts for that source."""
     spark = documents.sparkSession
-    slim = documents.select("doc_id", n_words(F.col("text")).alias("size"), "source")
-    slim = written(slim.select("doc_id", "size", "source", pattern(F.array("source")).alias("pattern"), order_key(F.col("doc_id"), F.col("size"), seed).alias("key")), "sizes")
+    one = isinstance(sources, str) and not isinstance(documents.schema[sources].dataType, ArrayType)
+    members = memberships(documents, sources)
+    slim = documents.select("doc_id", n_words(F.col("text")).alias("size"), members.alias("members"))
+    slim = written(slim.select("doc_id", "size", F.col("members")[0].alias("source"), pattern(F.col("members")).alias("pattern"), order_key(F.col("doc_id"), F.col("size"), seed).alias("key")), "sizes")
     plan = make_plan(slim, weights, max_repeat=max_repeat)
-    facts = spark.createDataFrame([(s, int(plan.size[s]), float(plan.target[s])) for s in plan.size], "s string, source_size long, target double")
-    out = slim.join(F.broadcast(plan.rows), "pattern").join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("s")))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies(F.col("passes"), F.col("key"), F.col("cut"))).alias("taken"))
-
-
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] | dict = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
+    taken = (F.col("size") * copies(F.col("passes"), F.col("key"), F.col("cut"))).alias("taken")
+    out = slim.join(F.broadcast(plan.rows), "pattern")
+    if one:
+        facts = spark.createDataFrame([(s, int(plan.size[s]), float(plan.target[s])) for s in plan.size], "s string, source_size long, target double")
+        out = out.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("s")))
+        return out.select("doc_id", "size", "source_size", "target", taken)
+    credit = plan.credits(spark)
+    out = out.select("doc_id", "size", "pattern", taken).join(F.broadcast(credit), "pattern")
+    given = F.transform("credit", lambda c: F.struct(c["source"].alias("source"), c["source_size"].alias("source_size"), c["target"].alias("target"), (c["share"] * F.col("taken")).alias("taken")))
+    return out.select("doc_id", "size", "taken", given.alias("given"))
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str | list[str] = "source", weights: tuple[float, ...] | dict = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
     """The mixed documents themselves, with the columns of ``docs``: a row for
-    each time it is taken."""
+    each time it is taken.  ``source_col`` as ``sources`` of ``mix``."""
     own = docs.columns
     names = {c: f"d{i}" for i, c in enumerate(own)}
     named = docs.toDF(*names.values())
+    sources = names[source_col] if isinstance(source_col, str) else [names[c] for c in source_col]
     keyed = named.withColumns({
-        "pattern": pattern(F.array(names[source_col])),
+        "pattern": pattern(memberships(named, sources)),
         "key": order_key(F.col(names[id_col]), n_words(F.col(names[text_col])), seed),
     })
     plan = make_plan(written(keyed.select("pattern", "key"), "sizes"), weights, max_repeat=max_repeat)

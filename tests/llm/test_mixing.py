@@ -70,6 +70,44 @@ def test_overlapping_sources_share_documents(spark):
     assert sum(plan.flow.values()) >= 2390
 
 
+def given_words(out):
+    got, target = {}, {}
+    for r in out:
+        assert sum(g.taken for g in r.given) == pytest.approx(r.taken) and r.taken <= 3 * r["size"]
+        for g in r.given:
+            got[g.source] = got.get(g.source, 0) + g.taken
+            target[g.source] = g.target
+    return got, target
+
+
+def test_rows_of_overlapping_sources_meet_every_target(spark):
+    members = lambda i: ["a"] if i < 100 else ["b", "a", "b"] if i < 200 else ["b", None]
+    docs = spark.createDataFrame([(i, "w " * 10, members(i)) for i in range(240)], "doc_id long, text string, source array<string>")
+    weights = {"a": 1, "b": 8, None: 1}
+    got, target = given_words(M.mix(docs, weights).collect())
+    assert target == pytest.approx({"a": 240, "b": 1920, None: 240})
+    assert all(abs(got[s] - target[s]) <= 10 for s in target)  # one document
+    times = M.mixed_rows(docs, weights=weights).groupBy("doc_id").count().collect()
+    taken = {r.doc_id: r.taken for r in M.mix(docs, weights).collect() if r.taken}
+    assert taken == {r.doc_id: 10 * r["count"] for r in times}
+
+
+def test_sources_in_several_columns(spark):
+    rows = [(i, "w " * 10, "x" if i % 2 else None, "y" if i % 3 else None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, s1 string, s2 string")
+    as_array = docs.select("doc_id", "text", F.array_compact(F.array("s1", "s2")).alias("source"))
+    by_columns = sorted(M.mix(docs, sources=["s1", "s2"]).collect(), key=str)
+    assert by_columns == sorted(M.mix(as_array).collect(), key=str)
+    got, target = given_words(by_columns)
+    assert set(target) == {"x", "y", None} and all(abs(got[s] - target[s]) <= 10 for s in target)
+    assert M.mixed_rows(docs, source_col=["s1", "s2"]).columns == docs.columns
+    empty = docs.where("false")
+    assert M.mix(empty, sources=["s1", "s2"]).count() == 0 and M.mixed_rows(empty, source_col=["s1", "s2"]).count() == 0
+    odd = spark.createDataFrame([(1, "a b", None), (2, "a b", []), (None, None, [None, "x"]), (3, "a", ["x", "x"])], "doc_id long, text string, source array<string>")
+    named = {r.doc_id: [g.source for g in r.given] for r in M.mix(odd).collect()}
+    assert named == {1: [None], 2: [None], None: ["x", None], 3: ["x"]}
+
+
 @pytest.mark.parametrize("range_rows", [1, 7, 2000])
 def test_seeded_choice_is_the_same_for_any_range_and_partitioning(spark, monkeypatch, range_rows):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
