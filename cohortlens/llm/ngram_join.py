@@ -74,7 +74,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def runs_for(recall: float = RECALL, branch: int = BRANCH, share: tuple[int, int] = SHARE) -> int:
     """Runs until a pair at the threshold has met in a bucket with ``recall``:
     in one run two sets share none of their first tokens with a probability
-    of at most ``(1 - J)**branch`` a level; two levels are reckoned with."""
+    of about ``(1 - J)**branch`` a level; two levels are reckoned with.
+
+    All runs draw from one sample of a set, and sampled tokens are less alike
+    where one set contains the other, so what a pair at exactly 0.8 loses was
+    measured: with the default runs, after 1, 2, 4 and 6 levels, 4e-7, 1e-6, 6e-6
+    and 2e-5 for sets of equal size, 5e-6, 3e-5, 2e-4 and 7e-4 for a set and one
+    with a quarter more.  More similar pairs lose less; a higher ``recall``
+    gives more runs."""
     miss = 1 - (1 - (1 - share[0] / share[1]) ** branch) ** 2
     return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import ngram_join as J
 from cohortlens.llm.queries import ORACLES, QUERIES
@@ -83,6 +84,44 @@ def test_runs_reach_the_recall():
     assert met == 2000
 
 
+def _meets(x, y, run, depth, level=0):
+    """Whether two samples share a path of ``depth`` levels."""
+    a, b = J.picks(x, run, level), J.picks(y, run, level)
+    return any(level + 1 == depth or _meets(x[x != t], y[y != t], run, depth, level + 1) for t in a[np.isin(a, b)])
+
+
+@pytest.mark.parametrize("depth,loss", [(1, 5e-5), (2, 2e-4), (4, 1e-3)])
+def test_contained_pairs_keep_their_recall_over_levels(depth, loss):
+    rng, missed = np.random.default_rng(7), []
+    for _ in range(150):
+        small = _rand(rng, 400)  # similarity 0.8 to the larger set
+        x, y = np.sort(small)[: J.SAMPLE], np.sort(np.concatenate([small, _rand(rng, 100)]))[: J.SAMPLE]
+        missed.append(np.mean([not _meets(x, y, run, depth) for run in range(24)]))
+    assert np.mean(np.array(missed) ** J.runs_for()) <= loss
+
+
+def test_large_near_copy_group_is_not_compared_with_itself(spark):
+    """Rows dealt to comparisons grow with the group, not its square."""
+    dealt = {}
+    for m in (400, 800):
+        rng = np.random.default_rng(8)
+        base = _rand(rng, 300)
+        sets = [np.unique(np.concatenate([np.delete(base, i % 300), _rand(rng, 1)])) for i in range(m)]
+        rows = [(J.digest(s), len(s), J.minhash_bits(s), 7, 0, b"") for s in sets]
+        hot = spark.createDataFrame(rows, "node binary, n int, bits binary, path long, run int, used binary")
+        folded = J._folded(hot, J._heads(hot))
+        assert folded.where("lead < 0").count() == 0 and folded.where("lead = 0").count() > 0.99 * m
+        facts = folded.groupBy("path").agg(F.count_if(F.col("lead") == 0).alias("most"), F.count_if(F.col("lead") != 0).alias("rest"), F.lit(0).alias("major"))
+        dealt[m] = J._units(folded.join(facts, "path"), 50).count()
+    assert dealt[800] <= 2 * dealt[400] + 32
+    # three strangers in the bucket still meet every row
+    extra = spark.createDataFrame([(J.digest(s), len(s), J.minhash_bits(s), 7, 0, b"", -1, None) for s in (_rand(rng, 300) for _ in range(3))], folded.schema)
+    facts = spark.createDataFrame([(7, 800, 3, 0)], "path long, most long, rest long, major int")
+    units = J._units(folded.withColumn("lead", F.lit(0)).union(extra).join(facts, "path"), 50)
+    got = units.groupBy("bi", "bj").agg(F.count_if(F.col("blk") == F.col("bi")).alias("a"), F.count_if(F.col("blk") == F.col("bj")).alias("b")).where("bi = 0").collect()
+    assert {r.bj for r in got} == set(range(17)) and sum(r.b for r in got if r.bj) == 800 and all(r.a == 3 for r in got)
+
+
 def _rand(rng, n):
     return rng.integers(0, 1 << 63, n, np.uint64)
 
