@@ -23,13 +23,15 @@ shard of its own; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,8 +46,13 @@ SHARD_IDS = 1 << 20
 SYMBOLS = 1 << 16
 #: Least uses of a rule, and how the bound falls from one round to the next.
 MIN_USES, FALL = 6, 8
-#: Words that a task remembers, and texts whose new words are learned together.
-MEMO, TOGETHER = 1_000_000, 64
+#: Words that a task remembers, and characters of texts that are encoded together.
+MEMO, TOGETHER = 1_000_000, 1 << 23
+#: Rows of a batch that are taken out of it at a time, and words filled in at a time.
+ROWS, BLOCK = 4096, 1 << 18
+
+# letters that every Unicode version takes for letters
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 
 _MAGIC = b"RPG1"
 
@@ -60,68 +67,138 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # strings that the library takes out of a text before all else
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # ids of words after a space and of pieces after none; older ones last
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space, as byte-level vocabularies write it
-        self.marks = dict(zip(",.;:!?", self._fresh(list(",.;:!?")), strict=True))
 
     def _fresh(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of all words that a space in front sets apart."""
-        known = self.known
-        if len(known) > MEMO:
-            known.clear()
-        missing = {w for w in words.difference(known) if w and not w[0].isspace() and not w[-1].isspace()}
-        # letters and a mark after them are encoded apart, and the letters may be known
-        marked = [w for w in missing if w[-1] in self.marks and w[:-1].isalpha() and max(w) < "\u0250"]
-        missing.difference_update(marked)
-        missing.update([w[:-1] for w in marked if w[:-1] not in known])
-        self._learn_whole(list(missing))
-        known.update([(w, known[w[:-1]] + self.marks[w[-1]]) for w in marked])
-
-    def _learn_whole(self, new: list[str]) -> None:
-        """Encode new words together; each starts where an id starts with a space."""
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words that a space in front sets apart."""
+        known, older = self.known, self.older
+        found = list(map(known.get, words))
+        at, whole, cut = [], [], []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            w = words[i]
+            if w in older:
+                found[i] = known[w] = older[w]
+            elif w.isalpha():
+                at.append(i)
+                whole.append(w)
+            else:
+                # letters and what follows them are encoded apart, and both may be known
+                p = _LETTERS.match(w)[0]
+                if p and w[len(p)] < "\x80":
+                    cut.append((i, p, w[len(p) :]))
+                else:
+                    at.append(i)
+                    whole.append(w)
+        letters = {p for _, p, _ in cut if p not in known and p not in older}.difference(whole)
+        whole.extend(letters)
+        fresh = self._whole(whole)
+        known.update(zip(whole, fresh, strict=True))
+        for i, ids in zip(at, fresh, strict=False):
+            found[i] = ids
+        for (i, p, _), tail in zip(cut, self._pieces([t for _, _, t in cut]), strict=True):
+            found[i] = known[words[i]] = (known.get(p) or older[p]) + tail
+        if len(known) > MEMO // 2:
+            self.known, self.older = {}, known
+        return found
+
+    def _whole(self, new: list[str]) -> list[bytes]:
+        """New words encoded together; each starts where an id starts with a space."""
         if not new:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + w for w in new])], add_special_tokens=False)[0].ids, "<u4")
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         at = np.flatnonzero(self.opens[ids])
         if len(at) != len(new):
-            self.known.update(zip(new, self._fresh([" " + w for w in new]), strict=True))
-            return
+            return self._fresh([" " + w for w in new])
         raw, cuts = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-        self.known.update((w, raw[a:b]) for w, a, b in zip(new, cuts[:-1], cuts[1:], strict=True))
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def _head(self, word: str) -> bytes:
-        """Ids of a first word, which has no space in front."""
-        if word not in self.heads:
-            if len(self.heads) > MEMO // 10:
-                self.heads.clear()
-            self.heads[word] = self._fresh([word])[0]
-        return self.heads[word]
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that no space stands in front of."""
+        if len(self.heads) > MEMO // 10:
+            self.heads.clear()
+        new = [p for p in dict.fromkeys(pieces) if p not in self.heads]
+        self.heads.update(zip(new, self._fresh(new), strict=True))
+        return [self.heads[p] for p in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; new words of all of them are learned together.  A
-        text that holds an added token's string is encoded as a whole, since
-        that string is a border of its own wherever it stands."""
-        split = [None if any(a in t for a in self.added) else t.split(" ") for t in texts]
-        self._learn(set(chain.from_iterable(parts for parts in split if parts)))
-        return [self._fresh([t])[0] if parts is None else self._join(parts) for t, parts in zip(texts, split, strict=True)]
-
-    def _join(self, parts: list[str]) -> bytes:
-        head = parts[0]
-        if len(parts) == 1:
-            return self._fresh(parts)[0] if head else b""
-        if head and not head[-1].isspace():
-            try:
-                return self._head(head) + b"".join(map(self.known.__getitem__, islice(parts, 1, None)))
-            except KeyError:
-                pass
-        # some space has white space at its side: cut at the others only
-        pieces, held = [], head
+        """Ids of each text.  A text that holds an added token's string is
+        encoded as a whole, since that string is a border of its own wherever it
+        stands."""
+        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        out = dict(zip(whole, self._fresh([texts[i] for i in whole]), strict=True))
+        rest = [i for i in range(len(texts)) if i not in whole]
+        at = 0
+        while at < len(rest):
+            end, size = at, 0
+            while end < len(rest) and (end == at or size + len(texts[rest[end]]) <= TOGETHER):
+                size += len(texts[rest[end]])
+                end += 1
+            out.update(zip(rest[at:end], self._together([texts[i] for i in rest[at:end]]), strict=True))
+            at = end
+        return [out[i] for i in range(len(texts))]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts by their distinct words: each is looked up once, and the
+        places are filled in from the words' numbers."""
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        first = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.dictionary_encode()
+        number, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+        # some space has white space (or an end) at its side: not a border
+        trimmed = pc.utf8_trim_whitespace(coded.dictionary)
+        odd = pc.or_(pc.equal(trimmed, ""), pc.not_equal(trimmed, coded.dictionary)).to_numpy(zero_copy_only=False)
+        plain = np.ones(len(texts), bool)
+        used = np.ones(len(words), bool)
+        if odd.any():
+            plain = ~np.logical_or.reduceat(odd[number], first[:-1])
+            used[:] = False
+            used[number[np.repeat(plain, np.diff(first))]] = True
+        ids = self._words(words[used].tolist())
+        row = np.cumsum(used, dtype=np.int32) - 1
+        rows = row[number]
+        rows[first[:-1][plain]] = len(ids) + np.arange(plain.sum())
+        ids += self._pieces(words[number[first[:-1][plain]]].tolist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = np.cumsum(lengths) - lengths
+        table = np.frombuffer(b"".join(ids), "<u4")
+        out, held = [], []
+        for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+            if not plain[i]:
+                out.append(self._odd(texts[i].split(" ")))
+                continue
+            out.append(b"")
+            held.append(i)
+            if i + 1 == len(texts) or not plain[i + 1] or b - int(first[held[0]]) >= BLOCK:
+                spans = self._filled(rows[first[held[0]] : b], lengths, begins, table)
+                ends = np.r_[0, np.cumsum(lengths[rows[first[held[0]] : b]])][first[np.array(held) + 1] - first[held[0]]] * 4
+                for j, c, d in zip(held, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    out[j] = spans[c:d]
+                held = []
+        return out
+
+    @staticmethod
+    def _filled(rows: np.ndarray, lengths: np.ndarray, begins: np.ndarray, table: np.ndarray) -> bytes:
+        """The ids of the words numbered ``rows``, one after the other."""
+        out = []
+        for at in range(0, len(rows), BLOCK):
+            some = rows[at : at + BLOCK]
+            n = lengths[some]
+            ends = np.cumsum(n)
+            out.append(table[np.repeat(begins[some] - ends + n, n) + np.arange(ends[-1])].tobytes())
+        return b"".join(out)
+
+    def _odd(self, parts: list[str]) -> bytes:
+        """Ids of a text some of whose spaces are no borders: cut at the others."""
+        pieces, held = [], parts[0]
         for w in islice(parts, 1, None):
             if held and w and not held[-1].isspace() and not w[0].isspace():
                 pieces.append(held)
@@ -319,8 +396,8 @@ def write(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, shard
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([int(starts[-1])], pa.int64()), pa.array([blob], pa.binary())], ["part", "shard", "doc_ids", "n_ids", "blob"])
 
         for b in batches:
-            for at in range(0, b.num_rows, TOGETHER):
-                some = b.slice(at, TOGETHER)
+            for at in range(0, b.num_rows, ROWS):
+                some = b.slice(at, ROWS)
                 for doc_id, raw in zip(some.column("doc_id").to_pylist(), enc.encode(some.column("text").to_pylist()), strict=True):
                     held.append(raw + end)
                     ids.append(doc_id)
