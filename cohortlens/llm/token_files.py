@@ -47,9 +47,9 @@ SYMBOLS = 1 << 16
 #: Least uses of a rule, and how the bound falls from one round to the next.
 MIN_USES, FALL = 6, 8
 #: Words that a task remembers, and characters of texts that are encoded together.
-MEMO, TOGETHER = 1_000_000, 1 << 23
-#: Rows of a batch that are taken out of it at a time, and words filled in at a time.
-ROWS, BLOCK = 4096, 1 << 18
+MEMO, TOGETHER = 1_000_000, 1 << 22
+#: Rows of a batch that are taken out of it at a time, new words that the library gets at a time, places filled in at a time.
+ROWS, WORDS, BLOCK = 4096, 2048, 1 << 18
 
 # letters that every Unicode version takes for letters
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
@@ -112,14 +112,17 @@ class Encoder:
 
     def _whole(self, new: list[str]) -> list[bytes]:
         """New words encoded together; each starts where an id starts with a space."""
-        if not new:
-            return []
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-        at = np.flatnonzero(self.opens[ids])
-        if len(at) != len(new):
-            return self._fresh([" " + w for w in new])
-        raw, cuts = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        out = []
+        for start in range(0, len(new), WORDS):
+            some = new[start : start + WORDS]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) != len(some):
+                out += self._fresh([" " + w for w in some])
+                continue
+            raw, cuts = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces that no space stands in front of."""

@@ -127,3 +127,16 @@ def test_added_tokens_strings_are_the_librarys_own():
     texts = ["<|endoftext|>", "a<|endoftext|>b", "a <|endoftext|> b", "word <|endoftext|>, word", "<|endof text|>", "the <|endoftext|><|endoftext|>end"]
     assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode(texts)] == [PLAIN(t) for t in texts]
     assert any(ENCODER.tokenizer.token_to_id("<|endoftext|>") in PLAIN(t) for t in texts)
+
+
+def test_texts_encoded_together_equal_the_library_over_all_borders(monkeypatch):
+    """Small limits, so that chunks, blocks, groups of new words and both
+    generations of remembered words are all crossed."""
+    for name, value in (("MEMO", 40), ("TOGETHER", 60), ("WORDS", 3), ("BLOCK", 2)):
+        monkeypatch.setattr(T, name, value)
+    texts = ["", " ", "a", "a  b", "don't stop, 'tis fine", "end.\nNext word*** été, naïve!!", "é accent́ x", "tab\there \n and  there", "中文 words 中文, x1y2 3rd (359)",
+             "one<|endoftext|> two", "the, the. the the's the'll " * 9, "x " * 30 + "x", "İstanbul, ǅungla. ª º1"]
+    enc = T.Encoder(PATH)
+    wanted = [np.array(PLAIN(t), "<u4").tobytes() for t in texts]
+    assert enc.encode(texts) == wanted
+    assert enc.encode(texts[::-1] * 3) == wanted[::-1] * 3
