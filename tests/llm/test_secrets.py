@@ -178,3 +178,50 @@ def test_a_long_finding_gives_few_windows_to_draw_from():
     found = S._findings([f"key {run} end"])[0][0]
     assert len(found) <= S.DRAWABLE and found == S._findings([f"key {run} end"])[0][0]
     assert all(w.split("\n")[1] == str(len(found)) for w in found)
+
+
+def test_pieces_have_all_windows_of_a_finding():
+    text = "see " + "".join(chr(0x100 + i % 5000) for i in range(7000)) + " end"
+    for n in (1, 20, 40, 41, 50, 127, 355, 356, 360, 361, 1000, 6999):
+        parts = S.pieces(text, 4, 4 + n)
+        assert len(parts) <= S.DRAWABLE
+        assert [w for p in parts for w in S.piece_windows(p)] == list(S.windows(text, 4, 4 + n))
+
+
+def test_examples_of_all_turns_show_every_window_and_word():
+    run = "".join(random.Random(2).choice("0123456789abcdef") for _ in range(300))
+    found = [(1, p, 1) for p in S.pieces(f"key {run} end", 4, 304)] + [(0, next(S.windows(f"a {'word' * 6} b{i}", 2, 26)), 1) for i in range(9)]
+    words = ["".join(random.Random(i).choices("abcdefgh", k=7)) for i in range(50)]
+    shown, want = set(), {w for _, p, _ in found for w in S.piece_windows(p)}
+    for turn in range(S.ROUNDS):
+        unread = words[turn :: S.ROUNDS]
+        x, y, weight, drawn = S.examples(found, words, np.random.default_rng(turn), 5, turn, S.ROUNDS)
+        assert len(x) == len(y) == len(weight) == len(drawn) and weight[~drawn].sum() == pytest.approx(10)
+        shown |= {r.tobytes() for r in x[~drawn]}
+        made = []
+        while unread:
+            made.append(S.composed(words, np.random.default_rng(3), unread))
+        assert made
+    assert shown == {r.tobytes() for r in S.codes(sorted(want))}
+
+
+def test_the_network_is_trained_on_all_findings_and_words(spark, monkeypatch):
+    """More findings than the 6,000 that were drawn, words anywhere in the texts,
+    in several groups; the same network however the rows lie."""
+    r = random.Random(6)
+    texts, words, keys = [], set(), set()
+    for i in range(230):
+        some = ["".join(r.choice("bcdfghk") for _ in range(6)) for _ in range(12)]
+        own = ["".join(r.choice("0123456789abcdef") for _ in range(32)) for _ in range(30)]
+        words.update(some)
+        keys.update(own)
+        texts.append(" ".join(w for k in zip(own, (some * 3)[:30]) for w in k) + " " + "x" * 25)
+    tables = []
+    monkeypatch.setattr(S, "written", lambda df, name: tables.append(df.cache()) or tables[-1])
+    monkeypatch.setattr(S, "GROUP", 4500)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    nets = [S.fit(docs.repartition(n)) for n in (1, 5)]
+    rows = tables[0].collect()
+    assert {x.w for x in rows if x.y == "w"} == words
+    assert len(keys) > 6000 and {x.w[S.BEFORE : S.BEFORE + S.INSIDE].rstrip("\0") for x in rows if x.y == "1"} == keys
+    assert nets[0].threshold == nets[1].threshold <= 1 and (nets[0].conv == nets[1].conv).all()
