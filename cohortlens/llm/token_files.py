@@ -221,8 +221,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+#: Bits of a cell in the hash table of pairs, which a core's cache holds.
+CELLS = 19
+
+
 def _cell(pairs: np.ndarray) -> np.ndarray:
-    return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - CELLS)
 
 
 def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds: int | None = None, fall: int = FALL) -> tuple[np.ndarray, np.ndarray]:
@@ -248,7 +252,7 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
             free[run[offset % 2 == 0]] = False
         # only cells of a hash table that are full enough can hold a frequent pair
         cell = _cell(pairs)
-        full = np.bincount(cell[free], minlength=1 << 20)[cell]
+        full = np.bincount(cell[free], minlength=1 << CELLS)[cell]
         bound = bound and max(min_uses, bound // fall)
         ordered = np.sort(pairs[free & (full >= (bound or min_uses))])
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
@@ -274,12 +278,12 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
         # the most frequent pairs take their places first, others where nothing
         # overlaps: that is every second place up a slope of ranks, and a peak
         # that is the second of both its slopes
-        index = np.arange(len(at))
+        index = np.arange(len(at), dtype=np.int32)
         rising = beside & np.r_[False, rank[:-1] < rank[1:]]
         falling = np.r_[beside[1:] & (rank[1:] < rank[:-1]), False]
-        up = index - np.maximum.accumulate(np.where(rising, 0, index))
-        down = np.minimum.accumulate(np.where(falling, len(at), index)[::-1])[::-1] - index
-        take = (rank < none) & (up % 2 == 0) & (down % 2 == 0)
+        up = index - np.maximum.accumulate(np.where(rising, np.int32(0), index))
+        down = np.minimum.accumulate(np.where(falling, np.int32(len(at)), index)[::-1])[::-1] - index
+        take = (rank < none) & ((up | down) & 1 == 0)
         uses = np.bincount(rank[take], minlength=none)
         worth = uses >= min_uses
         take &= np.r_[worth, False][rank]

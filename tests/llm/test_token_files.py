@@ -140,3 +140,14 @@ def test_texts_encoded_together_equal_the_library_over_all_borders(monkeypatch):
     wanted = [np.array(PLAIN(t), "<u4").tobytes() for t in texts]
     assert enc.encode(texts) == wanted
     assert enc.encode(texts[::-1] * 3) == wanted[::-1] * 3
+
+
+def test_rules_do_not_follow_the_size_of_the_hash_table(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = rng.choice(rng.integers(0, 500, 60), 30_000).astype(np.uint32)
+    out = []
+    for bits in (4, 12, T.CELLS):
+        monkeypatch.setattr(T, "CELLS", bits)
+        out.append(T.compress(ids, 500))
+    assert len(out[0][0]) > 100
+    assert all(np.array_equal(a, b) for o in out[1:] for a, b in zip(o, out[0], strict=True))
