@@ -65,6 +65,16 @@ _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolea
 
 #: Rows of an Arrow batch that are Python objects at a time.
 SLICE_ROWS = 256
+#: Bytes of an Arrow batch, where the session sets none.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of whole texts by bytes: for each task the JVM
+    holds a batch twice, and the worker once, outside the heap."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(BATCH_BYTES))
 
 
 def give_back() -> None:
@@ -85,6 +95,7 @@ def with_computed(df: DataFrame, keep: list[str], use: list[str], added: dict[st
     own = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], *[F.col(c).alias(f"u{i}") for i, c in enumerate(use)])
     kept = [f.simpleString().split(":", 1) for f in own.schema.fields[: len(keep)]]
     kinds = [_ARROW[t] for t in added.values()]
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

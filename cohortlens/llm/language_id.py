@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import seeded, with_computed
+from cohortlens.llm.common import give_back, seeded, small_batches, with_computed
 
 #: Longest context, in bytes.
 ORDER = 4
@@ -120,6 +120,8 @@ class Model:
             trees.append(Tree(own["gram"].to_numpy().astype(np.uint64), own["n"].to_numpy().astype(float)))
         keys = np.unique(np.concatenate([t.grams[ORDER] for t in trees])) if trees else np.zeros(0, np.uint64)
         costs = np.stack([t.bits(keys) for t in trees], axis=1).astype(np.float32) if trees else np.zeros((0, 0), np.float32)
+        for t in trees:  # the table has the longest grams of all languages, so no tree is asked for one
+            t.grams[ORDER], t.counts[ORDER] = t.grams[ORDER][:0].copy(), t.counts[ORDER][:0].copy()
         size = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 3))))
         slots = np.full(1 << size, -1, np.int32)
         shift = 64 - size
@@ -202,7 +204,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             for (lang, _), own in df.groupby(["lang", np.arange(len(df)) // 256]):
                 g, n = np.unique(np.concatenate([_grams(b"\n" * ORDER + t.encode()) for t in own["text"]]), return_counts=True)
                 yield pd.DataFrame({"lang": lang, "gram": g.astype(np.int64), "n": n})
+        give_back()
 
+    small_batches(docs.sparkSession)
     counts = sample.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return Model.fit(counts.toPandas())
 

@@ -5,10 +5,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import language_id as L
+from cohortlens.llm.common import BATCH_BYTES, small_batches
 
 SF = "/root/testdata/sf0.01"
 
@@ -105,3 +107,28 @@ def test_digits_and_signs_are_no_letters(spark):
     rows = [(i, "the cat and the dog", "en") for i in range(1, 30)] + [(100 + i, t, None) for i, t in enumerate(["½", "²", "①", "Ⅷ", "1 2_3", "Ⅷ a"])]
     got = {r.doc_id: r.lang_pred for r in L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert [got[100 + i] for i in range(6)] == ["und"] * 5 + ["en"]
+
+
+def test_no_task_holds_many_long_texts_at_once(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    other = spark.newSession()
+    docs = other.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("the cat and "), 2000).alias("text"))
+    L.keep_identified(docs.withColumn("lang", F.lit("en")), sample_docs=1)
+    n, most = docs.mapInArrow(sizes, "n long, size long").agg(F.sum("n"), F.max("size")).first()
+    assert n == 2000 and most < 2 * BATCH_BYTES
+
+
+def test_a_limit_that_the_session_sets_is_kept(spark):
+    other, limit = spark.newSession(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    other.conf.set(limit, "1m")
+    small_batches(other)
+    assert other.conf.get(limit) == "1m"
+
+
+def test_trees_keep_only_what_the_table_lacks():
+    model = L.Model.fit(counts({"a": ["the cat sat on the mat"], "b": ["le chat est là"]}))
+    assert len(model.keys) and not any(len(t.grams[L.ORDER]) or len(t.counts[L.ORDER]) for t in model.trees)
+    assert all(len(t.contexts[L.ORDER]) for t in model.trees)
