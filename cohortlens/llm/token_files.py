@@ -13,7 +13,9 @@ Spark writes and reads in any store.
 
 Encoding is memoised per word: the tokenizer never joins characters across a
 single space between two others, so a text's ids are those of its words, each
-with the space in front.
+with the space in front.  Nor does it join the letters that a word starts with
+to other ASCII characters behind them, or anything across a single line end, so
+a word's ids are those of its letters and of the parts of what follows.
 
 Cases: a null text is empty and has the end id alone; null ids come first;
 documents with equal ids go by their text; a document longer than a shard is a
@@ -22,12 +24,13 @@ shard of its own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,83 +57,191 @@ ROWS, WORDS, BLOCK = 4096, 2048, 1 << 18
 # letters that every Unicode version takes for letters
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 
+# bytes of UTF-8: 0 in such letters, 1 other ASCII, 2 the first of another character
+_KIND = np.full(256, 2, np.uint8)
+_KIND[:0x80] = [not chr(c).isalpha() for c in range(0x80)]
+_KIND[0x80:0xC0] = _KIND[0xC3:0xCA] = 0
+
+#: Rows of ids: all ids, and where a row's begin and how many they are.
+Ragged = tuple[np.ndarray, np.ndarray, np.ndarray]
+_NOTHING: Ragged = (np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+
 _MAGIC = b"RPG1"
 
 
+def _strings(words: pa.StringArray) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def _ragged(raw: list[bytes]) -> Ragged:
+    lengths = np.fromiter(map(len, raw), np.int32, len(raw)) // 4
+    return np.frombuffer(b"".join(raw), "<u4"), np.cumsum(lengths, dtype=np.int64) - lengths, lengths
+
+
+def _joined(*tables: Ragged) -> Ragged:
+    """The rows of some tables in one, those of the first table first."""
+    ahead = np.cumsum([0] + [len(t[0]) for t in tables])
+    return np.concatenate([t[0] for t in tables]), np.concatenate([t[1] + n for t, n in zip(tables, ahead, strict=False)]), np.concatenate([t[2] for t in tables])
+
+
+def _filled(rows: np.ndarray, table: Ragged) -> np.ndarray:
+    """The ids of ``rows``, one after the other."""
+    flat, begins, lengths = table
+    out = []
+    for at in range(0, len(rows), BLOCK):
+        some = rows[at : at + BLOCK]
+        n = lengths[some]
+        ends = np.cumsum(n, dtype=np.int64)
+        out.append(flat[np.repeat(begins[some] - ends + n, n) + np.arange(ends[-1])])
+    return np.concatenate(out) if out else _NOTHING[0]
+
+
+def _cut(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray, np.ndarray]:
+    """The letters that each word starts with, and what follows them; a word
+    that starts with none, or with some before a character beyond ASCII, whole.
+    Last, whether the first part is letters alone."""
+    n, (_, offsets, data) = len(words), words.buffers()
+    if not n:
+        return words, words, np.zeros(0, bool)
+    offsets = np.frombuffer(offsets, np.int32)[words.offset : words.offset + n + 1]
+    raw = np.frombuffer(data, np.uint8)[: offsets[-1]]
+    kind = _KIND[raw]
+    signs = np.flatnonzero((raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7)) | (raw[:-1] == 0xC9) & (raw[1:] >= 0x90))
+    kind[signs] = 2
+    start, end = offsets[:-1], offsets[1:]
+    stops = np.r_[np.flatnonzero(kind), len(raw)].astype(np.int32)
+    stop = np.minimum(stops[np.searchsorted(stops, start)], end)
+    cut = (start < stop) & (np.r_[kind, np.uint8(0)][stop] == 1)
+    both = np.empty(2 * n + 1, np.int32)
+    both[::2], both[1::2] = offsets, np.where(cut, stop, end)
+    parts = pa.StringArray.from_buffers(2 * n, pa.py_buffer(both), data)
+    return parts.take(pa.array(np.arange(0, 2 * n, 2))), parts.take(pa.array(np.arange(1, 2 * n, 2))), cut | ((start < stop) & (stop == end))
+
+
+def _parts(piece: str) -> list[str]:
+    """A piece cut where the tokenizer does so whatever stands about: round a
+    line end between two other characters, and behind a line's first letters."""
+    lines = piece.split("\n")
+    if not all(a and b and not a[-1].isspace() and not b[0].isspace() for a, b in zip(lines, lines[1:], strict=False)):
+        return [piece]
+    out = []
+    for i, line in enumerate(lines):
+        if i:
+            out.append("\n")
+        letters = _LETTERS.match(line)[0]
+        if letters and letters != line and line[len(letters)] < "\x80":
+            out += [letters, line[len(letters) :]]
+        else:
+            out.append(line)
+    return out
+
+
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # strings that the library takes out of a text before all else
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # ids of words after a space and of pieces after none; older ones last
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        # letters and whole words after a space: the rows of their ids; pieces after none: their ids
+        self.known: dict[str, int] = {}
+        self.table = _NOTHING
+        self.heads: dict[str, bytes] = {"": b""}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        # letters alone need no search for borders: the library gets them as its own byte table writes them
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        written = dict(zip(range(256), map(chr, range(256)), strict=True))
+        for c in filter(_LETTERS.fullmatch, map(chr, range(0x250))):
+            written.update(zip(c.encode(), byte_level.pre_tokenize_str(c)[0][0], strict=True))
+        self.written = "".join(written.values())
+        self.letters = Tokenizer.from_file(path)
+        self.letters.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space, as byte-level vocabularies write it
+        self.line_end = np.zeros(len(self.opens), bool)
+        self.line_end[vocab["\u010a"]] = True  # likewise
 
     def _fresh(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words that a space in front sets apart."""
-        known, older = self.known, self.older
-        found = list(map(known.get, words))
-        at, whole, cut = [], [], []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            w = words[i]
-            if w in older:
-                found[i] = known[w] = older[w]
-            elif w.isalpha():
-                at.append(i)
-                whole.append(w)
-            else:
-                # letters and what follows them are encoded apart, and both may be known
-                p = _LETTERS.match(w)[0]
-                if p and w[len(p)] < "\x80":
-                    cut.append((i, p, w[len(p) :]))
-                else:
-                    at.append(i)
-                    whole.append(w)
-        letters = {p for _, p, _ in cut if p not in known and p not in older}.difference(whole)
-        whole.extend(letters)
-        fresh = self._whole(whole)
-        known.update(zip(whole, fresh, strict=True))
-        for i, ids in zip(at, fresh, strict=False):
-            found[i] = ids
-        for (i, p, _), tail in zip(cut, self._pieces([t for _, _, t in cut]), strict=True):
-            found[i] = known[words[i]] = (known.get(p) or older[p]) + tail
-        if len(known) > MEMO // 2:
-            self.known, self.older = {}, known
-        return found
-
-    def _whole(self, new: list[str]) -> list[bytes]:
-        """New words encoded together; each starts where an id starts with a space."""
-        out = []
-        for start in range(0, len(new), WORDS):
-            some = new[start : start + WORDS]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) != len(some):
-                out += self._fresh([" " + w for w in some])
-                continue
-            raw, cuts = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        return out
+    def _words(self, words: pa.StringArray) -> Ragged:
+        """Ids of distinct words that a space in front sets apart: those of the
+        letters that a word starts with, then those of what follows them."""
+        starts, tails, alone = _cut(words)
+        starts, tails = starts.dictionary_encode(), tails.dictionary_encode()
+        letters = np.zeros(len(starts.dictionary), bool)
+        letters[starts.indices.to_numpy()] = alone
+        first = _strings(starts.dictionary)
+        rows = self._rows(first, letters)[starts.indices.to_numpy()]
+        ends = _ragged(self._pieces(_strings(tails.dictionary)))
+        parts = _joined(self.table, ends)
+        both = np.empty(2 * len(words), np.int64)
+        both[::2], both[1::2] = rows, len(self.table[1]) + tails.indices.to_numpy()
+        flat = _filled(both, parts)
+        lengths = parts[2][both].reshape(-1, 2).sum(axis=1, dtype=np.int32)
+        if len(self.known) > MEMO:
+            self._forget(first)
+        return flat, np.cumsum(lengths) - lengths, lengths
+
+    def _rows(self, words: list[str], letters: np.ndarray) -> np.ndarray:
+        """Rows of distinct words in the table, which gets those not known;
+        ``letters`` marks those of such letters alone."""
+        known, added = self.known, []
+        rows = np.array(list(map(known.get, words, repeat(-1))), np.int64)
+        unknown = rows < 0
+        for alone in (False, True):
+            at = np.flatnonzero(unknown & (letters == alone))
+            new, n = [words[i] for i in at.tolist()], len(known)
+            known.update(zip(new, range(n, n + len(new)), strict=True))
+            rows[at] = np.arange(n, n + len(new))
+            added += [self._after_space(new[i : i + WORDS], alone) for i in range(0, len(new), WORDS)]
+        if added:
+            self.table = _joined(self.table, *added)
+        return rows
+
+    def _forget(self, words: list[str]) -> None:
+        """Remember only ``words``, the last ones met."""
+        rows = np.array([self.known[w] for w in words], np.int64)
+        lengths = self.table[2][rows]
+        self.table = _filled(rows, self.table), np.cumsum(lengths) - lengths, lengths
+        self.known = dict(zip(words, range(len(words)), strict=True))
+
+    def _after_space(self, words: list[str], letters: bool) -> Ragged:
+        """Ids of words, of letters alone or any, each with a space in front."""
+        if letters:
+            return self._apart(self.letters, codecs.charmap_decode((" " + " ".join(words)).encode(), "strict", self.written)[0].replace(" ", " \u0120"), words, " ")
+        return self._apart(self.tokenizer, " " + " ".join(words), words, " ")
+
+    def _apart(self, tokenizer, text: str, pieces: list[str], border: str) -> Ragged:
+        """Ids of pieces that the library gets in one text, each behind a
+        border: a space, which is part of a piece's first id, or a line end,
+        which has an id of its own."""
+        opens, skip = (self.opens, 0) if border == " " else (self.line_end, 1)
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(opens[ids])
+        if len(at) != len(pieces):
+            return _ragged([x[4 * skip :] for x in self._fresh([border + p for p in pieces])])
+        return ids, at + skip, np.diff(np.r_[at, len(ids)]).astype(np.int32) - np.int32(skip)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that no space stands in front of."""
-        if len(self.heads) > MEMO // 10:
-            self.heads.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.heads]
-        self.heads.update(zip(new, self._fresh(new), strict=True))
-        return [self.heads[p] for p in pieces]
+        """Ids of pieces that no space stands in front of, by their parts."""
+        heads = self.heads
+        if len(heads) > MEMO // 10:
+            heads = self.heads = {"": b""}
+        parts = list(map(_parts, pieces))
+        new = list(dict.fromkeys(x for some in parts for x in some if x not in heads))
+        lone = [p for p in new if not (p[0].isspace() or p[-1].isspace() or "\n" in p)]
+        for i in range(0, len(lone), WORDS):
+            some = lone[i : i + WORDS]
+            flat, begins, lengths = self._apart(self.tokenizer, "\n" + "\n".join(some), some, "\n")
+            raw = flat.astype("<u4").tobytes()
+            heads.update((p, raw[4 * a : 4 * (a + n)]) for p, a, n in zip(some, begins.tolist(), lengths.tolist(), strict=True))
+        rest = [p for p in new if p not in heads]
+        heads.update(zip(rest, self._fresh(rest), strict=True))
+        return [heads[x[0]] if len(x) == 1 else b"".join([heads[p] for p in x]) for x in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text.  A text that holds an added token's string is
@@ -155,24 +266,21 @@ class Encoder:
         split = pc.split_pattern(pa.array(texts, pa.string()), " ")
         first = split.offsets.to_numpy().astype(np.int64)
         coded = split.values.dictionary_encode()
-        number, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+        number, words = coded.indices.to_numpy(), coded.dictionary
         # some space has white space (or an end) at its side: not a border
-        trimmed = pc.utf8_trim_whitespace(coded.dictionary)
-        odd = pc.or_(pc.equal(trimmed, ""), pc.not_equal(trimmed, coded.dictionary)).to_numpy(zero_copy_only=False)
+        trimmed = pc.utf8_trim_whitespace(words)
+        odd = pc.or_(pc.equal(trimmed, ""), pc.not_equal(trimmed, words)).to_numpy(zero_copy_only=False)
         plain = np.ones(len(texts), bool)
         used = np.ones(len(words), bool)
         if odd.any():
             plain = ~np.logical_or.reduceat(odd[number], first[:-1])
             used[:] = False
             used[number[np.repeat(plain, np.diff(first))]] = True
-        ids = self._words(words[used].tolist())
+        ids = self._words(words.filter(pa.array(used)))
         row = np.cumsum(used, dtype=np.int32) - 1
         rows = row[number]
-        rows[first[:-1][plain]] = len(ids) + np.arange(plain.sum())
-        ids += self._pieces(words[number[first[:-1][plain]]].tolist())
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begins = np.cumsum(lengths) - lengths
-        table = np.frombuffer(b"".join(ids), "<u4")
+        rows[first[:-1][plain]] = len(ids[1]) + np.arange(plain.sum())
+        ids = _joined(ids, _ragged(self._pieces(_strings(words.take(pa.array(number[first[:-1][plain]]))))))
         out, held = [], []
         for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
             if not plain[i]:
@@ -181,24 +289,14 @@ class Encoder:
             out.append(b"")
             held.append(i)
             if i + 1 == len(texts) or not plain[i + 1] or b - int(first[held[0]]) >= BLOCK:
-                spans = self._filled(rows[first[held[0]] : b], lengths, begins, table)
-                ends = np.r_[0, np.cumsum(lengths[rows[first[held[0]] : b]])][first[np.array(held) + 1] - first[held[0]]] * 4
+                some = rows[first[held[0]] : b]
+                spans = _filled(some, ids).tobytes()
+                ends = np.r_[0, np.cumsum(ids[2][some], dtype=np.int64)][first[np.array(held) + 1] - first[held[0]]] * 4
                 for j, c, d in zip(held, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
                     out[j] = spans[c:d]
                 held = []
         return out
 
-    @staticmethod
-    def _filled(rows: np.ndarray, lengths: np.ndarray, begins: np.ndarray, table: np.ndarray) -> bytes:
-        """The ids of the words numbered ``rows``, one after the other."""
-        out = []
-        for at in range(0, len(rows), BLOCK):
-            some = rows[at : at + BLOCK]
-            n = lengths[some]
-            ends = np.cumsum(n)
-            out.append(table[np.repeat(begins[some] - ends + n, n) + np.arange(ends[-1])].tobytes())
-        return b"".join(out)
-
     def _odd(self, parts: list[str]) -> bytes:
         """Ids of a text some of whose spaces are no borders: cut at the others."""
         pieces, held = [], parts[0]
@@ -241,20 +339,24 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
     at = np.arange(max(0, len(seq) - 1))
     while len(at) and n_rules < SYMBOLS - terminals and n_rounds != rounds:
         n_rounds += 1
-        pairs = (seq[at] << np.uint32(16)) | seq[at + 1]
+        pairs = (seq.take(at) << np.uint32(16)) | seq.take(at + 1)
         beside = np.r_[False, at[1:] == at[:-1] + 1]
         # in a run of one symbol every second place may start a pair
-        free = np.ones(len(at), bool)
+        free, second = np.ones(len(at), bool), at[:0]
         run = np.flatnonzero(beside & np.r_[False, pairs[1:] == pairs[:-1]])
         if len(run):
             first = np.r_[True, np.diff(run) > 1]
             offset = run - np.maximum.accumulate(np.where(first, run, 0))
-            free[run[offset % 2 == 0]] = False
+            second = run[offset % 2 == 0]
+            free[second] = False
         # only cells of a hash table that are full enough can hold a frequent pair
-        cell = _cell(pairs)
-        full = np.bincount(cell[free], minlength=1 << CELLS)[cell]
+        cell = _cell(pairs).astype(np.intp)
+        held = np.bincount(cell, minlength=1 << CELLS) - np.bincount(cell[second], minlength=1 << CELLS)
+        warm = np.flatnonzero((held >= min_uses).take(cell))
+        at, pairs, cell, free = at.take(warm), pairs.take(warm), cell.take(warm), free.take(warm)
         bound = bound and max(min_uses, bound // fall)
-        ordered = np.sort(pairs[free & (full >= (bound or min_uses))])
+        hot = free & (held >= bound).take(cell) if bound else free
+        ordered = np.sort(pairs.take(np.flatnonzero(hot)))
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
         counts = np.diff(np.r_[starts, len(ordered)])
         top = int(counts.max(initial=0))
@@ -270,37 +372,48 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
         none = np.int32(len(by_count))
         order = np.full(len(codes), none, np.int32)
         order[by_count] = np.arange(none, dtype=np.int32)
+        beside = np.r_[False, at[1:] == at[:-1] + 1][: len(at)]
         # rank of each place's pair, 0 for the most frequent
         rank = np.full(len(at), none, np.int32)
-        near = np.flatnonzero(free & (full >= bound))
-        slot = np.minimum(np.searchsorted(codes, pairs[near]), len(codes) - 1)
-        rank[near] = np.where(codes[slot] == pairs[near], order[slot], none)
+        cells = _cell(codes).astype(np.intp)
+        one = np.full(1 << CELLS, -1, np.int32)  # a code of each cell
+        one[cells] = np.arange(len(codes), dtype=np.int32)
+        slot = one.take(cell)
+        near = np.flatnonzero(free & (slot >= 0))
+        slot, pair = slot.take(near), pairs.take(near)
+        same = codes.take(slot) == pair
+        more = np.flatnonzero(~same)
+        more = more.take(np.flatnonzero((np.bincount(cells, minlength=1 << CELLS) > 1).take(cell.take(near.take(more)))))
+        slot[more] = np.minimum(np.searchsorted(codes, pair[more]), len(codes) - 1)
+        same[more] = codes[slot[more]] == pair[more]
+        rank[near] = np.where(same, order.take(slot), none)
         # the most frequent pairs take their places first, others where nothing
         # overlaps: that is every second place up a slope of ranks, and a peak
         # that is the second of both its slopes
         index = np.arange(len(at), dtype=np.int32)
         rising = beside & np.r_[False, rank[:-1] < rank[1:]]
         falling = np.r_[beside[1:] & (rank[1:] < rank[:-1]), False]
-        up = index - np.maximum.accumulate(np.where(rising, np.int32(0), index))
-        down = np.minimum.accumulate(np.where(falling, np.int32(len(at)), index)[::-1])[::-1] - index
-        take = (rank < none) & ((up | down) & 1 == 0)
-        uses = np.bincount(rank[take], minlength=none)
-        worth = uses >= min_uses
-        take &= np.r_[worth, False][rank]
+        up = index - np.maximum.accumulate(index * ~rising)
+        down = (index - np.maximum.accumulate(index * ~falling[::-1]))[::-1]
+        take = np.flatnonzero((rank < none) & ((up | down) & 1 == 0))
+        by = rank.take(take)
+        worth = np.bincount(by, minlength=none) >= min_uses
+        some = np.flatnonzero(worth.take(by))
+        where, by = at.take(take.take(some)), by.take(some)
         kept = np.flatnonzero(worth)
         codes = codes[by_count]
         name = np.zeros(len(codes), np.uint32)
         name[kept] = terminals + n_rules + np.arange(len(kept), dtype=np.uint32)
         rules.append(np.stack([codes[kept] >> np.uint32(16), codes[kept] & np.uint32(0xFFFF)], axis=1))
         n_rules += len(kept)
-        where = at[take]
-        seq[where] = name[rank[take]]
+        seq[where] = name.take(by)
         stay, look = np.ones(len(seq), bool), np.zeros(len(seq), bool)
         stay[where + 1] = False
-        look[at[full >= min_uses]] = True
+        look[at] = True
         look[where] = look[np.maximum(where - 1, 0)] = True
-        seq = seq[stay]
-        at = np.flatnonzero(look[stay][:-1])
+        stay = np.flatnonzero(stay)
+        seq = seq.take(stay)
+        at = np.flatnonzero(look.take(stay)[:-1])
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)).astype(np.uint16), seq.astype(np.uint16)
 
 
@@ -355,7 +468,12 @@ class Shard:
 
     def ids(self) -> np.ndarray:
         """All ids of the shard."""
-        return expand(self.seq, self.rules, self.terminals)
+        lengths, n = self.lengths.astype(np.int32), int(self.starts[-1])
+        if lengths.sum(dtype=np.int64) > n:
+            return expand(self.seq, self.rules, self.terminals)
+        own = np.arange(self.terminals, dtype=np.uint32)
+        rules = expand(self.rules.ravel(), self.rules, self.terminals), np.cumsum(lengths, dtype=np.int64) - lengths, lengths
+        return _filled(self.seq, _joined((own, own.astype(np.int64), np.ones(self.terminals, np.int32)), rules))
 
     def range(self, start: int, end: int) -> np.ndarray:
         """The ids from ``start`` to ``end``, expanding only the symbols that hold

@@ -151,3 +151,35 @@ def test_rules_do_not_follow_the_size_of_the_hash_table(monkeypatch):
         out.append(T.compress(ids, 500))
     assert len(out[0][0]) > 100
     assert all(np.array_equal(a, b) for o in out[1:] for a, b in zip(o, out[0], strict=True))
+
+
+class Counting:
+    """A tokenizer that counts the characters that it gets."""
+
+    def __init__(self, tokenizer, seen):
+        self.tokenizer, self.seen = tokenizer, seen
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen.extend(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_library_gets_words_round_line_ends_once():
+    enc, seen = T.Encoder(PATH), []
+    for name in ("tokenizer", "letters"):
+        if hasattr(enc, name):
+            setattr(enc, name, Counting(getattr(enc, name), seen))
+    words = [a + b for a in ("Heim", "été", "nation", "ß") for b in ("al", "ó", "ungen", "x")]
+    texts = [" ".join(f"{a}.\n{b},\n{c}!" for b in words for c in words) for a in words]
+    assert enc.encode(texts) == [np.array(PLAIN(t), "<u4").tobytes() for t in texts]
+    assert sum(seen) < 10 * sum(map(len, words))
+
+
+def test_few_words_are_remembered_rightly_after_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(T, "MEMO", 30)
+    enc, rng = T.Encoder(PATH), np.random.default_rng(2)
+    words = [a + b + c for a in ("der", "Ça", "(x", "ǅu", "ɐb", "中", "a×") for b in ("en", "ñ", "\n", "'s", "7") for c in ("a", "é.", "t\nIl", "\t\nz")]
+    for _ in range(40):
+        texts = [" ".join(rng.choice(words, 12)) for _ in range(3)]
+        assert enc.encode(texts) == [np.array(PLAIN(t), "<u4").tobytes() for t in texts]
+        assert len(enc.known) <= 30 + 36
