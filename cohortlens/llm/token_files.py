@@ -57,6 +57,9 @@ ROWS, WORDS, BLOCK = 4096, 2048, 1 << 18
 # letters that every Unicode version takes for letters
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 
+# a line end with white space or an end at its side
+_BROKEN = re.compile(r"(?:\A|\s)\n|\n(?:\s|\Z)")
+
 # bytes of UTF-8: 0 in such letters, 1 other ASCII, 2 the first of another character
 _KIND = np.full(256, 2, np.uint8)
 _KIND[:0x80] = [not chr(c).isalpha() for c in range(0x80)]
@@ -121,11 +124,10 @@ def _cut(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray, np.ndar
 def _parts(piece: str) -> list[str]:
     """A piece cut where the tokenizer does so whatever stands about: round a
     line end between two other characters, and behind a line's first letters."""
-    lines = piece.split("\n")
-    if not all(a and b and not a[-1].isspace() and not b[0].isspace() for a, b in zip(lines, lines[1:], strict=False)):
+    if "\n" in piece and _BROKEN.search(piece):
         return [piece]
-    out = []
-    for i, line in enumerate(lines):
+    out: list[str] = []
+    for i, line in enumerate(piece.split("\n")):
         if i:
             out.append("\n")
         letters = _LETTERS.match(line)[0]
@@ -157,7 +159,7 @@ class Encoder:
         for c in filter(_LETTERS.fullmatch, map(chr, range(0x250))):
             written.update(zip(c.encode(), byte_level.pre_tokenize_str(c)[0][0], strict=True))
         self.written = "".join(written.values())
-        self.letters = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space, as byte-level vocabularies write it
@@ -319,12 +321,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-#: Bits of a cell in the hash table of pairs, which a core's cache holds.
+#: Bits of a cell in the hash table of pairs, at most: a core's cache holds it.
 CELLS = 19
 
 
-def _cell(pairs: np.ndarray) -> np.ndarray:
-    return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - CELLS)
+def _cell(pairs: np.ndarray, bits: int) -> np.ndarray:
+    return ((pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.intp)
 
 
 def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds: int | None = None, fall: int = FALL) -> tuple[np.ndarray, np.ndarray]:
@@ -350,8 +352,11 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
             second = run[offset % 2 == 0]
             free[second] = False
         # only cells of a hash table that are full enough can hold a frequent pair
-        cell = _cell(pairs).astype(np.intp)
-        held = np.bincount(cell, minlength=1 << CELLS) - np.bincount(cell[second], minlength=1 << CELLS)
+        bits = min(CELLS, len(at).bit_length())
+        cell = _cell(pairs, bits)
+        held = np.bincount(cell, minlength=1 << bits)
+        if len(second):
+            held -= np.bincount(cell[second], minlength=1 << bits)
         warm = np.flatnonzero((held >= min_uses).take(cell))
         at, pairs, cell, free = at.take(warm), pairs.take(warm), cell.take(warm), free.take(warm)
         bound = bound and max(min_uses, bound // fall)
@@ -375,15 +380,15 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
         beside = np.r_[False, at[1:] == at[:-1] + 1][: len(at)]
         # rank of each place's pair, 0 for the most frequent
         rank = np.full(len(at), none, np.int32)
-        cells = _cell(codes).astype(np.intp)
-        one = np.full(1 << CELLS, -1, np.int32)  # a code of each cell
+        cells = _cell(codes, bits)
+        one = np.full(1 << bits, -1, np.int32)  # a code of each cell
         one[cells] = np.arange(len(codes), dtype=np.int32)
         slot = one.take(cell)
         near = np.flatnonzero(free & (slot >= 0))
         slot, pair = slot.take(near), pairs.take(near)
         same = codes.take(slot) == pair
         more = np.flatnonzero(~same)
-        more = more.take(np.flatnonzero((np.bincount(cells, minlength=1 << CELLS) > 1).take(cell.take(near.take(more)))))
+        more = more.take(np.flatnonzero((np.bincount(cells, minlength=1 << bits) > 1).take(cell.take(near.take(more)))))
         slot[more] = np.minimum(np.searchsorted(codes, pair[more]), len(codes) - 1)
         same[more] = codes[slot[more]] == pair[more]
         rank[near] = np.where(same, order.take(slot), none)
