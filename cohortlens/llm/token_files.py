@@ -52,7 +52,7 @@ MIN_USES, FALL = 6, 8
 #: Words that a task remembers, and characters of texts that are encoded together.
 MEMO, TOGETHER = 1_000_000, 1 << 22
 #: Rows of a batch that are taken out of it at a time, new words that the library gets at a time, places filled in at a time.
-ROWS, WORDS, BLOCK = 4096, 2048, 1 << 18
+ROWS, WORDS, BLOCK = 4096, 2048, 1 << 16
 
 # letters that every Unicode version takes for letters
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
@@ -95,7 +95,9 @@ def _filled(rows: np.ndarray, table: Ragged) -> np.ndarray:
         some = rows[at : at + BLOCK]
         n = lengths[some]
         ends = np.cumsum(n, dtype=np.int64)
-        out.append(flat[np.repeat(begins[some] - ends + n, n) + np.arange(ends[-1])])
+        places = np.repeat(begins[some] - ends + n, n)
+        places += np.arange(ends[-1])
+        out.append(flat.take(places))
     return np.concatenate(out) if out else _NOTHING[0]
 
 
@@ -341,7 +343,9 @@ def compress(ids: np.ndarray, terminals: int, min_uses: int = MIN_USES, rounds:
     at = np.arange(max(0, len(seq) - 1))
     while len(at) and n_rules < SYMBOLS - terminals and n_rounds != rounds:
         n_rounds += 1
-        pairs = (seq.take(at) << np.uint32(16)) | seq.take(at + 1)
+        pairs = (seq[:-1] << np.uint32(16)) | seq[1:]
+        if len(at) < len(pairs):
+            pairs = pairs.take(at)
         beside = np.r_[False, at[1:] == at[:-1] + 1]
         # in a run of one symbol every second place may start a pair
         free, second = np.ones(len(at), bool), at[:0]
